@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mediacurate.functions import signatures
+from mediacurate.operators.skew import join_many_to_one
 from mediacurate.schemas import CARRIED_COLUMNS, FAILED, SHARD_META, SUCCESS
 from mediacurate.sources import files
 
@@ -86,6 +87,17 @@ def _attempt(fetcher: Fetcher, url: str, retries: int, timeout: float):
     return FAILED, retries + 1, error, None, None, None, None
 
 
+def _store(images_dir: str, row: dict) -> None:
+    """Payload, caption text and metadata of one fetched row, side by side."""
+    if row["status"] != SUCCESS:
+        return
+    stem = f"{images_dir.rstrip('/')}/{row['shard']}/{row['key']}"
+    record = {name: None if pd.isna(row[name]) else row[name] for name in SHARD_META.names}
+    files.write_bytes(f"{stem}.jpg", row["content"])
+    files.write_bytes(f"{stem}.txt", (row["caption"] or "").encode())
+    files.write_bytes(f"{stem}.json", json.dumps(record, default=int).encode())
+
+
 _RESULT = "status attempts error content sha256 width height".split()
 
 FETCHED = T.StructType(
@@ -106,13 +118,16 @@ def fetch(
     timeout: float = 30,
     threads: int = 64,
     partitions: int | None = None,
+    images_dir: str | None = None,
 ) -> DataFrame:
     """Fetch every row of a manifest (key, shard, url, caption and the carried columns).
 
     One row out per row in, payload unmodified, with status, attempts and the
     error text. Payloads leave the task a few at a time, so memory is bounded by
-    ``threads`` payloads. The result is not repeatable: write it once with
-    ``write_fetched`` and use what that returns.
+    ``threads`` payloads. With ``images_dir`` they are written there as files,
+    with their caption and metadata beside them, and ``content`` stays null: no
+    payload passes through the JVM. The result is not repeatable: write it once
+    with ``write_fetched`` and use what that returns.
     """
 
     def work(frames):
@@ -126,12 +141,15 @@ def fetch(
                     sizes = merged[["width", "height"]].astype("Int32")
                     merged = merged.assign(width=sizes["width"], height=sizes["height"])
                     merged = merged.assign(original_width=merged["width"], original_height=merged["height"])
+                    if images_dir is not None:
+                        list(pool.map(lambda row: _store(images_dir, row), merged.to_dict("records")))
+                        merged["content"] = None
                     yield merged[FETCHED.names]
 
     rows = manifest.select("key", "shard", "url", "caption", *CARRIED_COLUMNS)
-    if partitions:
-        rows = rows.repartition(partitions, "key")
-    return rows.mapInPandas(work, FETCHED)
+    tasks = partitions or int(manifest.sparkSession.sparkContext.defaultParallelism) * 4
+    # By range: a task holds whole runs of keys, and a large shard is shared by several tasks.
+    return rows.repartitionByRange(tasks, "shard", "key").mapInPandas(work, FETCHED)
 
 
 def write_fetched(fetched: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -164,8 +182,8 @@ def fetch_from_table(manifest: DataFrame, payloads: DataFrame) -> DataFrame:
 
 
 def unfetched(manifest: DataFrame, shard_meta: DataFrame) -> DataFrame:
-    """Rows of shards not finished yet. Shards are few, so only their names are compared."""
-    return manifest.join(shard_meta.select("shard").distinct(), "shard", "left_anti")
+    """Rows of shards not finished yet."""
+    return join_many_to_one(manifest, shard_meta.select("shard").distinct(), "shard", "left_anti")
 
 
 def export_files(payloads: DataFrame, root: str, extension: str = "jpg") -> DataFrame:

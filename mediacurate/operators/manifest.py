@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 from mediacurate.functions import layout
 from mediacurate.functions.text import has_caption, sidecar_caption
+from mediacurate.operators.skew import join_many_to_one
 from mediacurate.schemas import IMAGE_EXTENSIONS
+from mediacurate.sources.sidecars import read_sidecars
 
 
-def preferred_file(assets: DataFrame) -> DataFrame:
-    """One path per key, by the order of the extensions, from the key's own shard directory."""
+def preferred_file(assets: DataFrame, images_dir: str = "images") -> DataFrame:
+    """One path per key, by the order of the extensions, from the key's own shard directory.
+
+    Only the rank of the extension is aggregated; the path follows from key and
+    extension, so the aggregation hashes numbers and moves no paths.
+    """
     ranks = F.array(*[F.lit(e) for e in IMAGE_EXTENSIONS])
-    in_place = assets.filter((F.col("shard") == layout.key_shard(F.col("key"))) & F.col("ext").isin(*IMAGE_EXTENSIONS))
-    return in_place.groupBy("key").agg(F.min_by("path", F.array_position(ranks, F.col("ext"))).alias("path"))
+    folder = F.concat(F.lit(images_dir.rstrip("/") + "/"), layout.key_shard(F.col("key")), F.lit("/"), "key", F.lit("."))
+    in_place = assets.filter((F.col("path") == F.concat(folder, "ext")) & F.col("ext").isin(*IMAGE_EXTENSIONS))
+    best = in_place.groupBy("key").agg(F.min(F.array_position(ranks, F.col("ext"))).alias("_rank"))
+    return best.select("key", F.concat(folder, F.element_at(ranks, F.col("_rank").cast("int"))).alias("path"))
 
 
 def _pair(root: str | None) -> list[Column]:
@@ -22,21 +30,29 @@ def _pair(root: str | None) -> list[Column]:
     return [path.alias("video"), F.col("caption").alias("prompt")]
 
 
-def validated(valid_keys: DataFrame, captions: DataFrame, assets: DataFrame, root: str | None = None) -> DataFrame:
+def validated(
+    valid_keys: DataFrame,
+    captions: DataFrame,
+    assets: DataFrame,
+    root: str | None = None,
+    images_dir: str = "images",
+) -> DataFrame:
     """Per valid key with a caption: its preferred file.
 
     ``captions`` has one row per key. All three sides are keyed alike, so the
     aggregation that picks the file and the joins share one placement.
     """
     told = captions.filter(has_caption(F.col("caption")))
-    rows = preferred_file(assets).join(valid_keys.select("key").distinct(), "key").join(told, "key")
+    rows = preferred_file(assets, images_dir).join(valid_keys.select("key").distinct(), "key").join(told, "key")
     return rows.select(*_pair(root))
 
 
-def validated_counters(valid_keys: DataFrame, captions: DataFrame, assets: DataFrame) -> DataFrame:
+def validated_counters(
+    valid_keys: DataFrame, captions: DataFrame, assets: DataFrame, images_dir: str = "images"
+) -> DataFrame:
     """Matched, missing caption, and captioned without a file. Caption texts are not shuffled."""
     told = captions.select("key", has_caption(F.col("caption")).alias("_told"))
-    files = preferred_file(assets).select("key", F.lit(True).alias("_file"))
+    files = preferred_file(assets, images_dir).select("key", F.lit(True).alias("_file"))
     marked = (
         valid_keys.select("key")
         .distinct()
@@ -56,14 +72,15 @@ def listing(assets: DataFrame, captions: DataFrame, validity: DataFrame | None =
     kept = assets
     if validity is not None:
         kept = kept.join(validity.filter("is_valid").select("path"), "path", "left_semi")
-    rows = kept.select("path", "key").join(captions.filter(has_caption(F.col("caption"))), "key")
+    told = captions.filter(has_caption(F.col("caption")))
+    rows = join_many_to_one(kept.select("path", "key"), told.select("key", "caption"), "key")
     return rows.select(*_pair(root))
 
 
 def listing_counters(assets: DataFrame, captions: DataFrame, validity: DataFrame | None = None) -> DataFrame:
     """Per file: matched, missing caption, corrupt."""
     told = captions.select("key", has_caption(F.col("caption")).alias("_told"))
-    marked = assets.select("path", "key").join(told, "key", "left")
+    marked = join_many_to_one(assets.select("path", "key"), told, "key", "left")
     if validity is None:
         marked = marked.withColumn("_valid", F.lit(True))
     else:
@@ -80,8 +97,11 @@ def listing_counters(assets: DataFrame, captions: DataFrame, validity: DataFrame
 def from_sidecars(assets: DataFrame, sidecars: DataFrame | None = None, root: str | None = None) -> DataFrame:
     """Per file, with the sidecar's caption; empty captions are kept.
 
-    Without ``sidecars`` the assets carry ``body`` already.
+    Without a table of ``sidecars`` (shard, key, body) the files are opened.
     """
-    rows = assets if sidecars is None else assets.join(sidecars.select("shard", "key", "body"), ["shard", "key"], "left")
+    if sidecars is None:
+        rows = read_sidecars(assets)
+    else:
+        rows = assets.join(sidecars.select("shard", "key", "body"), ["shard", "key"], "left")
     rows = rows.select("path", sidecar_caption(F.col("body")).alias("caption"))
     return rows.select(*_pair(root))

@@ -9,15 +9,16 @@ from pyspark.sql import types as T
 from mediacurate.functions import layout
 from mediacurate.functions.text import sidecar_fields, to_int
 from mediacurate.schemas import CAPTIONED, META_RECORD, SOURCE_ROWS
+from mediacurate.sources.sidecars import sidecar_body
 
 _STRINGS = [f.name for f in META_RECORD.fields if f.dataType == T.StringType() and f.name != "key"]
 _SIZES = [f.name for f in META_RECORD.fields if f.dataType == T.IntegerType()]
 
 
-def project_source(source: DataFrame) -> DataFrame:
+def project_source(source: DataFrame, *extra: str) -> DataFrame:
     """The manifest columns; the source's own key is kept as ``original_key``."""
     names = {"key": "original_key"}
-    return source.select(*[F.col(n).alias(names.get(n, n)) for n in SOURCE_ROWS.names])
+    return source.select(*[F.col(n).alias(names.get(n, n)) for n in SOURCE_ROWS.names], *extra)
 
 
 def last_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -48,26 +49,28 @@ def _sidecar_value(name: str, dtype: T.DataType) -> Column:
     return F.when(F.map_contains_key("_fields", F.lit(name)), value).otherwise(F.lit(""))
 
 
-def enrich(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def enrich_marked(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame | None = None) -> DataFrame:
     """Attach to each asset (path, shard, key) its metadata record.
 
     The record comes as a whole from the shard metadata, else from the sidecar,
     else it is empty. ``shard_meta`` has one row per (shard, key). ``sidecars``
     (shard, key, body) is joined on the same columns, so it meets rows already
-    placed; without it, assets are expected to carry ``body`` themselves.
-    Returns the rows and the rejects (sidecar present but no JSON object).
+    placed; without it, the files are opened, for unmatched assets only.
+    ``error`` marks rows whose sidecar is present but no JSON object.
     """
     record = shard_meta.select(
         "shard", "key", F.lit(True).alias("_meta"), *[F.col(n).alias(f"_m_{n}") for n in _STRINGS + _SIZES]
     )
     joined = assets.join(record, ["shard", "key"], "left")
-    if sidecars is not None:
-        joined = joined.join(sidecars.select("shard", "key", "body"), ["shard", "key"], "left")
     matched = F.coalesce(F.col("_meta"), F.lit(False))
+    if sidecars is None:
+        joined = joined.withColumn("body", sidecar_body(F.when(~matched, F.col("path"))))
+    else:
+        joined = joined.join(sidecars.select("shard", "key", "body"), ["shard", "key"], "left")
     joined = joined.withColumn("_fields", F.when(~matched, sidecar_fields(F.col("body"))))
     bad = ~matched & F.col("body").isNotNull() & F.col("_fields").isNull()
 
-    carried = [c for c in assets.columns if c not in META_RECORD.names and c != "body"]
+    carried = [c for c in assets.columns if c not in META_RECORD.names]
     values = []
     for field in META_RECORD.fields:
         if field.name == "key":
@@ -79,15 +82,14 @@ def enrich(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame | None
             .otherwise(otherwise)
         )
         values.append(value.cast(field.dataType).alias(field.name))
-    rows = joined.filter(~bad).select("key", *carried, *values)
-    rejects = joined.filter(bad).select("key", *carried, F.lit("bad_sidecar").alias("error"))
-    return rows, rejects
+    return joined.select("key", *carried, *values, F.when(bad, "bad_sidecar").alias("error"))
 
 
-def needing_sidecar(assets: DataFrame, shard_meta: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split assets by whether the shard metadata knows them."""
-    known = shard_meta.select("shard", "key")
-    return assets.join(known, ["shard", "key"], "left_semi"), assets.join(known, ["shard", "key"], "left_anti")
+def enrich(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their record, and the rejects. To use both, settle ``enrich_marked`` first."""
+    marked = enrich_marked(assets, shard_meta, sidecars)
+    rejects = marked.filter(F.col("error").isNotNull()).select("key", "path", "error")
+    return marked.filter(F.col("error").isNull()).drop("error"), rejects
 
 
 def captioned_projection(rows: DataFrame, *extra: str) -> DataFrame:

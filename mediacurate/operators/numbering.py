@@ -59,7 +59,7 @@ def batch_counts(batched: DataFrame) -> DataFrame:
     return batched.groupBy("batch_id").agg(F.count("*").alias("rows"))
 
 
-def batch_names(counts: DataFrame, rows_per_batch: int) -> DataFrame:
+def batch_names(counts: DataFrame, rows_per_batch: int, *carried: str) -> DataFrame:
     """Checkpoint and publish names of each batch.
 
     A full batch is named after the index of its last row and published under
@@ -73,6 +73,7 @@ def batch_names(counts: DataFrame, rows_per_batch: int) -> DataFrame:
         "rows",
         F.format_string("intermediate_%08d", last_index).alias("checkpoint_name"),
         F.when(full, F.format_string("batch_%05d", F.col("batch_id") + 1)).alias("publish_name"),
+        *carried,
     )
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediacurate.operators.metadata import last_by_key
-from mediacurate.operators.numbering import batch_counts, batch_names
+from mediacurate.operators.numbering import batch_names
+from mediacurate.operators.skew import join_many_to_one
 from mediacurate.schemas import CAPTIONED
 
 # A stored row: the published columns, why it failed if it did, and its batch.
@@ -76,26 +77,32 @@ def read_key_list(spark: SparkSession, path: str) -> DataFrame:
 
 def pending(assets: DataFrame, processed: DataFrame) -> DataFrame:
     """Assets whose key is not processed. Broadcast or shuffle is left to the sizes Spark measures."""
-    return assets.join(processed.select("key"), "key", "left_anti")
+    return join_many_to_one(assets, processed.select("key"), "key", "left_anti")
 
 
 def skip_counts(assets: DataFrame, processed: DataFrame) -> DataFrame:
     """How many assets are skipped and how many are to do."""
     done = processed.select("key", F.lit(True).alias("_done")).distinct()
-    marked = assets.select("key").join(done, "key", "left")
-    return marked.agg(
-        F.count_if(F.col("_done").isNotNull()).alias("skipped"), F.count_if(F.col("_done").isNull()).alias("to_do")
+    per_key = assets.groupBy("key").agg(F.count("*").alias("_rows"))
+    rows, known = F.col("_rows"), F.col("_done").isNotNull()
+    return per_key.join(done, "key", "left").agg(
+        F.coalesce(F.sum(F.when(known, rows)), F.lit(0)).alias("skipped"),
+        F.coalesce(F.sum(F.when(~known, rows)), F.lit(0)).alias("to_do"),
     )
 
 
 def publish(stored: DataFrame, path: str, rows_per_batch: int) -> DataFrame:
-    """Copy the full batches under their publish names; returns the publish manifest."""
-    counts = batch_counts(stored)
-    named = batch_names(counts, rows_per_batch).filter(F.col("publish_name").isNotNull())
-    # One row per batch, the same plan for the copy and the manifest.
-    rows = captioned(stored).join(named.select("batch_id", "publish_name"), "batch_id")
+    """Copy the full batches under their publish names; returns the publish manifest.
+
+    Short batches end a run, so there is one per run: their numbers are held on
+    the driver and prune the partitions read, and the rows are not shuffled.
+    """
+    sizes = stored.groupBy("batch_id").agg(F.count("*").alias("rows"))
+    short = [row["batch_id"] for row in sizes.filter(F.col("rows") < rows_per_batch).select("batch_id").collect()]
+    rows = captioned(stored.filter(~F.col("batch_id").isin(short)) if short else stored)
+    name = F.format_string("batch_%05d", F.col("batch_id") + 1)
     (
-        rows.select(*CAPTIONED.names, "publish_name")
+        rows.select(*CAPTIONED.names, name.alias("publish_name"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("publish_name")
@@ -109,8 +116,8 @@ def publish_manifest(stored: DataFrame, path: str, rows_per_batch: int) -> DataF
     counts = stored.groupBy("batch_id").agg(
         F.count("*").alias("rows"), F.count_if(F.col("error").isNull()).alias("published_rows")
     )
-    named = batch_names(counts, rows_per_batch).filter(F.col("publish_name").isNotNull())
-    return named.join(counts.select("batch_id", "published_rows"), "batch_id").select(
+    named = batch_names(counts, rows_per_batch, "published_rows").filter(F.col("publish_name").isNotNull())
+    return named.select(
         "batch_id",
         F.col("published_rows").alias("rows"),
         F.concat(F.lit(path.rstrip("/") + "/publish_name="), "publish_name").alias("path"),

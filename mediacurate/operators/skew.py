@@ -1,0 +1,41 @@
+"""Joins of many rows per key to at most one, safe when one key holds much of the data."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key counts as hot from about a million rows: ten thousand in a sample of one in a hundred.
+SAMPLE = 0.01
+HOT_IN_SAMPLE = 10_000
+# Bound on the keys treated apart; any further ones take the ordinary join, with the same result.
+MOST_HOT_KEYS = 1_000
+
+
+def hot_keys(facts: DataFrame, key: str, sample: float = SAMPLE, least: int = HOT_IN_SAMPLE) -> list:
+    """Keys that fill a task by themselves. The sample only guides the plan, never the rows."""
+    seen = facts.select(key) if sample >= 1 else facts.select(key).sample(sample, seed=7)
+    counts = seen.groupBy(key).count().filter((F.col("count") >= least) & F.col(key).isNotNull())
+    return [row[0] for row in counts.orderBy(F.desc("count")).limit(MOST_HOT_KEYS).collect()]
+
+
+def join_many_to_one(
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "inner",
+    sample: float = SAMPLE,
+    least: int = HOT_IN_SAMPLE,
+) -> DataFrame:
+    """Join ``facts`` to ``dim``, which has one row per ``key``.
+
+    Rows of hot keys stay where they are and meet a broadcast of at most
+    ``MOST_HOT_KEYS`` rows; all others are joined as usual. Without hot keys
+    this is the plain join. ``how``: inner, left, left_semi or left_anti.
+    """
+    hot = hot_keys(facts, key, sample, least)
+    if not hot:
+        return facts.join(dim, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    apart = facts.filter(is_hot).join(F.broadcast(dim.filter(is_hot)), key, how)
+    return facts.filter(~is_hot).join(dim.filter(~is_hot), key, how).unionByName(apart)

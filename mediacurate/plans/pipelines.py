@@ -1,0 +1,249 @@
+"""The jobs from end to end: download, regenerate, rebuild, caption."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
+from pyspark.resource import ResourceProfile
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mediacurate.functions import layout
+from mediacurate.operators import fetch as fetching
+from mediacurate.operators import manifest, metadata, numbering, resume
+from mediacurate.operators import validate as validation
+from mediacurate.operators.caption import CaptionOptions, Captioner, caption, load_path
+from mediacurate.schemas import ROWS_PER_SHARD, SHARD_META
+from mediacurate.session import settle_table
+from mediacurate.sources import assets as listing
+from mediacurate.sources import files
+from mediacurate.sources.shards import success_captions, unify_shards
+from mediacurate.sources.sinks import write_corrupt_log, write_training_csv
+
+# Work committed at a time, so that a crash loses one round at most.
+SHARDS_PER_ROUND = 200
+BATCHES_PER_ROUND = 200
+
+
+@dataclass(frozen=True)
+class Dataset:
+    """Where things lie under one root that all executors reach."""
+
+    root: str
+
+    def at(self, name: str) -> str:
+        return f"{layout.normalise_root(self.root)}/{name}"
+
+    @property
+    def images(self) -> str:
+        return self.at("images")
+
+    @property
+    def shards(self) -> str:
+        """Shard metadata: our own table, or the files beside the shard directories."""
+        own = self.at("shards")
+        return own if exists(own) else self.images
+
+
+def exists(path: str) -> bool:
+    system, plain = files.locate(path)
+    return bool(system.get_file_info(plain).type)
+
+
+@contextmanager
+def single_writer(path: str, take_over: bool = False) -> Iterator[None]:
+    """Refuse to start while another run writes here; ``take_over`` after a crash."""
+    marker = f"{path.rstrip('/')}/_writer"
+    if exists(marker) and not take_over:
+        raise RuntimeError(f"{marker} exists: another run is writing, or one crashed")
+    files.write_bytes(marker, b"")
+    try:
+        yield
+    finally:
+        files.delete_file(marker)
+
+
+def _rounds(items: list, size: int) -> Iterator[list]:
+    for start in range(0, len(items), size):
+        yield items[start : start + size]
+
+
+def download(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    fetcher: fetching.Fetcher,
+    threads: int = 64,
+    timeout: float = 30,
+    retries: int = 3,
+    per_shard: int = ROWS_PER_SHARD,
+    shards_per_round: int = SHARDS_PER_ROUND,
+    validate: str = "report",
+    level: str = "decode",
+    decoder: Callable[[bytes], object] | None = None,
+) -> None:
+    """Source table to files, shard metadata, unified metadata and training manifest.
+
+    A rerun keeps the keys given before and skips the shards already fetched.
+    """
+    data = Dataset(root)
+    keyed = data.at("keyed_urls")
+    if not exists(f"{keyed}/_SUCCESS"):
+        rows = listing.read_source(spark, source)
+        metadata.project_source(rows).write.mode("overwrite").parquet(data.at("urls.parquet"))
+        named = metadata.project_source(rows, "source_file", "source_row")
+        numbered = numbering.assign_keys(named, "source_file", "source_row", per_shard=per_shard)
+        numbered.write.mode("overwrite").parquet(keyed)
+    wanted = spark.read.parquet(keyed)
+
+    table = data.at("shards")
+    todo = wanted
+    if exists(table):
+        _, done = fetching.read_fetched(spark, table)
+        todo = fetching.unfetched(wanted, done)
+    # Five-digit names, one per shard.
+    names = sorted(row["shard"] for row in todo.select("shard").distinct().collect())
+    for some in _rounds(names, shards_per_round):
+        rows = wanted.filter(F.col("shard").isin(some))
+        fetched = fetching.fetch(rows, fetcher, retries, timeout, threads, images_dir=data.images)
+        fetching.write_fetched(fetched, table)
+    unify(spark, root)
+    regenerate(spark, root, validate, level, decoder)
+
+
+def unify(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Write the unified metadata, every status kept, and the audit of the shard files."""
+    data = Dataset(root)
+    rows, audit = unify_shards(spark, data.shards)
+    rows.write.mode("overwrite").parquet(data.at("full_metadata.parquet"))
+    audit.write.mode("overwrite").parquet(data.at("shard_audit.parquet"))
+    return spark.read.parquet(data.at("full_metadata.parquet")), spark.read.parquet(data.at("shard_audit.parquet"))
+
+
+def _directories(spark: SparkSession, root: str) -> list[str]:
+    """The directories directly under ``root``: one per shard."""
+    return sorted(row["path"] for row in listing.list_directory(spark, root).filter("is_dir").collect())
+
+
+def _validity(spark, data: Dataset, found: DataFrame, level: str, decoder) -> DataFrame:
+    directories = _directories(spark, data.images) if level == "decode" and decoder is None else None
+    return validation.validate(found, level, decoder, directories)
+
+
+def regenerate(
+    spark: SparkSession,
+    root: str,
+    validate: str = "none",
+    level: str = "decode",
+    decoder: Callable[[bytes], object] | None = None,
+    delete_mode: str = "file",
+) -> DataFrame:
+    """Training manifest from shard captions; ``validate`` is none, report or clean.
+
+    ``none`` lists every captioned file. ``report`` keeps keys with a valid
+    file, one file each. ``clean`` also removes what the delete plan names.
+    """
+    if validate not in ("none", "report", "clean"):
+        raise ValueError(f"unknown choice {validate!r}")
+    data = Dataset(root)
+    rows, _ = unify_shards(spark, data.shards)
+    captions = metadata.caption_by_key(success_captions(rows), ["shard", "shard_file", "row_pos"])
+    everything = settle_table(listing.with_layout(listing.list_files(spark, data.images)), "listing")
+    images = listing.image_assets(everything)
+    if validate == "none":
+        made = manifest.listing(images, captions, root=data.root)
+    else:
+        validity = _validity(spark, data, images, level, decoder)
+        write_corrupt_log(validation.corrupt_log(validity), data.at("corrupt_images.log"))
+        if validate == "clean":
+            plan = validation.delete_plan(validity.filter("NOT is_valid"), everything, delete_mode)
+            gone = validation.remove_files(plan)
+            images = images.join(gone.select("path"), "path", "left_anti")
+        else:
+            corrupt = validity.filter("NOT is_valid").select("path")
+            images = images.join(corrupt, "path", "left_anti")
+        keys = validation.valid_keys(validity)
+        made = manifest.validated(keys, captions, images, data.root, data.images)
+    write_training_csv(made, data.at("metadata.csv"))
+    return made
+
+
+def rebuild(
+    spark: SparkSession,
+    root: str,
+    clean: bool = False,
+    level: str = "decode",
+    decoder: Callable[[bytes], object] | None = None,
+) -> DataFrame:
+    """Validate the JPEG-named files of every subdirectory and write the manifest from their sidecars."""
+    data = Dataset(root)
+    everything = settle_table(listing.with_layout(listing.list_files(spark, data.images)), "listing")
+    direct = layout.relative_path(F.col("path"), data.images).rlike("^[^/]+/[^/]+$")
+    found = listing.image_assets(everything, ("jpg",)).filter(direct)
+    validity = _validity(spark, data, found, level, decoder)
+    write_corrupt_log(validation.corrupt_log(validity), data.at("corrupt_images.log"))
+    if clean:
+        validation.remove_files(validation.delete_plan(validity.filter("NOT is_valid"), everything, "pair"))
+    made = manifest.from_sidecars(validity.filter("is_valid"), root=data.root)
+    write_training_csv(made, data.at("metadata.csv"))
+    return made
+
+
+def caption_dataset(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    captioner: Captioner,
+    rows_per_batch: int = 500,
+    max_images: int | None = None,
+    resume_run: bool = True,
+    publish_to: str | None = None,
+    options: CaptionOptions | None = None,
+    loader=load_path,
+    profile: ResourceProfile | None = None,
+    tasks: int | None = None,
+    batches_per_round: int = BATCHES_PER_ROUND,
+    take_over: bool = False,
+) -> DataFrame:
+    """Caption every unprocessed image and return the complete table.
+
+    The limit comes before the resume, as users expect of a repeated command.
+    Batches are committed a round at a time; a crash loses the round at hand and
+    the next run takes it up. Metadata rows travel through the joins, images do
+    not: each is opened by the task that captions it.
+    """
+    data = Dataset(root)
+    batches, rejects = f"{out.rstrip('/')}/batches", f"{out.rstrip('/')}/rejects"
+    tasks = tasks or int(spark.sparkContext.defaultParallelism) * 4
+    with single_writer(out, take_over):
+        found = listing.list_assets(spark, data.images, ("jpg",), shard_dirs_only=True)
+        assets = settle_table(listing.limit_assets(found, max_images), "assets")
+        stored = resume.read_batches(spark, batches)
+        if resume_run:
+            assets = resume.pending(assets, resume.processed_keys(resume.captioned(stored)))
+        rows, _ = unify_shards(spark, data.shards, absent="")
+        records = metadata.last_by_key(
+            rows.select(*SHARD_META.names, "shard", "shard_file", "row_pos"), ["shard", "key"], ["shard_file", "row_pos"]
+        )
+        marked = settle_table(
+            metadata.enrich_marked(assets.select("path", "shard", "key"), records), "enriched"
+        )
+        marked.filter(F.col("error").isNotNull()).select("key", "path", "error").write.mode("overwrite").parquet(rejects)
+
+        start = resume.next_batch_id(stored)
+        good = marked.filter(F.col("error").isNull()).drop("error")
+        staged = settle_table(numbering.assign_batches(good, rows_per_batch, "path", start=start), "staged")
+        last = staged.agg(F.max("batch_id")).first()[0]
+        for low in range(start, (start if last is None else last + 1), batches_per_round):
+            this_round = F.col("batch_id").between(low, low + batches_per_round - 1)
+            # Rows are light and captions are slow, so tasks are set by number, not by size.
+            spread = staged.filter(this_round).repartitionByRange(tasks, "gidx")
+            told = caption(spread, captioner, "path", options=options, loader=loader, profile=profile)
+            resume.write_batches(metadata.captioned_projection(told, "error", "batch_id"), batches)
+            if publish_to:
+                resume.publish(resume.read_batches(spark, batches).filter(this_round), publish_to, rows_per_batch)
+        complete = f"{out.rstrip('/')}/all_captions"
+        resume.complete_table(resume.read_batches(spark, batches)).write.mode("overwrite").parquet(complete)
+    return spark.read.parquet(complete)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from mediacurate.functions import layout
 from mediacurate.operators.resume import processed_keys
@@ -114,7 +115,7 @@ def checkpoint_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processed_keys(labelled, captioned)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def render_png(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Text bytes as a grey picture 64 pixels wide; damaged as asked."""
     import struct

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mediacurate.functions import layout
 from mediacurate.operators.numbering import global_index
-from mediacurate.schemas import IMAGE_EXTENSIONS
+from mediacurate.schemas import IMAGE_EXTENSIONS, SOURCE_ROWS
 from mediacurate.sources import files
 
 # Above this many rows a top-n is taken by position, not held in one task.
@@ -31,8 +31,13 @@ def list_directory(spark: SparkSession, root: str) -> DataFrame:
     return roots.mapInPandas(work, "path string, is_dir boolean, length bigint")
 
 
-def list_files(spark: SparkSession, root: str, parallelism: int | None = None) -> DataFrame:
-    """Every file under ``root``, at any depth: path, length. Empty files included."""
+def list_files(
+    spark: SparkSession, root: str, only: Column | None = None, parallelism: int | None = None
+) -> DataFrame:
+    """Every file under ``root``, at any depth: path, length. Empty files included.
+
+    ``only`` is a condition on the direct children (path, is_dir) that are followed.
+    """
 
     def work(frames):
         for frame in frames:
@@ -44,11 +49,21 @@ def list_files(spark: SparkSession, root: str, parallelism: int | None = None) -
             yield from files.in_frames(rows, ["path", "length"])
 
     top = list_directory(spark, root)
+    if only is not None:
+        top = top.filter(only)
     tasks = parallelism or int(spark.sparkContext.defaultParallelism) * 4
     # An explicit number keeps AQE from folding the few, small directory rows into one task.
     return top.repartition(tasks, "path").mapInPandas(work, "path string, length bigint")
 
 
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """The source table, with the position of each row: its file and its place in it."""
+    rows = spark.read.schema(SOURCE_ROWS).parquet(path)
+    return rows.select(
+        "*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row")
+    )
+
+
 def with_layout(listing: DataFrame) -> DataFrame:
     """Add shard, key and ext, all read off the path."""
     path = F.col("path")
@@ -58,7 +73,10 @@ def with_layout(listing: DataFrame) -> DataFrame:
 
 
 def image_assets(listing: DataFrame, extensions=IMAGE_EXTENSIONS, shard_dirs_only: bool = False) -> DataFrame:
-    """Keep image files; optionally only those in directories named by digits."""
+    """Keep image files; optionally only those in directories named by digits.
+
+    Extensions are compared as written, upper case being another extension.
+    """
     wanted: Column = F.col("ext").isin(*extensions)
     if shard_dirs_only:
         wanted = wanted & layout.is_shard_name(F.col("shard"))

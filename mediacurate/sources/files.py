@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -61,11 +62,25 @@ def read_ends(uri: str) -> tuple[bytes, bytes, int]:
 def children(uri: str) -> Iterator[tuple[str, bool, int]]:
     """Path, is-directory and length of everything directly under ``uri``."""
     system, path = locate(uri)
-    prefix = normalise_root(uri)[: -len(path)] if normalise_root(uri).endswith(path) else ""
+    if isinstance(system, fs.LocalFileSystem):
+        yield from _local_children(path)
+        return
+    whole = normalise_root(uri)
+    prefix = whole[: -len(path)] if whole.endswith(path) else ""
     for info in system.get_file_info(fs.FileSelector(path, allow_not_found=True)):
         yield prefix + info.path, info.type == fs.FileType.Directory, info.size or 0
 
 
+def _local_children(path: str) -> Iterator[tuple[str, bool, int]]:
+    """Entry by entry, so that a very large directory is never held as a list."""
+    if not os.path.isdir(path):
+        return
+    with os.scandir(path) as entries:
+        for entry in entries:
+            is_dir = entry.is_dir()
+            yield entry.path, is_dir, 0 if is_dir else entry.stat().st_size
+
+
 def walk(uri: str) -> Iterator[tuple[str, int]]:
     """Every file below ``uri``, one directory at a time."""
     waiting = [uri]

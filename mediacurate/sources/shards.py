@@ -70,7 +70,9 @@ def inspect_shards(spark: SparkSession, root: str) -> DataFrame:
             yield frame
 
     tasks = int(spark.sparkContext.defaultParallelism) * 4
-    found = list_files(spark, root).filter(F.col("path").endswith(".parquet")).select("path")
+    # Beside the shard files lie the directories of the assets, which are not followed.
+    shard_entry = F.col("path").rlike(r"\.parquet$|/shard=[^/]+$")
+    found = list_files(spark, root, shard_entry).filter(F.col("path").endswith(".parquet")).select("path")
     parts = found.repartition(tasks, "path").mapInPandas(footers, _FOOTERS)
     checked = parts.repartition(tasks, "path", "row_group").mapInPandas(decode, _FOOTERS)
     return checked.groupBy("path").agg(F.max("signature").alias("signature"), F.max("error").alias("error"))

@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from mediacurate.functions import layout
 from mediacurate.sources import files
 
 
-def read_sidecars(assets: DataFrame) -> DataFrame:
-    """Add ``body``, the text of each asset's sidecar, null where there is none.
+def _read_text(path: str | None) -> str | None:
+    raw = None if path is None else files.read_or_none(path)
+    # Bytes that are no UTF-8 are replaced; the JSON functions then judge the body.
+    return None if raw is None else raw.decode("utf-8", "replace")
+
+
+@F.pandas_udf(StringType())
+def _bodies(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for paths in batches:
+        yield paths.map(_read_text, na_action="ignore").astype(object)
 
-    Each sidecar is opened by the path its asset implies, so nothing is listed
-    and nothing is joined. Bytes that are no UTF-8 are replaced, which leaves
-    a body the JSON functions then judge.
+
+def sidecar_body(path: Column) -> Column:
+    """Text of the sidecar beside ``path``; null where there is none, or the path is null.
+
+    Each sidecar is opened by the path its asset implies: nothing is listed,
+    nothing joined, and only paths and bodies pass through Python.
     """
+    return _bodies(layout.with_suffix(path, ".json"))
 
-    def work(frames):
-        for frame in frames:
-            raw = [files.read_or_none(path) for path in frame["_sidecar"]]
-            frame["body"] = [None if r is None else r.decode("utf-8", "replace") for r in raw]
-            yield frame.drop(columns="_sidecar")
 
-    schema = assets.withColumn("body", F.lit(None).cast("string")).schema
-    pointed = assets.withColumn("_sidecar", layout.with_suffix(F.col("path"), ".json"))
-    return pointed.mapInPandas(work, schema)
+def read_sidecars(assets: DataFrame) -> DataFrame:
+    return assets.withColumn("body", sidecar_body(F.col("path")))

@@ -1,0 +1,45 @@
+import pytest
+from conftest import tuples
+from pyspark.sql import functions as F
+
+from mediacurate.operators.skew import hot_keys, join_many_to_one
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
+            F.concat(F.lit("k"), F.col("id") % 400)
+        ).alias("key"),
+        "id",
+    )
+    dim = spark.range(300).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
+    return facts, dim
+
+
+def test_hot_keys_are_found(tables):
+    facts, _ = tables
+    assert hot_keys(facts, "key", sample=1, least=500) == ["hot"]
+    assert hot_keys(facts, "key") == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot_known", [True, False])
+def test_same_rows_as_the_plain_join(spark, tables, how, hot_known):
+    facts, dim = tables
+    if hot_known:
+        dim = dim.unionByName(spark.createDataFrame([("hot", -1)], "key string, v bigint"))
+    plain = facts.join(dim, "key", how)
+    assert tuples(join_many_to_one(facts, dim, "key", how, sample=1, least=500)) == tuples(plain)
+
+
+def test_hot_rows_are_not_shuffled(spark, tables):
+    facts, dim = tables
+    dim = dim.unionByName(spark.createDataFrame([("hot", -1)], "key string, v bigint"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_many_to_one(facts, dim, "key", "inner", sample=1, least=500)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
