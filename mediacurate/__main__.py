@@ -22,6 +22,12 @@ def make(spec: str | None):
     return getattr(import_module(module), name)()
 
 
+def show(name: str, counts) -> None:
+    """Print a table of counts."""
+    for row in counts.collect():
+        print(f"{name}: " + ", ".join(f"{key}={value}" for key, value in row.asDict().items()))
+
+
 def parser() -> argparse.ArgumentParser:
     whole = argparse.ArgumentParser(prog="mediacurate")
     jobs = whole.add_subparsers(dest="job", required=True)
@@ -47,6 +53,9 @@ def parser() -> argparse.ArgumentParser:
     regenerate = job("regenerate", "write the training manifest again")
     regenerate.add_argument("--validate", action="store_true", help="leave out corrupt files")
     regenerate.add_argument("--clean", action="store_true", help="remove them as well")
+    regenerate.add_argument(
+        "--delete-mode", choices=["file", "pair", "stem"], default="file", help="what goes with a corrupt file"
+    )
     checks(regenerate)
 
     rebuild = job("rebuild", "validate and write the manifest from the sidecars")
@@ -85,9 +94,10 @@ def main(argv: list[str] | None = None) -> None:
             publish_to=args.publish_to,
             options=CaptionOptions(**chosen),
             take_over=args.take_over,
+            report=show,
         )
         return
-    check = {"level": args.level, "decoder": make(args.decoder)}
+    check = {"level": args.level, "decoder": make(args.decoder), "report": show}
     if args.job == "download":
         pipelines.download(
             spark,
@@ -102,7 +112,7 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "regenerate":
         choice = "none" if not args.validate else "clean" if args.clean else "report"
-        pipelines.regenerate(spark, args.output, choice, **check)
+        pipelines.regenerate(spark, args.output, choice, delete_mode=args.delete_mode, **check)
     else:
         pipelines.rebuild(spark, args.output, args.clean, **check)
 

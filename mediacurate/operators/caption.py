@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mediacurate.functions.text import strip
 from mediacurate.sources import files
 
 REJECT = "reject"
@@ -50,7 +51,7 @@ def _caption_all(captioner, items: list, loader, size: int) -> Iterator[tuple[st
             told = captioner.caption(loaded)
             if len(told) != len(part):
                 raise ValueError(f"{len(told)} captions for {len(part)} items")
-            yield from ((text.strip(), None) for text in told)
+            yield from ((text, None) for text in told)
         except Exception:
             # Find the culprit: one at a time, so that its neighbours keep their captions.
             for item in part:
@@ -59,7 +60,7 @@ def _caption_all(captioner, items: list, loader, size: int) -> Iterator[tuple[st
 
 def _caption_one(captioner, item, loader) -> tuple[str | None, str | None]:
     try:
-        return captioner.caption([loader(item) if loader else item])[0].strip(), None
+        return captioner.caption([loader(item) if loader else item])[0], None
     except Exception as problem:
         return None, f"{type(problem).__name__}: {problem}"
 
@@ -115,9 +116,8 @@ def caption(
             .withColumns({"vlm_caption": F.col("_told.caption"), "error": F.col("_told.error")})
             .drop("_told")
         )
-    if on_error == EMPTY:
-        return told.withColumn("vlm_caption", F.coalesce("vlm_caption", F.lit("")))
-    return told
+    text = strip(F.col("vlm_caption"))
+    return told.withColumn("vlm_caption", F.coalesce(text, F.lit("")) if on_error == EMPTY else text)
 
 
 class LeadingWords:

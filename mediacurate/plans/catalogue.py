@@ -414,9 +414,8 @@ def ingest(spark, sf_dir):
         source,
         scratch_path(spark, "ingested"),
         scratch_path(spark, "progress"),
-        SHARD_META,
         files_per_trigger=4,
-        transform=lambda batch: success_captions(batch),
+        transform=lambda rows: success_captions(rows).select("key", "caption"),
     )
     return rows.select("key", "caption")
 
@@ -428,7 +427,6 @@ def ingest_once_by_key(spark, sf_dir):
         source,
         scratch_path(spark, "ingested"),
         scratch_path(spark, "progress"),
-        SHARD_META,
         files_per_trigger=6,
     )
     return rows.select("key", "url", "status", "sha256")

@@ -27,6 +27,14 @@ SHARDS_PER_ROUND = 200
 BATCHES_PER_ROUND = 200
 
 
+# Called with a name and a small table of counts; counts nobody asks for are not computed.
+Report = Callable[[str, DataFrame], None]
+
+
+def _silent(name: str, counts: DataFrame) -> None:
+    pass
+
+
 @dataclass(frozen=True)
 class Dataset:
     """Where things lie under one root that all executors reach."""
@@ -83,6 +91,7 @@ def download(
     validate: str = "report",
     level: str = "decode",
     decoder: Callable[[bytes], object] | None = None,
+    report: Report = _silent,
 ) -> None:
     """Source table to files, shard metadata, unified metadata and training manifest.
 
@@ -109,8 +118,10 @@ def download(
         rows = wanted.filter(F.col("shard").isin(some))
         fetched = fetching.fetch(rows, fetcher, retries, timeout, threads, images_dir=data.images)
         fetching.write_fetched(fetched, table)
-    unify(spark, root)
-    regenerate(spark, root, validate, level, decoder)
+    rows, audit = unify(spark, root)
+    report("shard files", audit.groupBy(F.col("error").isNull().alias("read")).agg(F.count("*").alias("files")))
+    report("fetched", rows.groupBy("status").agg(F.count("*").alias("rows")))
+    regenerate(spark, root, validate, level, decoder, report=report, rows=rows)
 
 
 def unify(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -139,6 +150,8 @@ def regenerate(
     level: str = "decode",
     decoder: Callable[[bytes], object] | None = None,
     delete_mode: str = "file",
+    report: Report = _silent,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Training manifest from shard captions; ``validate`` is none, report or clean.
 
@@ -148,14 +161,18 @@ def regenerate(
     if validate not in ("none", "report", "clean"):
         raise ValueError(f"unknown choice {validate!r}")
     data = Dataset(root)
-    rows, _ = unify_shards(spark, data.shards)
+    if rows is None:
+        rows, _ = unify_shards(spark, data.shards)
     captions = metadata.caption_by_key(success_captions(rows), ["shard", "shard_file", "row_pos"])
     everything = settle_table(listing.with_layout(listing.list_files(spark, data.images)), "listing")
     images = listing.image_assets(everything)
     if validate == "none":
         made = manifest.listing(images, captions, root=data.root)
+        report("manifest", manifest.listing_counters(images, captions))
     else:
         validity = _validity(spark, data, images, level, decoder)
+        report("validity", validation.validity_counts(validity))
+        report("fetched without a file", validation.missing_files(rows, images).groupBy("error").count())
         write_corrupt_log(validation.corrupt_log(validity), data.at("corrupt_images.log"))
         if validate == "clean":
             plan = validation.delete_plan(validity.filter("NOT is_valid"), everything, delete_mode)
@@ -166,6 +183,7 @@ def regenerate(
             images = images.join(corrupt, "path", "left_anti")
         keys = validation.valid_keys(validity)
         made = manifest.validated(keys, captions, images, data.root, data.images)
+        report("manifest", manifest.validated_counters(keys, captions, images, data.images))
     write_training_csv(made, data.at("metadata.csv"))
     return made
 
@@ -176,6 +194,7 @@ def rebuild(
     clean: bool = False,
     level: str = "decode",
     decoder: Callable[[bytes], object] | None = None,
+    report: Report = _silent,
 ) -> DataFrame:
     """Validate the JPEG-named files of every subdirectory and write the manifest from their sidecars."""
     data = Dataset(root)
@@ -183,6 +202,7 @@ def rebuild(
     direct = layout.relative_path(F.col("path"), data.images).rlike("^[^/]+/[^/]+$")
     found = listing.image_assets(everything, ("jpg",)).filter(direct)
     validity = _validity(spark, data, found, level, decoder)
+    report("validity", validation.validity_counts(validity))
     write_corrupt_log(validation.corrupt_log(validity), data.at("corrupt_images.log"))
     if clean:
         validation.remove_files(validation.delete_plan(validity.filter("NOT is_valid"), everything, "pair"))
@@ -206,6 +226,7 @@ def caption_dataset(
     tasks: int | None = None,
     batches_per_round: int = BATCHES_PER_ROUND,
     take_over: bool = False,
+    report: Report = _silent,
 ) -> DataFrame:
     """Caption every unprocessed image and return the complete table.
 
@@ -222,7 +243,9 @@ def caption_dataset(
         assets = settle_table(listing.limit_assets(found, max_images), "assets")
         stored = resume.read_batches(spark, batches)
         if resume_run:
-            assets = resume.pending(assets, resume.processed_keys(resume.captioned(stored)))
+            done = resume.processed_keys(resume.captioned(stored))
+            report("assets", resume.skip_counts(assets, done))
+            assets = resume.pending(assets, done)
         rows, _ = unify_shards(spark, data.shards, absent="")
         records = metadata.last_by_key(
             rows.select(*SHARD_META.names, "shard", "shard_file", "row_pos"), ["shard", "key"], ["shard_file", "row_pos"]
@@ -242,8 +265,10 @@ def caption_dataset(
             spread = staged.filter(this_round).repartitionByRange(tasks, "gidx")
             told = caption(spread, captioner, "path", options=options, loader=loader, profile=profile)
             resume.write_batches(metadata.captioned_projection(told, "error", "batch_id"), batches)
+            written = resume.read_batches(spark, batches).filter(this_round)
+            report("written", written.groupBy(F.col("error").isNull().alias("captioned")).agg(F.count("*").alias("rows")))
             if publish_to:
-                resume.publish(resume.read_batches(spark, batches).filter(this_round), publish_to, rows_per_batch)
+                report("published", resume.publish(written, publish_to, rows_per_batch).agg(F.count("*").alias("batches")))
         complete = f"{out.rstrip('/')}/all_captions"
         resume.complete_table(resume.read_batches(spark, batches)).write.mode("overwrite").parquet(complete)
     return spark.read.parquet(complete)

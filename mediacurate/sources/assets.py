@@ -84,7 +84,12 @@ def image_assets(listing: DataFrame, extensions=IMAGE_EXTENSIONS, shard_dirs_onl
 
 
 def list_assets(spark: SparkSession, root: str, extensions=IMAGE_EXTENSIONS, shard_dirs_only: bool = False) -> DataFrame:
-    return image_assets(list_files(spark, root), extensions, shard_dirs_only)
+    """Image files under ``root``; ``shard_dirs_only`` stays directly inside its shard directories."""
+    if not shard_dirs_only:
+        return image_assets(list_files(spark, root), extensions)
+    shard_dir = F.col("is_dir") & layout.is_shard_name(layout.base_name(F.col("path")))
+    direct = layout.relative_path(F.col("path"), root).rlike("^[0-9]+/[^/]+$")
+    return image_assets(list_files(spark, root, shard_dir).filter(direct), extensions, shard_dirs_only=True)
 
 
 def discover_shards(listing: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mediacurate.operators.resume import processed_keys, read_key_list
 from mediacurate.sources.files import children
-from mediacurate.sources.shards import inspect_shards
+from mediacurate.sources.shards import inspect_shards, list_shard_files
 
 
 def read_checkpoint_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,10 +19,14 @@ def read_checkpoint_keys(spark: SparkSession, folder: str) -> DataFrame:
     if "checkpoint.json" in names:
         tables.append(read_key_list(spark, f"{folder}/checkpoint.json"))
     # One row per file.
-    found = inspect_shards(spark, folder).filter(F.col("error").isNull()).collect()
-    keyed = sorted(row["path"] for row in found if "key" in dict(json.loads(row["signature"])))
-    if keyed:
-        tables.append(spark.read.schema("key string").parquet(*keyed))
+    found = inspect_shards(list_shard_files(spark, folder)).filter(F.col("error").isNull()).collect()
+    by_type: dict[str, list[str]] = {}
+    for row in found:
+        columns = dict(json.loads(row["signature"]))
+        if "key" in columns:
+            by_type.setdefault(columns["key"], []).append(row["path"])
+    for paths in by_type.values():
+        tables.append(spark.read.parquet(*sorted(paths)).select(F.col("key").cast("string")))
     if not tables:
         return spark.createDataFrame([], "key string")
     return processed_keys(*tables)

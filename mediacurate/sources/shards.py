@@ -49,8 +49,14 @@ def _decode_error(path: str, group: int) -> str | None:
     return None
 
 
-def inspect_shards(spark: SparkSession, root: str) -> DataFrame:
-    """One row per shard file: path, signature of its columns, error or null.
+def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of the parquet files of ``root``. The directories of the assets beside them are not followed."""
+    shard_entry = F.col("path").rlike(r"\.parquet$|/shard=[^/]+$")
+    return list_files(spark, root, shard_entry).filter(F.col("path").endswith(".parquet")).select("path")
+
+
+def inspect_shards(found: DataFrame) -> DataFrame:
+    """One row per parquet file of ``found`` (path): path, signature of its columns, error or null.
 
     Footers are read in tasks, then every row group is decoded once, spread one
     by one so that a very large file is checked by many tasks. A file with any
@@ -69,10 +75,7 @@ def inspect_shards(spark: SparkSession, root: str) -> DataFrame:
             ]
             yield frame
 
-    tasks = int(spark.sparkContext.defaultParallelism) * 4
-    # Beside the shard files lie the directories of the assets, which are not followed.
-    shard_entry = F.col("path").rlike(r"\.parquet$|/shard=[^/]+$")
-    found = list_files(spark, root, shard_entry).filter(F.col("path").endswith(".parquet")).select("path")
+    tasks = int(found.sparkSession.sparkContext.defaultParallelism) * 4
     parts = found.repartition(tasks, "path").mapInPandas(footers, _FOOTERS)
     checked = parts.repartition(tasks, "path", "row_group").mapInPandas(decode, _FOOTERS)
     return checked.groupBy("path").agg(F.max("signature").alias("signature"), F.max("error").alias("error"))
@@ -107,7 +110,14 @@ def unify_shards(
     schema: T.StructType = SHARD_META,
     absent: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """All shard files as one table, and the audit of the files themselves.
+    """All shard files under ``root`` as one table, and the audit of the files themselves."""
+    return unify_files(list_shard_files(spark, root), schema, absent)
+
+
+def unify_files(
+    found: DataFrame, schema: T.StructType = SHARD_META, absent: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The parquet files of ``found`` (path) as one table, and their audit.
 
     One scan per distinct set of columns, each with that set's own types, cast
     to ``schema`` and united by name; extra columns are kept. Rows carry
@@ -116,7 +126,8 @@ def unify_shards(
     The driver holds the file names (tens of thousands at most: one per shard),
     never rows.
     """
-    audit = settle_table(inspect_shards(spark, root), "shard-audit")
+    spark = found.sparkSession
+    audit = settle_table(inspect_shards(found), "shard-audit")
     listed = audit.filter(F.col("error").isNull()).select("signature", "path").collect()
     groups: dict[str, list[str]] = {}
     for row in listed:

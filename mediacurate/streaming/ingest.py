@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mediacurate.schemas import SHARD_META
+from mediacurate.sources.shards import unify_files
+
+
+# The columns of Spark's binaryFile source; only the path is kept, so no content is read.
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def _existing(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame | None:
     try:
@@ -30,21 +37,28 @@ def stream_ingest(
     source: str,
     target: str,
     checkpoint: str,
-    schema: T.StructType,
+    schema: T.StructType = SHARD_META,
     files_per_trigger: int = 1000,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Take in every file not seen before, some at a time, then stop.
+    """Take in every shard file not seen before, some at a time, then stop.
 
-    Each micro-batch is written to its own ``batch=<id>`` directory in overwrite
-    mode. When a batch is replayed after a failure, its own earlier output is
-    left out of the known keys, so the replay writes the same rows again.
-    No state is kept beyond the file log and the output table.
+    What streams is the file names. Each micro-batch reads its files as the
+    batch job does, so files whose types differ are cast and an unreadable one
+    goes to the audit (``<target>_audit``) in place of stopping the stream.
+    Rows go to their own ``batch=<id>`` directory in overwrite mode; when a batch
+    is replayed after a failure, its own earlier output is left out of the known
+    keys, so nothing is lost or doubled. No state is kept beyond the file log
+    and the output table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = transform(batch) if transform else batch
+        # At most ``files_per_trigger`` names.
+        names = [(row["path"],) for row in batch.collect()]
+        rows, audit = unify_files(session.createDataFrame(names, "path string"), schema)
+        audit.write.mode("overwrite").parquet(f"{target}_audit/batch={batch_id}")
+        rows = transform(rows) if transform else rows.select(*schema.names)
         stored = T.StructType(rows.schema.fields + [T.StructField("batch", T.LongType())])
         known = _existing(session, target, stored)
         if known is not None:
@@ -52,10 +66,13 @@ def stream_ingest(
         once_by_key(rows, known).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     arrivals = (
-        spark.readStream.schema(schema)
+        spark.readStream.format("binaryFile")
+        .schema(_FILE)
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("recursiveFileLookup", "true")
-        .parquet(source)
+        .option("pathGlobFilter", "*.parquet")
+        .load(source)
+        .select("path")
     )
     query = (
         arrivals.writeStream.foreachBatch(write)

@@ -160,11 +160,11 @@ def test_stream_takes_only_what_is_new(spark, tmp_path):
     source, target, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     arrivals(spark, ["a", "b", "a"], source)
     arrivals(spark, ["b", "c"], source)
-    first = stream_ingest(spark, source, target, log, SHARD_META, files_per_trigger=1)
+    first = stream_ingest(spark, source, target, log, files_per_trigger=1)
     assert tuples(first, "key") == [("a",), ("b",), ("c",)]
     before = {r["key"]: r["batch"] for r in first.collect()}
     arrivals(spark, ["c", "d"], source)
-    second = stream_ingest(spark, source, target, log, SHARD_META, files_per_trigger=1)
+    second = stream_ingest(spark, source, target, log, files_per_trigger=1)
     after = {r["key"]: r["batch"] for r in second.collect()}
     assert after == {**before, "d": 2}
 
@@ -172,9 +172,9 @@ def test_stream_takes_only_what_is_new(spark, tmp_path):
 def test_replayed_batch_writes_its_rows_again(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     arrivals(spark, ["a", "b"], source)
-    stream_ingest(spark, source, target, str(tmp_path / "log1"), SHARD_META)
+    stream_ingest(spark, source, target, str(tmp_path / "log1"))
     # A fresh log stands for a commit that was lost: batch 0 runs again.
-    again = stream_ingest(spark, source, target, str(tmp_path / "log2"), SHARD_META)
+    again = stream_ingest(spark, source, target, str(tmp_path / "log2"))
     assert tuples(again, "key", "batch") == [("a", 0), ("b", 0)]
 
 
@@ -183,3 +183,16 @@ def test_once_by_key(spark):
     assert tuples(once_by_key(batch, None), "key") == [("a",), ("b",)]
     known = spark.createDataFrame([("b",)], "key string")
     assert tuples(once_by_key(batch, known), "key") == [("a",)]
+
+
+def test_stream_survives_odd_files(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    given = {"status": ["success"], "caption": ["c"]}
+    pd.DataFrame({"key": ["a"], "width": [1.0], **given}).to_parquet(source / "00000.parquet")
+    pd.DataFrame({"key": ["b"], "width": [2], **given}).to_parquet(source / "00001.parquet")
+    (source / "00002.parquet").write_bytes(b"nothing")
+    rows = stream_ingest(spark, str(source), target, str(tmp_path / "log"))
+    assert tuples(rows, "key", "width") == [("a", 1), ("b", 2)]
+    audit = spark.read.parquet(target + "_audit")
+    assert [r["path"].rsplit("/", 1)[1] for r in audit.filter("error IS NOT NULL").collect()] == ["00002.parquet"]
