@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from mediacurate.operators.skew import join_many_to_one
 from mediacurate.schemas import CARRIED_COLUMNS, FAILED, SHARD_META, SUCCESS
+from mediacurate.session import task_count
 from mediacurate.sources import files
 
 
@@ -147,7 +148,7 @@ def fetch(
                     yield merged[FETCHED.names]
 
     rows = manifest.select("key", "shard", "url", "caption", *CARRIED_COLUMNS)
-    tasks = partitions or int(manifest.sparkSession.sparkContext.defaultParallelism) * 4
+    tasks = partitions or task_count(manifest.sparkSession)
     # By range: a task holds whole runs of keys, and a large shard is shared by several tasks.
     return rows.repartitionByRange(tasks, "shard", "key").mapInPandas(work, FETCHED)
 

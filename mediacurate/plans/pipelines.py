@@ -16,7 +16,7 @@ from mediacurate.operators import manifest, metadata, numbering, resume
 from mediacurate.operators import validate as validation
 from mediacurate.operators.caption import CaptionOptions, Captioner, caption, load_path
 from mediacurate.schemas import ROWS_PER_SHARD, SHARD_META
-from mediacurate.session import settle_table
+from mediacurate.session import settle_table, task_count
 from mediacurate.sources import assets as listing
 from mediacurate.sources import files
 from mediacurate.sources.shards import success_captions, unify_shards
@@ -237,7 +237,7 @@ def caption_dataset(
     """
     data = Dataset(root)
     batches, rejects = f"{out.rstrip('/')}/batches", f"{out.rstrip('/')}/rejects"
-    tasks = tasks or int(spark.sparkContext.defaultParallelism) * 4
+    tasks = tasks or task_count(spark)
     with single_writer(out, take_over):
         found = listing.list_assets(spark, data.images, ("jpg",), shard_dirs_only=True)
         assets = settle_table(listing.limit_assets(found, max_images), "assets")

@@ -31,6 +31,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks for work whose rows are light and whose steps are slow: listing, opening, fetching.
+
+    Such stages are sized by number, since by bytes they would fold into one
+    task. ``spark.mediacurate.tasks`` sets it, as it should where executors come
+    and go; otherwise it follows the cores at hand.
+    """
+    return int(spark.conf.get("spark.mediacurate.tasks", None) or spark.sparkContext.defaultParallelism * 4)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Fix the rows and their partitions in the reliable checkpoint folder."""
     scratch_root(df.sparkSession)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from mediacurate.functions import layout
 from mediacurate.operators.numbering import global_index
 from mediacurate.schemas import IMAGE_EXTENSIONS, SOURCE_ROWS
+from mediacurate.session import task_count
 from mediacurate.sources import files
 
 # Above this many rows a top-n is taken by position, not held in one task.
@@ -51,9 +52,7 @@ def list_files(
     top = list_directory(spark, root)
     if only is not None:
         top = top.filter(only)
-    tasks = parallelism or int(spark.sparkContext.defaultParallelism) * 4
-    # An explicit number keeps AQE from folding the few, small directory rows into one task.
-    return top.repartition(tasks, "path").mapInPandas(work, "path string, length bigint")
+    return top.repartition(parallelism or task_count(spark), "path").mapInPandas(work, "path string, length bigint")
 
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:

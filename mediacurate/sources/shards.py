@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from mediacurate.functions.text import to_int
 from mediacurate.schemas import SHARD_META, SUCCESS
-from mediacurate.session import settle_table
+from mediacurate.session import settle_table, task_count
 from mediacurate.sources.assets import list_files
 from mediacurate.sources import files
 
@@ -75,7 +75,7 @@ def inspect_shards(found: DataFrame) -> DataFrame:
             ]
             yield frame
 
-    tasks = int(found.sparkSession.sparkContext.defaultParallelism) * 4
+    tasks = task_count(found.sparkSession)
     parts = found.repartition(tasks, "path").mapInPandas(footers, _FOOTERS)
     checked = parts.repartition(tasks, "path", "row_group").mapInPandas(decode, _FOOTERS)
     return checked.groupBy("path").agg(F.max("signature").alias("signature"), F.max("error").alias("error"))

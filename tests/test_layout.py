@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mediacurate.functions import layout, text
 
-PATHS = ["a/x.tar.jpg", "a/.jpg", "a/noext", "b.c/noext", "a/trail.", "images/00001/000010002.jpeg", "solo.png", "d/é ü.webp"]
+PATHS = ["a/x.tar.jpg", "a/.jpg", "a/noext", "b.c/noext", "a/trail.", "images/00001/000010002.jpeg", "solo.png", "/top.jpg", "d/é ü.webp"]
 
 
 def test_path_parts_follow_pathlib(spark):
@@ -62,3 +62,11 @@ def test_sidecar_bodies(spark, body, caption, fields):
 def test_int_spellings(spark):
     df = spark.createDataFrame([("5",), ("5.0",), ("1e2",), ("x",), (None,), ("99999999999",)], "v string")
     assert [r[0] for r in df.select(text.to_int(F.col("v"))).collect()] == [5, 5, 100, None, None, None]
+
+
+@pytest.mark.parametrize("per_shard", [7, 100, 10_000, 20_000])
+def test_keys_of_any_index(spark, per_shard):
+    numbers = [0, 1, 6, 7, 99, 100, 9_999, 10_000, 123_456, 999_999_999, 1_000_000_000, 5_000_000_000]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    got = [r[0] for r in df.select(layout.key_of_index(F.col("n"), per_shard)).collect()]
+    assert got == [f"{n // per_shard:05d}{n % per_shard:04d}" for n in numbers]
