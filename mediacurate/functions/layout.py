@@ -75,12 +75,12 @@ def relative_path(path: Column, root: str) -> Column:
     return F.when(whole.startswith(prefix), F.substring(whole, len(prefix) + 1, 2**31 - 1)).otherwise(whole)
 
 
-def key_of_index(index: Column, per_shard: int = ROWS_PER_SHARD) -> Column:
+def key_of_index(index: str, per_shard: int = ROWS_PER_SHARD) -> Column:
     """Nine digits: shard number, then position inside the shard. Longer where a number needs more."""
-    shard, place = F.call_function("div", index, F.lit(per_shard)), index % F.lit(per_shard)
-    formatted = F.format_string("%05d%04d", shard, place)
+    shard, place = f"({index} div {per_shard})", f"({index} % {per_shard})"
+    formatted = f"format_string('%05d%04d', {shard}, {place})"
     if per_shard > 10_000:
-        return formatted
+        return F.expr(formatted)
     # Padding one number is several times cheaper than the formatter.
-    padded = F.lpad((shard * 10_000 + place).cast("string"), 9, "0")
-    return F.when(shard < 100_000, padded).otherwise(formatted)
+    padded = f"lpad(string({shard} * 10000 + {place}), 9, '0')"
+    return F.expr(f"CASE WHEN {shard} < 100000 THEN {padded} ELSE {formatted} END")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediacurate.functions import layout
-from mediacurate.functions.text import sidecar_fields, to_int
+from mediacurate.functions.text import sidecar_fields
 from mediacurate.schemas import CAPTIONED, META_RECORD, SOURCE_ROWS
 from mediacurate.sources.sidecars import sidecar_body
 
@@ -41,12 +41,16 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
     return rows.groupBy("shard", "key").agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def _sidecar_value(name: str, dtype: T.DataType) -> Column:
-    # An absent string reads as empty; a null stays null.
-    value = F.element_at("_fields", F.lit(name))
-    if dtype == T.IntegerType():
-        return to_int(value)
-    return F.when(F.map_contains_key("_fields", F.lit(name)), value).otherwise(F.lit(""))
+def _struct(value_of: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in value_of.items()) + ")"
+
+
+# An absent string reads as empty; a null stays null. Sizes may be spelled as any number.
+_FROM_SIDECAR = _struct(
+    {n: f"CASE WHEN map_contains_key(_fields, '{n}') THEN element_at(_fields, '{n}') ELSE '' END" for n in _STRINGS}
+    | {n: f"try_cast(try_cast(element_at(_fields, '{n}') AS DOUBLE) AS INT)" for n in _SIZES}
+)
+_EMPTY_RECORD = _struct({n: "''" for n in _STRINGS} | {n: "CAST(NULL AS INT)" for n in _SIZES})
 
 
 def enrich_marked(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame | None = None) -> DataFrame:
@@ -58,31 +62,21 @@ def enrich_marked(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame
     placed; without it, the files are opened, for unmatched assets only.
     ``error`` marks rows whose sidecar is present but no JSON object.
     """
-    record = shard_meta.select(
-        "shard", "key", F.lit(True).alias("_meta"), *[F.col(n).alias(f"_m_{n}") for n in _STRINGS + _SIZES]
+    known = shard_meta.select(
+        "shard", "key", F.lit(True).alias("_meta"), F.struct(*_STRINGS, *_SIZES).alias("_record")
     )
-    joined = assets.join(record, ["shard", "key"], "left")
-    matched = F.coalesce(F.col("_meta"), F.lit(False))
+    joined = assets.join(known, ["shard", "key"], "left")
     if sidecars is None:
-        joined = joined.withColumn("body", sidecar_body(F.when(~matched, F.col("path"))))
+        joined = joined.withColumn("body", sidecar_body(F.expr("CASE WHEN _meta IS NULL THEN path END")))
     else:
         joined = joined.join(sidecars.select("shard", "key", "body"), ["shard", "key"], "left")
-    joined = joined.withColumn("_fields", F.when(~matched, sidecar_fields(F.col("body"))))
-    bad = ~matched & F.col("body").isNotNull() & F.col("_fields").isNull()
-
+    joined = joined.withColumn("_fields", F.when(F.col("_meta").isNull(), sidecar_fields(F.col("body"))))
     carried = [c for c in assets.columns if c not in META_RECORD.names]
-    values = []
-    for field in META_RECORD.fields:
-        if field.name == "key":
-            continue
-        otherwise = F.lit("") if field.dataType == T.StringType() else F.lit(None)
-        value = (
-            F.when(matched, F.col(f"_m_{field.name}"))
-            .when(F.col("_fields").isNotNull(), _sidecar_value(field.name, field.dataType))
-            .otherwise(otherwise)
-        )
-        values.append(value.cast(field.dataType).alias(field.name))
-    return joined.select("key", *carried, *values, F.when(bad, "bad_sidecar").alias("error"))
+    chosen = f"CASE WHEN _meta THEN _record WHEN _fields IS NOT NULL THEN {_FROM_SIDECAR} ELSE {_EMPTY_RECORD} END"
+    bad = "CASE WHEN _meta IS NULL AND body IS NOT NULL AND _fields IS NULL THEN 'bad_sidecar' END"
+    return joined.selectExpr("key", *carried, f"{chosen} AS _chosen", f"{bad} AS error").selectExpr(
+        "key", *carried, *[f"_chosen.{n}" for n in _STRINGS + _SIZES], "error"
+    )
 
 
 def enrich(assets: DataFrame, shard_meta: DataFrame, sidecars: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -43,7 +43,7 @@ def global_index(df: DataFrame, *order_by: str, name: str = "gidx") -> DataFrame
 def assign_keys(df: DataFrame, *order_by: str, per_shard: int = ROWS_PER_SHARD) -> DataFrame:
     """Number the rows and give each a nine-digit key and its shard."""
     numbered = global_index(df, *order_by)
-    return numbered.withColumn("key", key_of_index(F.col("gidx"), per_shard)).withColumn(
+    return numbered.withColumn("key", key_of_index("gidx", per_shard)).withColumn(
         "shard", key_shard(F.col("key"))
     )
 

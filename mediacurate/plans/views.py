@@ -17,91 +17,83 @@ from mediacurate.schemas import FAILED, SUCCESS
 PER_SHARD = 100
 
 
+# Schemas of the given tables; with them, opening a table costs no job.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def key_of(number: str) -> Column:
-    return layout.key_of_index(F.col(number), PER_SHARD)
+    return layout.key_of_index(number, PER_SHARD)
+
+
+_URL = "concat('https://', source, '.example.org/', lang, '/', doc_id) AS url"
+_CARRIED = ["md5(text) AS md5", "lang AS tags", "concat_ws(', ', lang, source) AS merged_tags", "doc_id"]
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source table as it is before any key is assigned."""
-    return table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("https://"), "source", F.lit(".example.org/"), "lang", F.lit("/"), "doc_id").alias("url"),
-        F.col("text").alias("caption"),
-        F.concat(F.lit("doc-"), "doc_id").alias("key"),
-        F.md5("text").alias("md5"),
-        F.col("lang").alias("tags"),
-        F.concat_ws(", ", "lang", "source").alias("merged_tags"),
-        "doc_id",
+    return table(spark, sf_dir, "documents").selectExpr(
+        _URL, "text AS caption", "concat('doc-', doc_id) AS key", *_CARRIED
     )
 
 
 def shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metadata row per document; labels decide status and missing captions."""
-    labels = table(spark, sf_dir, "labels")
-    return (
-        table(spark, sf_dir, "documents")
-        .join(labels, "doc_id", "left")
-        .select(
-            key_of("doc_id").alias("key"),
-            layout.key_shard(key_of("doc_id")).alias("shard"),
-            F.sha2("text", 256).alias("sha256"),
-            F.concat(F.lit("https://"), "source", F.lit(".example.org/"), "lang", F.lit("/"), "doc_id").alias("url"),
-            F.when(F.col("quality") == 0, F.lit("")).otherwise(F.col("text")).alias("caption"),
-            F.concat(F.lit("doc-"), "doc_id").alias("original_key"),
-            F.when(F.col("toxic") == 1, FAILED).otherwise(SUCCESS).alias("status"),
-            F.when(F.col("doc_id") % 13 != 0, F.col("n_chars") % 1024).cast("int").alias("width"),
-            (F.col("doc_id") % 768).cast("int").alias("height"),
-            F.col("n_chars").cast("int").alias("original_width"),
-            F.col("doc_id").cast("int").alias("original_height"),
-            F.md5("text").alias("md5"),
-            F.col("lang").alias("tags"),
-            F.concat_ws(", ", "lang", "source").alias("merged_tags"),
-            "doc_id",
-        )
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return labelled.withColumn("key", key_of("doc_id")).selectExpr(
+        "key",
+        "substring(key, 1, 5) AS shard",
+        "sha2(text, 256) AS sha256",
+        _URL,
+        "CASE WHEN quality = 0 THEN '' ELSE text END AS caption",
+        "concat('doc-', doc_id) AS original_key",
+        f"CASE WHEN toxic = 1 THEN '{FAILED}' ELSE '{SUCCESS}' END AS status",
+        "CASE WHEN doc_id % 13 <> 0 THEN int(n_chars % 1024) END AS width",
+        "int(doc_id % 768) AS height",
+        "int(n_chars) AS original_width",
+        "int(doc_id) AS original_height",
+        *_CARRIED,
     )
 
 
 def shard_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row in five has no metadata, so the fallback is exercised."""
-    return shard_rows(spark, sf_dir).filter(F.col("doc_id") % 5 != 0)
+    return shard_rows(spark, sf_dir).filter("doc_id % 5 <> 0")
 
 
 def sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For the rows without metadata; some are absent, some malformed."""
-    rows = shard_rows(spark, sf_dir).filter((F.col("doc_id") % 5 == 0) & (F.col("doc_id") % 20 != 0))
-    whole = F.concat(
-        F.lit('{"key":"'), "key", F.lit('","caption":"'), "md5", F.lit('","url":"'), "url", F.lit('","width":'),
-        F.coalesce(F.col("width").cast("string"), F.lit("null")), F.lit("}"),
-    )
-    return rows.select("shard", "key", F.when(F.col("doc_id") % 15 == 0, F.lit('{"key":')).otherwise(whole).alias("body"))
+    rows = shard_rows(spark, sf_dir).filter("doc_id % 5 = 0 AND doc_id % 20 <> 0")
+    whole = """concat('{"key":"', key, '","caption":"', md5, '","url":"', url, '","width":',
+        coalesce(string(width), 'null'), '}')"""
+    return rows.selectExpr("shard", "key", f"""CASE WHEN doc_id % 15 = 0 THEN '{{"key":' ELSE {whole} END AS body""")
 
 
 def asset_files(spark: SparkSession, sf_dir: str, other_dir: bool = False) -> DataFrame:
     """Paths only; every tenth document has two files. ``other_dir`` moves some out of the shard directories."""
-    doc_id = F.col("doc_id")
-    kinds = (
-        F.when(doc_id % 10 == 0, F.array(F.lit("webp"), F.lit("png")))
-        .when(doc_id % 4 == 0, F.array(F.lit("jpg")))
-        .when(doc_id % 4 == 1, F.array(F.lit("jpeg")))
-        .when(doc_id % 4 == 2, F.array(F.lit("png")))
-        .otherwise(F.array(F.lit("webp")))
-    )
-    shard = layout.key_shard(F.col("key"))
-    folder = F.when(doc_id % 100 == 48, "tmp").otherwise(shard) if other_dir else shard
-    rows = table(spark, sf_dir, "documents").select(
-        key_of("doc_id").alias("key"), "doc_id", F.explode(kinds).alias("ext")
-    )
-    return rows.select(F.concat(F.lit("images/"), folder, F.lit("/"), "key", F.lit("."), "ext").alias("path"))
+    kinds = """CASE WHEN doc_id % 10 = 0 THEN array('webp', 'png') WHEN doc_id % 4 = 0 THEN array('jpg')
+        WHEN doc_id % 4 = 1 THEN array('jpeg') WHEN doc_id % 4 = 2 THEN array('png') ELSE array('webp') END"""
+    folder = "substring(key, 1, 5)"
+    if other_dir:
+        folder = f"CASE WHEN doc_id % 100 = 48 THEN 'tmp' ELSE {folder} END"
+    rows = document_keys(spark, sf_dir).selectExpr("key", "doc_id", f"explode({kinds}) AS ext")
+    return rows.selectExpr(f"concat('images/', {folder}, '/', key, '.', ext) AS path")
 
 
 def page_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as payloads of the first documents' assets."""
-    key = key_of("page_id")
-    path = F.concat(F.lit("images/"), layout.key_shard(key), F.lit("/"), key, F.lit(".html"))
-    return table(spark, sf_dir, "pages").select("page_id", key.alias("key"), path.alias("path"), "html")
+    keyed = table(spark, sf_dir, "pages").withColumn("key", key_of("page_id"))
+    return keyed.selectExpr(
+        "page_id", "key", "concat('images/', substring(key, 1, 5), '/', key, '.html') AS path", "html"
+    )
 
 
 def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
