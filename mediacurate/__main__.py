@@ -12,7 +12,7 @@ from importlib import import_module
 from pyspark.sql import SparkSession
 
 from mediacurate.operators.caption import CaptionOptions
-from mediacurate.plans import pipelines
+from mediacurate.plans import jobs
 
 
 def make(spec: str | None):
@@ -83,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
         chosen = {"batch_size": args.batch_size, "max_new_tokens": args.max_tokens}
         if args.prompt:
             chosen["prompt"] = args.prompt
-        pipelines.caption_dataset(
+        jobs.caption_dataset(
             spark,
             args.output,
             args.checkpoint_dir,
@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
         return
     check = {"level": args.level, "decoder": make(args.decoder), "report": show}
     if args.job == "download":
-        pipelines.download(
+        jobs.download(
             spark,
             args.source,
             args.output,
@@ -112,9 +112,9 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "regenerate":
         choice = "none" if not args.validate else "clean" if args.clean else "report"
-        pipelines.regenerate(spark, args.output, choice, delete_mode=args.delete_mode, **check)
+        jobs.regenerate(spark, args.output, choice, delete_mode=args.delete_mode, **check)
     else:
-        pipelines.rebuild(spark, args.output, args.clean, **check)
+        jobs.rebuild(spark, args.output, args.clean, **check)
 
 
 if __name__ == "__main__":

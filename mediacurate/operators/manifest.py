@@ -105,3 +105,25 @@ def from_sidecars(assets: DataFrame, sidecars: DataFrame | None = None, root: st
         rows = assets.join(sidecars.select("shard", "key", "body"), ["shard", "key"], "left")
     rows = rows.select("path", sidecar_caption(F.col("body")).alias("caption"))
     return rows.select(*_pair(root))
+
+
+def build_manifest(
+    mode: str,
+    assets: DataFrame,
+    captions: DataFrame | None = None,
+    valid_keys: DataFrame | None = None,
+    validity: DataFrame | None = None,
+    sidecars: DataFrame | None = None,
+    root: str | None = None,
+    images_dir: str = "images",
+) -> tuple[DataFrame, DataFrame]:
+    """Rows and counters in one of three modes: ``validated``, ``listing`` or ``sidecar``."""
+    if mode == "validated":
+        rows = validated(valid_keys, captions, assets, root, images_dir)
+        return rows, validated_counters(valid_keys, captions, assets, images_dir)
+    if mode == "listing":
+        return listing(assets, captions, validity, root), listing_counters(assets, captions, validity)
+    if mode == "sidecar":
+        rows = from_sidecars(assets, sidecars, root)
+        return rows, rows.agg(F.count("*").alias("matched"), F.count_if(F.col("prompt") == "").alias("empty_caption"))
+    raise ValueError(f"unknown mode {mode!r}")

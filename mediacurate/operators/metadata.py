@@ -37,6 +37,11 @@ def caption_by_key(captions: DataFrame, order: list[str]) -> DataFrame:
     return captions.groupBy("key").agg(F.max_by("caption", F.struct(*order)).alias("caption"))
 
 
+def shards_without_metadata(assets: DataFrame, shard_meta: DataFrame) -> DataFrame:
+    """Shards that have assets but no metadata row; their assets fall back to sidecars."""
+    return assets.select("shard").distinct().join(shard_meta.select("shard").distinct(), "shard", "left_anti")
+
+
 def duplicate_keys(rows: DataFrame) -> DataFrame:
     return rows.groupBy("shard", "key").agg(F.count("*").alias("copies")).filter("copies > 1")
 

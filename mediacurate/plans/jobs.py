@@ -120,6 +120,7 @@ def download(
         fetching.write_fetched(fetched, table)
     rows, audit = unify(spark, root)
     report("shard files", audit.groupBy(F.col("error").isNull().alias("read")).agg(F.count("*").alias("files")))
+    report("keys more than once", metadata.duplicate_keys(rows).agg(F.count("*").alias("keys")))
     report("fetched", rows.groupBy("status").agg(F.count("*").alias("rows")))
     regenerate(spark, root, validate, level, decoder, report=report, rows=rows)
 
@@ -167,8 +168,7 @@ def regenerate(
     everything = settle_table(listing.with_layout(listing.list_files(spark, data.images)), "listing")
     images = listing.image_assets(everything)
     if validate == "none":
-        made = manifest.listing(images, captions, root=data.root)
-        report("manifest", manifest.listing_counters(images, captions))
+        made, counters = manifest.build_manifest("listing", images, captions, root=data.root)
     else:
         validity = _validity(spark, data, images, level, decoder)
         report("validity", validation.validity_counts(validity))
@@ -182,8 +182,10 @@ def regenerate(
             corrupt = validity.filter("NOT is_valid").select("path")
             images = images.join(corrupt, "path", "left_anti")
         keys = validation.valid_keys(validity)
-        made = manifest.validated(keys, captions, images, data.root, data.images)
-        report("manifest", manifest.validated_counters(keys, captions, images, data.images))
+        made, counters = manifest.build_manifest(
+            "validated", images, captions, valid_keys=keys, root=data.root, images_dir=data.images
+        )
+    report("manifest", counters)
     write_training_csv(made, data.at("metadata.csv"))
     return made
 
@@ -247,6 +249,8 @@ def caption_dataset(
             report("assets", resume.skip_counts(assets, done))
             assets = resume.pending(assets, done)
         rows, _ = unify_shards(spark, data.shards, absent="")
+        alone = metadata.shards_without_metadata(assets, rows)
+        report("without metadata", alone.agg(F.count("*").alias("shards")))
         records = metadata.last_by_key(
             rows.select(*SHARD_META.names, "shard", "shard_file", "row_pos"), ["shard", "key"], ["shard_file", "row_pos"]
         )

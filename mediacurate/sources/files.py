@@ -78,7 +78,14 @@ def _local_children(path: str) -> Iterator[tuple[str, bool, int]]:
     with os.scandir(path) as entries:
         for entry in entries:
             is_dir = entry.is_dir()
-            yield entry.path, is_dir, 0 if is_dir else entry.stat().st_size
+            yield entry.path, is_dir, 0 if is_dir else _size(entry)
+
+
+def _size(entry: os.DirEntry) -> int:
+    try:
+        return entry.stat().st_size
+    except OSError:  # gone meanwhile, or a link to nothing
+        return 0
 
 
 def walk(uri: str) -> Iterator[tuple[str, int]]:

@@ -55,7 +55,7 @@ def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root, shard_entry).filter(F.col("path").endswith(".parquet")).select("path")
 
 
-def inspect_shards(found: DataFrame) -> DataFrame:
+def inspect_shards(found: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per parquet file of ``found`` (path): path, signature of its columns, error or null.
 
     Footers are read in tasks, then every row group is decoded once, spread one
@@ -75,7 +75,7 @@ def inspect_shards(found: DataFrame) -> DataFrame:
             ]
             yield frame
 
-    tasks = task_count(found.sparkSession)
+    tasks = tasks or task_count(found.sparkSession)
     parts = found.repartition(tasks, "path").mapInPandas(footers, _FOOTERS)
     checked = parts.repartition(tasks, "path", "row_group").mapInPandas(decode, _FOOTERS)
     return checked.groupBy("path").agg(F.max("signature").alias("signature"), F.max("error").alias("error"))
@@ -115,7 +115,7 @@ def unify_shards(
 
 
 def unify_files(
-    found: DataFrame, schema: T.StructType = SHARD_META, absent: str | None = None
+    found: DataFrame, schema: T.StructType = SHARD_META, absent: str | None = None, tasks: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The parquet files of ``found`` (path) as one table, and their audit.
 
@@ -127,7 +127,7 @@ def unify_files(
     never rows.
     """
     spark = found.sparkSession
-    audit = settle_table(inspect_shards(found), "shard-audit")
+    audit = settle_table(inspect_shards(found, tasks), "shard-audit")
     listed = audit.filter(F.col("error").isNull()).select("signature", "path").collect()
     groups: dict[str, list[str]] = {}
     for row in listed:

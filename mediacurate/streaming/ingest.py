@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediacurate.schemas import SHARD_META
+from mediacurate.session import task_count
 from mediacurate.sources.shards import unify_files
 
 
@@ -56,7 +57,8 @@ def stream_ingest(
         session = batch.sparkSession
         # At most ``files_per_trigger`` names.
         names = [(row["path"],) for row in batch.collect()]
-        rows, audit = unify_files(session.createDataFrame(names, "path string"), schema)
+        found = session.createDataFrame(names, "path string")
+        rows, audit = unify_files(found, schema, tasks=max(1, min(len(names), task_count(session))))
         audit.write.mode("overwrite").parquet(f"{target}_audit/batch={batch_id}")
         rows = transform(rows) if transform else rows.select(*schema.names)
         stored = T.StructType(rows.schema.fields + [T.StructField("batch", T.LongType())])

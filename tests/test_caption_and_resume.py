@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from conftest import tuples
 from pyspark import cloudpickle
+from pyspark.resource import ResourceProfileBuilder
 from pyspark.sql import functions as F
 
 from mediacurate.operators import resume
@@ -68,13 +69,21 @@ def test_captions_are_asked_for_once(rows):
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_on_a_resource_profile(rows):
-    plain = caption(rows, Recorder(), "t").select("i", "vlm_caption", "error")
-    from pyspark.resource import ResourceProfileBuilder
+def test_on_a_resource_profile(rows, monkeypatch):
+    """Local mode knows no resource profiles, so the profile is noted and left out of the run."""
+    asked = []
+    frame = type(rows)
+    plain = frame.mapInPandas
 
-    built = caption(rows, Recorder(), "t", profile=ResourceProfileBuilder().build)
-    assert built.columns == ["i", "t", "vlm_caption", "error"]
-    assert plain.columns == ["i", "vlm_caption", "error"]
+    def without_profile(self, func, schema, barrier=False, profile=None):
+        asked.append(profile)
+        return plain(self, func, schema)
+
+    monkeypatch.setattr(frame, "mapInPandas", without_profile)
+    profile = ResourceProfileBuilder().build
+    told = caption(rows, Recorder(), "t", profile=profile)
+    assert asked == [profile]
+    assert tuples(told) == tuples(caption(rows, Recorder(), "t"))
 
 
 def stored(spark, *given):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mediacurate import __main__ as command
 from mediacurate.operators.fetch import UrlFetcher
-from mediacurate.plans import pipelines
+from mediacurate.plans import jobs
 from mediacurate.schemas import CAPTIONED
 from mediacurate.sources.sinks import read_training_csv
 
@@ -53,7 +53,7 @@ def web(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def dataset(spark, web, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("data"))
-    pipelines.download(
+    jobs.download(
         spark, str(web / "source.parquet"), root, UrlFetcher(), threads=4, per_shard=5, shards_per_round=2, retries=1
     )
     return root
@@ -91,25 +91,25 @@ def test_second_download_fetches_nothing(spark, web, dataset):
             raise AssertionError("fetched again")
 
     before = tuples(spark.read.parquet(f"{dataset}/full_metadata.parquet"), "key", "status", "attempts")
-    pipelines.download(spark, str(web / "source.parquet"), dataset, Refuses(), per_shard=5, level="structural")
+    jobs.download(spark, str(web / "source.parquet"), dataset, Refuses(), per_shard=5, level="structural")
     assert tuples(spark.read.parquet(f"{dataset}/full_metadata.parquet"), "key", "status", "attempts") == before
 
 
 def test_regenerate_without_checks_lists_every_file(spark, dataset):
-    made = pipelines.regenerate(spark, dataset, "none")
+    made = jobs.regenerate(spark, dataset, "none")
     assert made.count() == 8
     with pytest.raises(ValueError):
-        pipelines.regenerate(spark, dataset, "maybe")
+        jobs.regenerate(spark, dataset, "maybe")
 
 
 def test_clean_and_rebuild(spark, web, tmp_path):
     root = str(tmp_path)
     source = str(web / "source.parquet")
-    pipelines.download(spark, source, root, UrlFetcher(), per_shard=5, retries=0, level="structural", validate="none")
-    pipelines.regenerate(spark, root, "clean", "structural")
+    jobs.download(spark, source, root, UrlFetcher(), per_shard=5, retries=0, level="structural", validate="none")
+    jobs.regenerate(spark, root, "clean", "structural")
     left = sorted(p.name for p in Path(root, "images").rglob("*.jpg"))
     assert "000010001.jpg" not in left and "000010002.jpg" not in left and len(left) == 8
-    made = pipelines.rebuild(spark, root, level="structural")
+    made = jobs.rebuild(spark, root, level="structural")
     got = tuples(read_training_csv(spark, f"{root}/metadata.csv"))
     assert got == tuples(made) and len(got) == 8
     assert ("images/00000/000000003.jpg", "") in got and ("images/00000/000000004.jpg", "") in got
@@ -118,7 +118,7 @@ def test_clean_and_rebuild(spark, web, tmp_path):
 def test_rebuild_removes_pairs_when_asked(spark, tmp_path):
     put(tmp_path, {"images/x/a.jpg": b"<!DOCTYPE html>", "images/x/a.json": b"{}", "images/x/a.txt": b"", "images/x/b.jpg": jpeg(spark)})
     put(tmp_path, {"images/x/deep/c.jpg": b"<!DOCTYPE html>"})
-    made = pipelines.rebuild(spark, str(tmp_path), clean=True)
+    made = jobs.rebuild(spark, str(tmp_path), clean=True)
     assert tuples(made) == [("images/x/b.jpg", "")]
     left = sorted(p.name for p in Path(tmp_path, "images").rglob("*.*"))
     assert left == ["a.txt", "b.jpg", "c.jpg"]
@@ -126,7 +126,7 @@ def test_rebuild_removes_pairs_when_asked(spark, tmp_path):
 
 def test_caption_resume_and_publish(spark, dataset, tmp_path):
     out, pub = str(tmp_path / "run"), str(tmp_path / "pub")
-    first = pipelines.caption_dataset(
+    first = jobs.caption_dataset(
         spark, dataset, out, BySize(), rows_per_batch=2, max_images=5, publish_to=pub, batches_per_round=1
     )
     assert first.columns == CAPTIONED.names and first.count() == 5
@@ -139,10 +139,10 @@ def test_caption_resume_and_publish(spark, dataset, tmp_path):
     old = {p: p.stat().st_mtime_ns for p in Path(out, "batches").rglob("*.parquet")}
 
     # The same limit again finds nothing to do.
-    pipelines.caption_dataset(spark, dataset, out, BySize(), rows_per_batch=2, max_images=5)
+    jobs.caption_dataset(spark, dataset, out, BySize(), rows_per_batch=2, max_images=5)
     assert {p: p.stat().st_mtime_ns for p in Path(out, "batches").rglob("*.parquet")} == old
 
-    whole = pipelines.caption_dataset(spark, dataset, out, BySize(), rows_per_batch=2)
+    whole = jobs.caption_dataset(spark, dataset, out, BySize(), rows_per_batch=2)
     # Ten files, one of them HTML: rejected, kept for a later run.
     assert whole.count() == 9 and whole.select("key").distinct().count() == 9
     now = {p: p.stat().st_mtime_ns for p in Path(out, "batches").rglob("*.parquet")}
@@ -150,34 +150,34 @@ def test_caption_resume_and_publish(spark, dataset, tmp_path):
     stored = spark.read.parquet(f"{out}/batches")
     assert tuples(stored.filter("error IS NOT NULL"), "key") == [("000010002",)]
     assert stored.agg(F.max("batch_id")).first()[0] == 5
-    again = pipelines.caption_dataset(spark, dataset, out, BySize(), rows_per_batch=2)
+    again = jobs.caption_dataset(spark, dataset, out, BySize(), rows_per_batch=2)
     assert again.count() == 9
     assert tuples(spark.read.parquet(f"{out}/batches").filter("batch_id = 6"), "key", "error")[0][0] == "000010002"
 
 
 def test_start_over_without_resume(spark, dataset, tmp_path):
     out = str(tmp_path / "run")
-    pipelines.caption_dataset(spark, dataset, out, BySize(), max_images=2)
-    table = pipelines.caption_dataset(spark, dataset, out, BySize(), max_images=2, resume_run=False)
+    jobs.caption_dataset(spark, dataset, out, BySize(), max_images=2)
+    table = jobs.caption_dataset(spark, dataset, out, BySize(), max_images=2, resume_run=False)
     assert table.count() == 2
     assert spark.read.parquet(f"{out}/batches").count() == 4
 
 
 def test_bad_sidecar_is_rejected_not_captioned(spark, tmp_path):
     put(tmp_path, {"images/00000/a.jpg": jpeg(spark), "images/00000/a.json": b"[1", "images/00000/b.jpg": jpeg(spark)})
-    table = pipelines.caption_dataset(spark, str(tmp_path), str(tmp_path / "run"), BySize())
+    table = jobs.caption_dataset(spark, str(tmp_path), str(tmp_path / "run"), BySize())
     assert tuples(table, "key", "url", "width") == [("b", "", None)]
     assert tuples(spark.read.parquet(str(tmp_path / "run" / "rejects")), "key", "error") == [("a", "bad_sidecar")]
 
 
 def test_one_writer(tmp_path):
-    with pipelines.single_writer(str(tmp_path)):
+    with jobs.single_writer(str(tmp_path)):
         with pytest.raises(RuntimeError):
-            with pipelines.single_writer(str(tmp_path)):
+            with jobs.single_writer(str(tmp_path)):
                 pass
-        with pipelines.single_writer(str(tmp_path), take_over=True):
+        with jobs.single_writer(str(tmp_path), take_over=True):
             pass
-    with pipelines.single_writer(str(tmp_path)):
+    with jobs.single_writer(str(tmp_path)):
         pass
 
 
@@ -192,6 +192,6 @@ def test_command_line(spark, web, tmp_path):
     assert read_training_csv(spark, f"{root}/metadata.csv").count() == 8
     run = str(tmp_path / "run")
     command.main(
-        ["caption", "--output", root, "--checkpoint-dir", run, "--captioner", "test_pipelines:BySize", "--max-images", "3", "--max-tokens", "5"]
+        ["caption", "--output", root, "--checkpoint-dir", run, "--captioner", "test_jobs:BySize", "--max-images", "3", "--max-tokens", "5"]
     )
     assert {r["vlm_caption"].split(", ")[1] for r in spark.read.parquet(f"{run}/all_captions").collect()} == {"5 tokens"}

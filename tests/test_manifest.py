@@ -94,6 +94,23 @@ def test_sidecar_manifest_keeps_empty_captions(spark, files):
     }
 
 
+def test_three_modes(spark, files, captions):
+    rows, counters = manifest.build_manifest("validated", files, captions, valid_keys=keys(spark, 1, 2, 3))
+    assert (rows.count(), counters.first().asDict()) == (2, {"matched": 2, "missing_caption": 1, "no_file": 0})
+    rows, counters = manifest.build_manifest("listing", files, captions)
+    assert (rows.count(), counters.first()["matched"]) == (4, 4)
+    sidecars = spark.createDataFrame([("00000", "000000002", '{"caption":"side"}')], "shard string, key string, body string")
+    rows, counters = manifest.build_manifest("sidecar", files, sidecars=sidecars)
+    assert counters.first().asDict() == {"matched": 6, "empty_caption": 5}
+    with pytest.raises(ValueError):
+        manifest.build_manifest("other", files)
+
+
+def test_shards_without_metadata(spark, files):
+    meta = spark.createDataFrame([("00000",)], "shard string")
+    assert tuples(metadata.shards_without_metadata(files, meta)) == [("tmp",)]
+
+
 def test_csv_equals_pandas(spark, tmp_path):
     prompts = ["plain", 'has "quotes", commas', "two\nlines", "  spaces  ", "back\\slash", "", 'ends\\"', "é,ü"]
     df = pd.DataFrame({"video": [f"images/{i}.jpg" for i in range(len(prompts))], "prompt": prompts})
