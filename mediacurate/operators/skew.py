@@ -27,7 +27,7 @@ def join_many_to_one(
     sample: float = SAMPLE,
     least: int = HOT_IN_SAMPLE,
 ) -> DataFrame:
-    """Join ``facts`` to ``dim``, which has one row per ``key``.
+    """Join ``facts`` to ``dim``, which has one row per ``key`` (any number for semi and anti joins).
 
     Rows of hot keys stay where they are and meet a broadcast of at most
     ``MOST_HOT_KEYS`` rows; all others are joined as usual. Without hot keys
@@ -37,5 +37,8 @@ def join_many_to_one(
     if not hot:
         return facts.join(dim, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    apart = facts.filter(is_hot).join(F.broadcast(dim.filter(is_hot)), key, how)
+    few = dim.filter(is_hot)
+    if how in ("left_semi", "left_anti"):
+        few = few.select(key).distinct()
+    apart = facts.filter(is_hot).join(F.broadcast(few), key, how)
     return facts.filter(~is_hot).join(dim.filter(~is_hot), key, how).unionByName(apart)

@@ -119,7 +119,9 @@ def decode_with_image_source(spark: SparkSession, directories: list[str]) -> Dat
     """Path and ``decoded`` for files Spark's image source can judge (JPEG, PNG).
 
     The source lists on the driver, so it is given some directories at a time
-    and each round's verdicts are written before the next.
+    and each round's verdicts are written before the next. Files directly under
+    the root are in none of them and keep their structural verdict. For single
+    directories too large to list, pass a decoder to ``validate`` instead.
     """
     target = scratch_path(spark, "decoded")
     glob = "*.{" + ",".join(IMAGE_EXTENSIONS) + "}"
@@ -209,7 +211,7 @@ def delete_plan(corrupt: DataFrame, existing: DataFrame, mode: str = "file") ->
 
 
 def remove_files(plan: DataFrame) -> DataFrame:
-    """Carry out a plan. The returned log is written, so nothing is removed twice."""
+    """Carry out a plan; the log says which paths are gone. It is written, so the work is done once."""
 
     def work(frames):
         for frame in frames:

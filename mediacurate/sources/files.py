@@ -40,11 +40,13 @@ def write_bytes(uri: str, content: bytes) -> None:
 
 
 def delete_file(uri: str) -> bool:
-    """True when the file was there."""
+    """True when the file is no longer there, whoever removed it: a task may run twice."""
     system, path = locate(uri)
     try:
         system.delete_file(path)
     except FileNotFoundError:
+        return True
+    except OSError:
         return False
     return True
 

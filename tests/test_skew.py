@@ -33,6 +33,15 @@ def test_same_rows_as_the_plain_join(spark, tables, how, hot_known):
     assert tuples(join_many_to_one(facts, dim, "key", how, sample=1, least=500)) == tuples(plain)
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_copies_on_the_right(spark, tables, how):
+    facts, _ = tables
+    copies = spark.range(2000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise("k7").alias("key"))
+    joined = join_many_to_one(facts, copies, "key", how, sample=1, least=500)
+    assert tuples(joined) == tuples(facts.join(copies, "key", how))
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_rows_are_not_shuffled(spark, tables):
     facts, dim = tables
     dim = dim.unionByName(spark.createDataFrame([("hot", -1)], "key string, v bigint"))
