@@ -12,11 +12,24 @@ from mediacurate.functions.layout import normalise_root
 from mediacurate.functions.signatures import HEAD_BYTES, TAIL_BYTES
 
 
+# Clients by scheme and authority, so that a task opens one for all its files.
+_SYSTEMS: dict[str, tuple[fs.FileSystem, str]] = {}
+
+
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of ``uri`` and the path inside it."""
     plain = normalise_root(uri)
-    if "://" in plain:
-        return fs.FileSystem.from_uri(plain)
-    return fs.LocalFileSystem(), plain
+    if "://" not in plain:
+        return fs.LocalFileSystem(), plain
+    scheme, rest = plain.split("://", 1)
+    authority, _, inner = rest.partition("/")
+    # Spark's names for the store that pyarrow calls s3.
+    known = "s3" if scheme in ("s3a", "s3n") else scheme
+    base = f"{known}://{authority}/"
+    if base not in _SYSTEMS:
+        _SYSTEMS[base] = fs.FileSystem.from_uri(base)
+    system, top = _SYSTEMS[base]
+    return system, f"{top.rstrip('/')}/{inner}" if top else inner
 
 
 def read_bytes(uri: str) -> bytes:
@@ -68,7 +81,7 @@ def children(uri: str) -> Iterator[tuple[str, bool, int]]:
         yield from _local_children(path)
         return
     whole = normalise_root(uri)
-    prefix = whole[: -len(path)] if whole.endswith(path) else ""
+    prefix = whole[: len(whole) - len(path)]
     for info in system.get_file_info(fs.FileSelector(path, allow_not_found=True)):
         yield prefix + info.path, info.type == fs.FileType.Directory, info.size or 0
 
