@@ -12,8 +12,14 @@ from mediacurate.functions.layout import normalise_root
 from mediacurate.functions.signatures import HEAD_BYTES, TAIL_BYTES
 
 
-# Clients by scheme and authority, so that a task opens one for all its files.
-_SYSTEMS: dict[str, tuple[fs.FileSystem, str]] = {}
+class _Systems(dict):
+    """Clients by scheme and authority, so that a task opens one for all its files; it starts with none."""
+
+    def __reduce__(self):
+        return _Systems, ()
+
+
+_SYSTEMS = _Systems()
 
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark import cloudpickle
 
 from mediacurate.sources import files
 
@@ -28,3 +29,11 @@ def test_tree_on_any_file_system(root, tmp_path):
 def test_frames_are_bounded():
     sizes = [len(f) for f in files.in_frames(((i,) for i in range(25)), ["i"], size=10)]
     assert sizes == [10, 10, 5]
+
+
+def test_clients_do_not_travel():
+    files.write_bytes("mock:///x/y", b"1")
+    assert files._SYSTEMS
+    sent = cloudpickle.loads(cloudpickle.dumps(files.locate))
+    assert sent("mock:///x/y")[1].endswith("x/y")
+    assert cloudpickle.loads(cloudpickle.dumps(files._SYSTEMS)) == {}
