@@ -25,7 +25,7 @@ other columns are ignored. A single text is held in memory whole.
 from __future__ import annotations
 
 import hashlib
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediacurate.session import settle_table
+from mediacurate.session import scratch_path, settle_table
 
 LENGTH = 50
 GRAM = 20
@@ -90,10 +90,13 @@ def least_hashes(text: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np
     return np.minimum(h[:n], h[rest : rest + n])
 
 
-def _cover_ranks(words: np.ndarray, reach: int) -> np.ndarray:
-    """Ranks of the strings of ``reach`` bytes at the places of the cover; -1 elsewhere and where the text ends before."""
+def _cover_ranks(words: np.ndarray, reach: int, starts: np.ndarray) -> np.ndarray:
+    """Ranks of the strings of ``reach`` bytes at those places of the cover that follow ``starts`` within a period."""
     ranks = np.full(len(words) + 8, -1, np.int32)
-    places = np.flatnonzero(np.resize(_MEMBER, max(0, len(words) + 8 - reach)))
+    near = np.zeros(len(ranks) + 1, np.int32)
+    np.add.at(near, starts, 1)
+    np.subtract.at(near, np.minimum(starts + PERIOD, len(ranks)), 1)
+    places = np.flatnonzero((np.cumsum(near[:-1]) > 0) & np.resize(_MEMBER, len(ranks)))
     if not len(places):
         return ranks
     offsets = [*range(0, reach - 8, 8), reach - 8]
@@ -125,7 +128,7 @@ def sorted_classes(text: np.ndarray, starts: np.ndarray, length: int = LENGTH) -
     order, group = order[sizes[group] > 1], group[sizes[group] > 1]
     if not len(order):
         return leader
-    ranks = _cover_ranks(words, length - PERIOD)
+    ranks = _cover_ranks(words, length - PERIOD, starts[order])
     residue = starts % PERIOD
     while len(order):
         first = np.concatenate([[True], group[1:] != group[:-1]])
@@ -157,6 +160,17 @@ def _gathered(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 _BLOCK = "block bigint, ids binary, absent binary, lengths binary, body binary"
 
 
+_CODEC = "zstd"
+
+
+def _packed(data: bytes) -> bytes:
+    return pa.Codec(_CODEC, compression_level=3).compress(data, asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> bytes:
+    return pa.Codec(_CODEC).decompress(data, int(size), asbytes=True) if size else b""
+
+
 def _row(names: list[str], kinds: list, *values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
@@ -175,7 +189,7 @@ def blocks_of(docs: DataFrame, text: str, doc_id: str, block_bytes: int) -> Data
             numbers = np.array([_LAST if i is None else i for i in ids], np.int64)
             absent = np.array([i is None for i in ids])
             lengths = np.fromiter(map(len, bodies), np.int64, len(bodies))
-            body = zlib.compress(b"".join(bodies), 1)
+            body = _packed(b"".join(bodies))
             return _row(names, kinds, number, numbers.tobytes(), absent.tobytes(), lengths.tobytes(), body)
 
         for batch in batches:
@@ -202,23 +216,34 @@ class _Block:
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.absent = np.frombuffer(row["absent"], bool)
         self.lengths = np.frombuffer(row["lengths"], np.int64)
-        self.body = zlib.decompress(row["body"])
+        self.body = _unpacked(row["body"], self.lengths.sum())
         self.text = np.frombuffer(self.body, np.uint8)
         self.ends = np.cumsum(self.lengths)
         if not hashes:
             return
         self.least = least_hashes(self.text)
-        self.doc = np.repeat(np.arange(len(self.ids)), self.lengths)[: len(self.least)]
-        inside = np.arange(len(self.least)) + LENGTH <= self.ends[self.doc]
+        n = len(self.least)
+        # Windows that would cross the end of a document count for nothing.
+        inside = np.ones(len(self.text), bool)
+        last = np.maximum(self.ends - LENGTH + 1, self.ends - self.lengths)
+        inside[_windows(last, self.ends)] = False
         # Stretches: neighbouring windows of one document with one least hash.
-        new = np.ones(len(self.least), bool)
-        new[1:] = (self.least[1:] != self.least[:-1]) | (self.doc[1:] != self.doc[:-1]) | (inside[1:] != inside[:-1])
-        starts = np.flatnonzero(new)
-        stops = np.append(starts[1:], len(self.least))
+        new = np.ones(n + LENGTH, bool)
+        np.not_equal(self.least[1:], self.least[:-1], out=new[1:n]) if n else None
+        for bound in (last, self.ends):
+            new[bound[bound < n]] = True
+        starts = np.flatnonzero(new[:n])
+        stops = np.append(starts[1:], n)
         kept = inside[starts]
         self.starts, self.stops = starts[kept], stops[kept]
         self.stretch = self.least[self.starts]
 
+    def doc_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, places, side="right")
+
+    def ids_at(self, places: np.ndarray) -> np.ndarray:
+        return self.ids[self.doc_of(places)]
+
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one at a time, so that one block is unpacked at a time."""
@@ -231,6 +256,20 @@ def _dealt(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (((hashes * _M1) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
+_LOW = np.uint64(2**48 - 1)
+
+
+def _shortened(hashes: np.ndarray) -> bytes:
+    """Six bytes of each hash: they choose candidates only, and the bucket tells more bits apart."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _lengthened(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 _HASHES = "bucket bigint, block bigint, hashes binary"
 
 
@@ -249,7 +288,7 @@ def hashes_of(blocks: DataFrame, buckets: int) -> DataFrame:
                 [
                     pa.array([int(where[p[0]]) for p in parts], pa.int64()),
                     pa.array([block.number] * len(parts), pa.int64()),
-                    pa.array([found[p].tobytes() for p in parts], pa.binary()),
+                    pa.array([_shortened(found[p]) for p in parts], pa.binary()),
                 ],
                 names=["bucket", "block", "hashes"],
             )
@@ -261,10 +300,10 @@ def shared_hashes(hashes: DataFrame) -> DataFrame:
     """Per block and bucket those hashes that another block has too."""
 
     def compare(table: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
-        every, counts = np.unique(np.concatenate(lists), return_counts=True)
+        lists = [_lengthened(x.as_py()) for x in table.column("hashes")]
+        every, counts = np.unique(np.concatenate(lists), return_counts=True)  # distinct within each block
         shared = every[counts > 1]
-        out = [one[np.isin(one, shared, assume_unique=True)].tobytes() for one in lists]
+        out = [_shortened(one[np.isin(one, shared)]) for one in lists]
         kept = [i for i, one in enumerate(out) if one]
         return pa.table({"block": table.column("block").take(pa.array(kept, pa.int64())), "hashes": pa.array([out[i] for i in kept], pa.binary())})
 
@@ -282,18 +321,18 @@ def settle_within(joined: DataFrame, buckets: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             block = _Block(row)
-            parts = [np.frombuffer(x, np.uint64) for x in row["shared"] or []]
+            parts = [_lengthened(x) for x in row["shared"] or []]
             shared = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            outside = np.isin(block.stretch, shared)
+            outside = np.isin(block.stretch & _LOW, shared)
             _, inverse, counts = np.unique(block.stretch, return_inverse=True, return_counts=True)
             again = counts[inverse] > 1
             flags = np.zeros(len(block.least) + 1, bool)
 
             # Windows whose hash the block has in several stretches, by rising document.
             starts = _windows(block.starts[again], block.stops[again])
-            starts = starts[np.argsort(block.ids[block.doc[starts]], kind="stable")]
+            starts = starts[np.argsort(block.ids_at(starts), kind="stable")]
             leader = sorted_classes(block.text, starts)
-            own = block.ids[block.doc[starts]]
+            own = block.ids_at(starts)
             gone = starts[own > own[leader]]
             flags[gone] = True
             at, until = _runs(flags[:-1])
@@ -323,8 +362,8 @@ def settle_within(joined: DataFrame, buckets: int) -> DataFrame:
                     int(number.sum()),
                     first.tobytes(),
                     number.tobytes(),
-                    block.ids[block.doc[first]].tobytes(),
-                    zlib.compress(body.tobytes(), 1),
+                    block.ids_at(first).tobytes(),
+                    _packed(body.tobytes()),
                 )
 
     return joined.mapInArrow(make, _SENT)
@@ -344,8 +383,9 @@ def settle_between(sent: DataFrame) -> DataFrame:
         docs = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
         owner = np.repeat(np.arange(len(rows)), [len(p) for p in places])
         place = np.concatenate(places)
-        text = np.frombuffer(b"".join(zlib.decompress(r["body"]) for r in rows), np.uint8)
         lengths = counts + LENGTH - 1
+        sizes = np.add.reduceat(lengths, np.cumsum([0, *(len(p) for p in places[:-1])]))
+        text = np.frombuffer(b"".join(_unpacked(r["body"], n) for r, n in zip(rows, sizes, strict=True)), np.uint8)
         begins = np.cumsum(lengths) - lengths
         piece = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -404,6 +444,17 @@ def cut(joined: DataFrame, keep_text: bool) -> DataFrame:
     return joined.mapInArrow(make, schema)
 
 
+def _dealt_once(blocks: DataFrame) -> DataFrame:
+    """Blocks written as a table bucketed by their number, so that no join by it moves a text again."""
+    spark = blocks.sparkSession
+    spread, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"text_blocks_{uuid.uuid4().hex}"
+    dealt = blocks.repartition(spread, "block").write.bucketBy(spread, "block")
+    dealt.option("path", scratch_path(spark, "text-blocks")).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are outside the warehouse
+    return table
+
+
 def suffix_dedup(
     docs: DataFrame,
     text: str = "text",
@@ -414,7 +465,7 @@ def suffix_dedup(
     keep_text: bool = False,
 ) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the bytes kept."""
-    blocks = settle_table(blocks_of(docs, text, doc_id, block_bytes), "text-blocks")
+    blocks = _dealt_once(blocks_of(docs, text, doc_id, block_bytes))
     # Sizes decide numbers of buckets only: about one stretch per sixteen bytes.
     number = blocks.count()
     buckets = max(1, number * block_bytes // 16 // bucket_hashes)
