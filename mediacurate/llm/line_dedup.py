@@ -219,11 +219,11 @@ class LineIndex:
         merged = settle_table(merged, "line-counts")
         grown = merged.filter("refs + old > 1").select("k1", "k2", (F.col("refs") + F.col("old")).alias("refs"), "keeper")
         self.shared = settle_table(
-            self.shared.join(grown, ["k1", "k2"], "left_anti").union(grown), "line-shared"
+            self.shared.join(grown, ["k1", "k2"], "left_anti").unionByName(grown), "line-shared"
         )
-        self.filters = settle_table(self.filters.union(self._layer(merged.filter("old = 0"))), "line-filters")
-        self.counts = self.counts.union(merged.select("shard", "k1", "k2", "refs", "keeper"))
-        self.refs, self.layers = self.refs.union(refs), self.layers + 1
+        self.filters = settle_table(self.filters.unionByName(self._layer(merged.filter("old = 0"))), "line-filters")
+        self.counts = self.counts.unionByName(merged.select("shard", "k1", "k2", "refs", "keeper"))
+        self.refs, self.layers = self.refs.unionByName(refs), self.layers + 1
 
     def delete(self, ids: DataFrame, doc_id: str = "doc_id") -> None:
         """Take the documents with these ids out, as if they had never been inserted."""
@@ -249,14 +249,14 @@ class LineIndex:
             thinned = lost.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(thin, self.filters.schema)
             self.filters = settle_table(thinned, "line-filters")
         untouched = self.counts.join(touched, ["k1", "k2"], "left_anti")
-        counts = untouched.union(left.select("shard", "k1", "k2", "refs", "keeper"))
+        counts = untouched.unionByName(left.select("shard", "k1", "k2", "refs", "keeper"))
         self.counts = settle_table(counts, "line-counts")
         if self.layers > 1:
             # A mark may be in any of the layers, and the wrong one must not lose it: merge them into one.
             self.layers = 1
             self.filters = settle_table(self._layer(self.counts.select("shard", "k1", "k2").distinct()), "line-filters")
         self.shared = settle_table(
-            self.shared.join(touched, ["k1", "k2"], "left_anti").union(
+            self.shared.join(touched, ["k1", "k2"], "left_anti").unionByName(
                 left.filter("refs > 1").select("k1", "k2", "refs", "keeper")
             ),
             "line-shared",

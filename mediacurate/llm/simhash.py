@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sh
 def refine(mask: int, runs: int = RUNS, distance: int = DISTANCE) -> list[int]:
     """``mask`` with each choice of runs of its unset bits that two close fingerprints may agree on."""
     free = [bit for bit in range(64) if not mask >> bit & 1]
-    cut = [sum(1 << bit for bit in part) for part in np.array_split(free, runs) if len(part)]
+    cut = [sum(1 << bit for bit in part.tolist()) for part in np.array_split(free, runs) if len(part)]
     shared = max(1, len(cut) - distance)
     return [mask | sum(chosen) for chosen in combinations(cut, shared)]
 
@@ -108,6 +108,10 @@ def _search(batches: Iterator[pa.RecordBatch], distance: int, limit: int) -> Ite
         for finer in map(_signed, refine(int(mask) % 2**64)):
             yield rows(np.full(len(members), finer), members & finer, members)
 
+    def divisible(mask: int) -> bool:
+        """With twelve bits left a group has at most 4096 members."""
+        return 64 - (int(mask) % 2**64).bit_count() > 12
+
     def groups(block: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(bounds)
         pairs = bounds[:-1][sizes == 2]
@@ -116,7 +120,7 @@ def _search(batches: Iterator[pa.RecordBatch], distance: int, limit: int) -> Ite
         ends_a, ends_b = [a[close]], [b[close]]
         for at, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             members = block[2, at : at + size]
-            if size > limit:
+            if size > limit and divisible(block[0, at]):
                 yield from dealt_on(block[0, at], members)
             else:
                 more_a, more_b = _forest(members.view(np.uint64), distance)
@@ -141,7 +145,7 @@ def _search(batches: Iterator[pa.RecordBatch], distance: int, limit: int) -> Ite
         bounds = np.concatenate([[0], starts])
         yield from groups(block, bounds)  # but for the last group, which may go on
         held = np.ascontiguousarray(block[:, bounds[-1] :])
-        if held.shape[1] > limit:
+        if held.shape[1] > limit and divisible(held[0, 0]):
             overflowing = (held[0, 0], held[1, 0])
             yield from dealt_on(held[0, 0], held[2])
             held = held[:, :0]

@@ -93,10 +93,9 @@ def least_hashes(text: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np
 def _cover_ranks(words: np.ndarray, reach: int, starts: np.ndarray) -> np.ndarray:
     """Ranks of the strings of ``reach`` bytes at those places of the cover that follow ``starts`` within a period."""
     ranks = np.full(len(words) + 8, -1, np.int32)
-    near = np.zeros(len(ranks) + 1, np.int32)
-    np.add.at(near, starts, 1)
-    np.subtract.at(near, np.minimum(starts + PERIOD, len(ranks)), 1)
-    places = np.flatnonzero((np.cumsum(near[:-1]) > 0) & np.resize(_MEMBER, len(ranks)))
+    near = np.bincount(starts, minlength=len(ranks) + PERIOD)
+    near[PERIOD:] -= near[:-PERIOD].copy()  # one where a start is, one less a period later
+    places = np.flatnonzero((np.cumsum(near[: len(ranks)]) > 0) & np.resize(_MEMBER, len(ranks)))
     if not len(places):
         return ranks
     offsets = [*range(0, reach - 8, 8), reach - 8]
@@ -270,6 +269,13 @@ def _lengthened(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in ``ordered``; a look-up each, since many lists are held against one."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 _HASHES = "bucket bigint, block bigint, hashes binary"
 
 
@@ -303,7 +309,7 @@ def shared_hashes(hashes: DataFrame) -> DataFrame:
         lists = [_lengthened(x.as_py()) for x in table.column("hashes")]
         every, counts = np.unique(np.concatenate(lists), return_counts=True)  # distinct within each block
         shared = every[counts > 1]
-        out = [_shortened(one[np.isin(one, shared)]) for one in lists]
+        out = [_shortened(one[_among(one, shared)]) for one in lists]
         kept = [i for i, one in enumerate(out) if one]
         return pa.table({"block": table.column("block").take(pa.array(kept, pa.int64())), "hashes": pa.array([out[i] for i in kept], pa.binary())})
 
@@ -322,8 +328,8 @@ def settle_within(joined: DataFrame, buckets: int) -> DataFrame:
         for row in _each(batches):
             block = _Block(row)
             parts = [_lengthened(x) for x in row["shared"] or []]
-            shared = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            outside = np.isin(block.stretch & _LOW, shared)
+            shared = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+            outside = _among(block.stretch & _LOW, shared)
             _, inverse, counts = np.unique(block.stretch, return_inverse=True, return_counts=True)
             again = counts[inverse] > 1
             flags = np.zeros(len(block.least) + 1, bool)

@@ -29,7 +29,8 @@ SAMPLE = 6000
 PIECE = 4096
 BUCKETS, WIDTH = 1 << 15, 16
 SIZES, FILTERS = (1, 2, 3), 16
-EPOCHS, BATCH, RATE = 6, 32, 0.004
+EPOCHS, STEPS, BATCH = 8, 400, 32
+RATE, WORD_RATE = 0.003, 30.0
 THRESHOLD, LEAST_LABELS = 0.7, 50
 _KNOWN = 400_000
 _EDGES = ".,;:!?\"'()[]{}<>|*_-"
@@ -75,7 +76,7 @@ class Model:
         draw = np.random.default_rng(seed)
         f32 = np.float32
         return cls(
-            draw.normal(0, 0.3, (BUCKETS, WIDTH)).astype(f32),
+            draw.normal(0, 0.02, (BUCKETS, WIDTH)).astype(f32),
             {n: draw.normal(0, 0.3 / np.sqrt(n), (n, WIDTH, FILTERS)).astype(f32) for n in SIZES},
             {n: np.zeros(FILTERS, f32) for n in SIZES},
             draw.normal(0, 0.1, len(SIZES) * FILTERS).astype(f32),
@@ -127,10 +128,9 @@ def _adam(state: dict, name: str, value: np.ndarray, grad: np.ndarray, step: int
 def _fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """Minibatch training; gradients flow through the places that were highest."""
     model, draw, state = Model.fresh(seed), np.random.default_rng(seed), {}
-    squares = np.full(BUCKETS, 1e-4, np.float32)  # step sizes of the embedding rows that a batch touches
     balance = np.where(labels == 1, min(4.0, (labels == 0).sum() / max(1, (labels == 1).sum())), 1.0)
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(texts)))):
         order = draw.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             step += 1
@@ -138,10 +138,13 @@ def _fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
             products = model.products()
             pooled = [model.pooled(texts[i], products) for i in chosen]
             values = np.stack([p[0] for p in pooled])
+            # Half of the pooled values are left out of each step, so that no filter relies on another.
+            mask = (draw.random(values.shape) < 0.5) * np.float32(2)
+            values = values * mask
             error = (_logistic(values @ model.weights + model.bias) - labels[chosen]) * balance[chosen] / len(chosen)
             error = error.astype(np.float32)
             weight_grad = values.T @ error
-            back = np.outer(error, model.weights)
+            back = np.outer(error, model.weights) * mask
             rows, row_grads = [], []
             grads = {n: np.zeros_like(model.filters[n]) for n in SIZES}
             bias_grads = {n: np.zeros_like(model.biases[n]) for n in SIZES}
@@ -166,8 +169,7 @@ def _fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
                 touched, inverse = np.unique(np.concatenate(rows), return_inverse=True)
                 total = np.zeros((len(touched), WIDTH), np.float32)
                 np.add.at(total, inverse, np.concatenate(row_grads))
-                squares[touched] = 0.99 * squares[touched] + (total**2).mean(axis=1)
-                model.embedding[touched] -= RATE * 3 * total / np.sqrt(squares[touched])[:, None]
+                model.embedding[touched] -= WORD_RATE * total
     return model
 
 
