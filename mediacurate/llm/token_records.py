@@ -15,6 +15,8 @@ an id are records of their own, in the order of their texts; an empty table give
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -28,10 +30,13 @@ from pyspark.sql import functions as F
 
 from mediacurate.session import scratch_path, settle_table
 from mediacurate.sources.files import locate
+from mediacurate.worker import worker_table
 
 FILE_BYTES = 128 << 20
 #: Words kept by a task's memory of encodings, and the longest one kept.
-KNOWN_WORDS, KNOWN_LENGTH = 400_000, 40
+KNOWN_WORDS, KNOWN_LENGTH = 1_000_000, 40
+#: Words whose letters have one lower case, in composed form, and marks that no other rule of the tokenizer takes.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,30})([.,;:!?)]{0,4})")
 _MASK = 0xA282EAD8
 _FRAME, _CHECK, _HEAD = "<QI", "<I", "<?qI"
 _MANIFEST = "file string, stretch int, number int, records bigint, tokens bigint"
@@ -65,39 +70,43 @@ class WordEncoder:
         self._kind = "<u4" if self.wide else "<u2"
         self._known: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> bytes:
-        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, self._kind).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        found = self._known.get(word)
-        if found is None:
-            found = self._encode(word)
-            if len(word) <= KNOWN_LENGTH:
-                if len(self._known) >= KNOWN_WORDS:
-                    self._known.clear()
-                self._known[word] = found
-        return found
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        made = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(one.ids, self._kind).tobytes() for one in made]
 
     def of(self, text: str, end: int) -> bytes:
         last = end.to_bytes(4 if self.wide else 2, "little")
         if not self._by_word:
-            return self._encode(text) + last
-        known, parts = self._known, []
-        for word in text.replace("\n", " ").split(" "):
-            parts.append(known[word] if word in known else self._word(word))
+            return self._batch([text])[0] + last
+        words = text.replace("\n", " ").split(" ")
+        known = self._known
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        long = {}  # encodings that are not kept
+        if new:
+            if len(known) + len(new) > KNOWN_WORDS:
+                known.clear()
+                new = list(dict.fromkeys(words))
+            # Letters and the punctuation after them are merged apart, and letters in lower case.
+            split = {w: (m[1].lower(), m[2]) for w in new if (m := _PLAIN.fullmatch(w))}
+            pieces = dict.fromkeys(p for w in new for p in split.get(w, (w,)) if p not in known)
+            for piece, made in zip(pieces, self._batch(list(pieces)), strict=True):
+                (known if len(piece) <= KNOWN_LENGTH else long)[piece] = made
+            for word, (letters, marks) in split.items():
+                if word not in known:
+                    known[word] = known[letters] + known[marks]
+        parts = [known[w] for w in words] if not long else [known[w] if w in known else long[w] for w in words]
         parts.append(last)
         return b"".join(parts)
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
 def _encoder(definition: str, by_word: bool) -> WordEncoder:
     """One encoder per worker process, which serves many tasks."""
-    key = hash((definition, by_word))
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(definition, by_word)
-    return _ENCODERS[key]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+    kept = worker_table("encoders")
+    key = (zlib.crc32(definition.encode()), len(definition), by_word)
+    if key not in kept:
+        kept[key] = WordEncoder(definition, by_word)
+    return kept[key]
 
 
 class _Shard:
