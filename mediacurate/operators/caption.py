@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any, Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from mediacurate.functions.text import strip
 from mediacurate.sources import files
+from mediacurate.worker import worker_table
 
 REJECT = "reject"
 EMPTY = "empty"
@@ -85,10 +88,20 @@ def caption(
     if on_error not in (REJECT, EMPTY):
         raise ValueError(f"unknown policy {on_error!r}")
 
+    label = hashlib.sha256(cloudpickle.dumps((captioner, chosen))).hexdigest()
+
+    def ready():
+        """The captioner, set up by the first task of a worker and kept for the others."""
+        kept = worker_table("captioners")
+        if label not in kept:
+            captioner.setup(chosen)
+            kept[label] = captioner
+        return kept[label]
+
     def texts(batches):
-        captioner.setup(chosen)
+        model = ready()
         for items in batches:
-            told = list(_caption_all(captioner, list(items), loader, max(1, chosen.batch_size)))
+            told = list(_caption_all(model, list(items), loader, max(1, chosen.batch_size)))
             yield pd.DataFrame(told, columns=["caption", "error"])
 
     if profile is not None:
@@ -98,9 +111,9 @@ def caption(
         )
 
         def frames(batches):
-            captioner.setup(chosen)
+            model = ready()
             for frame in batches:
-                told = _caption_all(captioner, list(frame[column]), loader, max(1, chosen.batch_size))
+                told = _caption_all(model, list(frame[column]), loader, max(1, chosen.batch_size))
                 frame[["vlm_caption", "error"]] = pd.DataFrame(list(told), index=frame.index, columns=["c", "e"])
                 yield frame
 
@@ -121,7 +134,7 @@ def caption(
 
 
 class LeadingWords:
-    """A captioner for tests and trial runs: the first words of a text payload."""
+    """A captioner for tests and trial runs: the first words of a text payload and how many follow."""
 
     def __init__(self, words: int = 12, fail_on: str | None = None):
         self.words = words
@@ -138,9 +151,6 @@ class LeadingWords:
     def _one(self, text: str) -> str:
         if self.fail_on is not None and self.fail_on in text:
             raise ValueError("cannot caption")
-        found: list[str] = []
-        for match in self._word.finditer(text):
-            found.append(match.group())
-            if len(found) == self.words:
-                break
-        return " ".join(found)
+        found = self._word.findall(text)
+        rest = len(found) - self.words
+        return " ".join(found[: self.words]) + (f" +{rest}" if rest > 0 else "")

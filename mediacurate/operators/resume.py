@@ -124,6 +124,13 @@ def publish_manifest(stored: DataFrame, path: str, rows_per_batch: int) -> DataF
     )
 
 
+def publish_complete(complete: DataFrame, path: str) -> DataFrame:
+    """End a run: the published batches give way to the complete table, short batches included."""
+    named = complete.select(*CAPTIONED.names, F.lit("complete").alias("publish_name"))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("publish_name").parquet(path)
+    return complete.sparkSession.read.parquet(path)
+
+
 def complete_table(stored: DataFrame) -> DataFrame:
     """Every captioned key once, the latest batch winning."""
     latest = last_by_key(captioned(stored), ["key"], ["batch_id"])

@@ -166,6 +166,7 @@ def validate(
 def _merge_decoded(structural: DataFrame, decoded: DataFrame) -> DataFrame:
     joined = structural.join(decoded, "path", "left")
     judged = F.coalesce(F.col("format") != "webp", F.lit(True)) & F.col("decoded").isNotNull()
+    # The image source shows what is there of a file cut short, so a missing end marker still counts.
     error = F.coalesce(F.col("error"), F.when(judged & ~F.col("decoded"), F.lit("undecodable")))
     level = F.when(judged, "decode").otherwise("structural")
     return _verdict(joined.withColumn("error", error), F.col("error"), F.col("format"), level)

@@ -380,6 +380,14 @@ def publish_manifest(spark, sf_dir):
     return published.withColumn("path", layout.relative_path(F.col("path"), out))
 
 
+def publish_complete(spark, sf_dir):
+    """Batches published one by one, then the whole table in their place."""
+    stored = resume.read_batches(spark, _stored_batches(spark, sf_dir))
+    out = scratch_path(spark, "published")
+    resume.publish(stored, out, ROWS_PER_BATCH)
+    return resume.publish_complete(resume.complete_table(stored), out).drop("publish_name")
+
+
 def rejected_rows(spark, sf_dir):
     return resume.rejected(resume.read_batches(spark, _stored_batches(spark, sf_dir))).select("key", "batch_id")
 
@@ -477,6 +485,7 @@ QUERIES = {
     "batch_assign": batch_assign,
     "batch_names": batch_names,
     "publish_manifest": publish_manifest,
+    "publish_complete": publish_complete,
     "rejected_rows": rejected_rows,
     "final_dedupe": final_dedupe,
     "caption_rows_udf": caption_rows_udf,

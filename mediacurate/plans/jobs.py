@@ -275,4 +275,6 @@ def caption_dataset(
                 report("published", resume.publish(written, publish_to, rows_per_batch).agg(F.count("*").alias("batches")))
         complete = f"{out.rstrip('/')}/all_captions"
         resume.complete_table(resume.read_batches(spark, batches)).write.mode("overwrite").parquet(complete)
+        if publish_to:
+            resume.publish_complete(spark.read.parquet(complete), publish_to)
     return spark.read.parquet(complete)

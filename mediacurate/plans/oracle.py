@@ -79,7 +79,10 @@ damage AS (
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 """
 
-_WORDS = r"array_to_string(regexp_extract_all({}, '[^ \t\r\n\f]+')[1:12], ' ')"
+_WORDS = (
+    r"(SELECT array_to_string(w[1:12], ' ') || CASE WHEN len(w) > 12 THEN ' +' || (len(w) - 12) ELSE '' END"
+    r" FROM (SELECT regexp_extract_all({}, '[^ \t\r\n\f]+') AS w))"
+)
 
 
 def _first_words(column: str) -> str:
@@ -212,6 +215,10 @@ _BODIES = {
         SELECT batch_id, count(*) FILTER (NOT failed) AS rows,
           printf('publish_name=batch_%05d', batch_id + 1) AS path
         FROM stored GROUP BY batch_id HAVING count(*) = 50""",
+    "publish_complete": f"""
+        SELECT key, original_key, url, caption AS original_caption, {_first_words('caption')} AS vlm_caption,
+          width, height, original_width, original_height, sha256, md5, tags, merged_tags
+        FROM stored WHERE NOT failed""",
     "rejected_rows": "SELECT key, batch_id FROM stored WHERE failed",
     "final_dedupe": f"""
         SELECT key, original_key, url, caption AS original_caption,

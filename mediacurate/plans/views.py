@@ -126,6 +126,8 @@ def render_png(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
             packed = b"\xff" + packed[1:]
         header = struct.pack(">IIBBBBB", 64, height, 8, 0, 0, 0, 0)
         whole = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", packed) + chunk(b"IEND", b"")
+        if damage == "padded":  # as devices and editors leave it
+            return whole + b"\0" * (100 + len(text) % 5000)
         return whole[: len(whole) // 2] if damage == "cut" else whole
 
     for texts, damages in batches:
@@ -133,8 +135,9 @@ def render_png(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a picture; labels decide which are cut short and which are garbled."""
-    damage = F.when(F.col("quality") == 0, "cut").when(F.col("toxic") == 1, "garbled").otherwise("none")
+    """Every document as a picture; labels decide which are cut short and which are garbled, some have data after the end."""
+    damage = F.when(F.col("quality") == 0, "cut").when(F.col("toxic") == 1, "garbled")
+    damage = damage.when(F.col("doc_id") % 9 == 4, "padded").otherwise("none")
     rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     key = key_of("doc_id")
     return rows.select(

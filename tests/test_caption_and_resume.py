@@ -59,7 +59,7 @@ def test_payloads_are_loaded_in_the_task(spark, tmp_path):
         return load_path(path).decode()
 
     got = caption(paths, LeadingWords(2), "path", loader=loader).orderBy("path").collect()
-    assert got[1]["vlm_caption"] == "one two"
+    assert got[1]["vlm_caption"] == "one two +1"
     assert got[0]["vlm_caption"] is None and "FileNotFound" in got[0]["error"]
 
 

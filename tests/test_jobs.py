@@ -135,7 +135,7 @@ def test_caption_resume_and_publish(spark, dataset, tmp_path):
     assert row["vlm_caption"].endswith("bytes, 256 tokens")
     batches = spark.read.parquet(f"{out}/batches")
     assert tuples(batches.groupBy("batch_id").count()) == [(0, 2), (1, 2), (2, 1)]
-    assert tuples(spark.read.parquet(pub).groupBy("publish_name").count()) == [("batch_00001", 2), ("batch_00002", 2)]
+    assert tuples(spark.read.parquet(pub).groupBy("publish_name").count()) == [("complete", 5)]
     old = {p: p.stat().st_mtime_ns for p in Path(out, "batches").rglob("*.parquet")}
 
     # The same limit again finds nothing to do.

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import jpeg, png, put, tuples, webp
 from pyspark.sql import functions as F
@@ -79,6 +81,19 @@ def test_content_column_gives_the_same(spark, tree):
     assert by_name(validation.check_content(images)) == want
 
 
+def test_data_after_the_end_of_a_picture_is_no_damage(spark, tmp_path):
+    whole = {"jpg": jpeg(spark), "png": png()}
+    files = {f"images/00000/{n}_{size}.{ext}": whole[ext] + b"\1" * size for n, ext in enumerate(whole) for size in (100, 70_000)}
+    cut = {f"images/00000/cut.{ext}": whole[ext][:-20] + b"\1" * 5000 for ext in whole}
+    put(tmp_path, {**files, **cut})
+    for level in ("structural", "decode"):
+        found = listing.list_assets(spark, str(tmp_path / "images"))
+        verdicts = validation.validate(found, level, directories=[str(tmp_path / "images/00000")]).collect()
+        assert {Path(r["path"]).name: r["is_valid"] for r in verdicts} == {
+            Path(name).name: name in files for name in [*files, *cut]
+        }
+
+
 def test_decode(spark, tree):
     found = listing.list_assets(spark, tree)
     directories = [r["path"] for r in listing.list_directory(spark, tree).filter("is_dir").collect()]
