@@ -11,7 +11,7 @@ from importlib import import_module
 
 from pyspark.sql import SparkSession
 
-from mediacurate.operators.caption import CaptionOptions
+from mediacurate.operators.caption import EMPTY, REJECT, CaptionOptions
 from mediacurate.plans import jobs
 
 
@@ -56,6 +56,7 @@ def parser() -> argparse.ArgumentParser:
     regenerate.add_argument(
         "--delete-mode", choices=["file", "pair", "stem"], default="file", help="what goes with a corrupt file"
     )
+    regenerate.add_argument("--per-file", action="store_true", help="list every valid file, not one per key")
     checks(regenerate)
 
     rebuild = job("rebuild", "validate and write the manifest from the sidecars")
@@ -72,6 +73,8 @@ def parser() -> argparse.ArgumentParser:
     caption.add_argument("--max-tokens", type=int, default=256)
     caption.add_argument("--prompt")
     caption.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
+    caption.add_argument("--resume-from", help="folder of an earlier run whose keys count as processed")
+    caption.add_argument("--on-error", choices=[REJECT, EMPTY], default=REJECT, help="what a failing image gets")
     caption.add_argument("--take-over", action="store_true", help="after a crashed run")
     return whole
 
@@ -95,6 +98,8 @@ def main(argv: list[str] | None = None) -> None:
             options=CaptionOptions(**chosen),
             take_over=args.take_over,
             report=show,
+            on_error=args.on_error,
+            resume_from=args.resume_from,
         )
         return
     check = {"level": args.level, "decoder": make(args.decoder), "report": show}
@@ -112,7 +117,7 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "regenerate":
         choice = "none" if not args.validate else "clean" if args.clean else "report"
-        jobs.regenerate(spark, args.output, choice, delete_mode=args.delete_mode, **check)
+        jobs.regenerate(spark, args.output, choice, delete_mode=args.delete_mode, per_file=args.per_file, **check)
     else:
         jobs.rebuild(spark, args.output, args.clean, **check)
 

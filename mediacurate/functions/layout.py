@@ -45,7 +45,9 @@ def stem_files(path: Column) -> Column:
 
 
 def key_shard(key: Column) -> Column:
-    return F.substring(key, 1, 5)
+    """The first five characters; of a number of more than nine digits all but the last four."""
+    long = (F.length(key) > 9) & key.rlike("^[0-9]+$")
+    return F.when(long, F.left(key, F.length(key) - 4)).otherwise(F.substring(key, 1, 5))
 
 
 def is_shard_name(name: Column) -> Column:
@@ -75,6 +77,12 @@ def relative_path(path: Column, root: str) -> Column:
     return F.when(whole.startswith(prefix), F.substring(whole, len(prefix) + 1, 2**31 - 1)).otherwise(whole)
 
 
+def shard_of_index(index: str, per_shard: int = ROWS_PER_SHARD) -> Column:
+    """Five digits, or more where a number needs more."""
+    number = f"string({index} div {per_shard})"
+    return F.expr(f"CASE WHEN length({number}) < 5 THEN lpad({number}, 5, '0') ELSE {number} END")
+
+
 def key_of_index(index: str, per_shard: int = ROWS_PER_SHARD) -> Column:
     """Nine digits: shard number, then position inside the shard. Longer where a number needs more."""
     shard, place = f"({index} div {per_shard})", f"({index} % {per_shard})"

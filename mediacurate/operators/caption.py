@@ -134,9 +134,9 @@ def caption(
 
 
 class LeadingWords:
-    """A captioner for tests and trial runs: the first words of a text payload and how many follow."""
+    """A captioner for tests and trial runs: all words of a text payload, or the first and how many follow."""
 
-    def __init__(self, words: int = 12, fail_on: str | None = None):
+    def __init__(self, words: int | None = None, fail_on: str | None = None):
         self.words = words
         self.fail_on = fail_on
 
@@ -152,5 +152,5 @@ class LeadingWords:
         if self.fail_on is not None and self.fail_on in text:
             raise ValueError("cannot caption")
         found = self._word.findall(text)
-        rest = len(found) - self.words
+        rest = 0 if self.words is None else len(found) - self.words
         return " ".join(found[: self.words]) + (f" +{rest}" if rest > 0 else "")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from mediacurate.functions import layout
 from mediacurate.functions.text import has_caption, sidecar_caption
-from mediacurate.operators.skew import join_many_to_one
 from mediacurate.schemas import IMAGE_EXTENSIONS
 from mediacurate.sources.sidecars import read_sidecars
 
@@ -47,11 +46,21 @@ def validated(
     return rows.select(*_pair(root))
 
 
+def _told(captions: DataFrame) -> DataFrame:
+    """Key and flag, of a table that has the flag ``told`` or the caption itself."""
+    flag = F.col("told") if "told" in captions.columns else has_caption(F.col("caption"))
+    return captions.select("key", flag.alias("_told"))
+
+
 def validated_counters(
     valid_keys: DataFrame, captions: DataFrame, assets: DataFrame, images_dir: str = "images"
 ) -> DataFrame:
-    """Matched, missing caption, and captioned without a file. Caption texts are not shuffled."""
-    told = captions.select("key", has_caption(F.col("caption")).alias("_told"))
+    """Matched, missing caption, and captioned without a file.
+
+    ``captions`` has one row per key: the caption, or the flag ``told`` (``metadata.told_by_key``), which keeps
+    the texts out of the shuffle that finds the last row of a key.
+    """
+    told = _told(captions)
     files = preferred_file(assets, images_dir).select("key", F.lit(True).alias("_file"))
     marked = (
         valid_keys.select("key")
@@ -73,14 +82,13 @@ def listing(assets: DataFrame, captions: DataFrame, validity: DataFrame | None =
     if validity is not None:
         kept = kept.join(validity.filter("is_valid").select("path"), "path", "left_semi")
     told = captions.filter(has_caption(F.col("caption")))
-    rows = join_many_to_one(kept.select("path", "key"), told.select("key", "caption"), "key")
+    rows = kept.select("path", "key").join(told.select("key", "caption"), "key")
     return rows.select(*_pair(root))
 
 
 def listing_counters(assets: DataFrame, captions: DataFrame, validity: DataFrame | None = None) -> DataFrame:
-    """Per file: matched, missing caption, corrupt."""
-    told = captions.select("key", has_caption(F.col("caption")).alias("_told"))
-    marked = join_many_to_one(assets.select("path", "key"), told, "key", "left")
+    """Per file: matched, missing caption, corrupt. ``captions`` as for ``validated_counters``."""
+    marked = assets.select("path", "key").join(_told(captions), "key", "left")
     if validity is None:
         marked = marked.withColumn("_valid", F.lit(True))
     else:
@@ -116,13 +124,18 @@ def build_manifest(
     sidecars: DataFrame | None = None,
     root: str | None = None,
     images_dir: str = "images",
+    told: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows and counters in one of three modes: ``validated``, ``listing`` or ``sidecar``."""
+    """Rows and counters in one of three modes: ``validated``, ``listing`` or ``sidecar``.
+
+    ``told`` (key and flag) serves the counters in place of ``captions``.
+    """
+    counted = captions if told is None else told
     if mode == "validated":
         rows = validated(valid_keys, captions, assets, root, images_dir)
-        return rows, validated_counters(valid_keys, captions, assets, images_dir)
+        return rows, validated_counters(valid_keys, counted, assets, images_dir)
     if mode == "listing":
-        return listing(assets, captions, validity, root), listing_counters(assets, captions, validity)
+        return listing(assets, captions, validity, root), listing_counters(assets, counted, validity)
     if mode == "sidecar":
         rows = from_sidecars(assets, sidecars, root)
         return rows, rows.agg(F.count("*").alias("matched"), F.count_if(F.col("prompt") == "").alias("empty_caption"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediacurate.functions import layout
-from mediacurate.functions.text import sidecar_fields
+from mediacurate.functions.text import has_caption, sidecar_fields
 from mediacurate.schemas import CAPTIONED, META_RECORD, SOURCE_ROWS
 from mediacurate.sources.sidecars import sidecar_body
 
@@ -37,6 +37,12 @@ def caption_by_key(captions: DataFrame, order: list[str]) -> DataFrame:
     return captions.groupBy("key").agg(F.max_by("caption", F.struct(*order)).alias("caption"))
 
 
+def told_by_key(captions: DataFrame, order: list[str]) -> DataFrame:
+    """Key and whether its last row has a caption; the texts end at the flag."""
+    flagged = captions.select("key", has_caption(F.col("caption")).alias("_told"), *order)
+    return flagged.groupBy("key").agg(F.max_by("_told", F.struct(*order)).alias("told"))
+
+
 def shards_without_metadata(assets: DataFrame, shard_meta: DataFrame) -> DataFrame:
     """Shards that have assets but no metadata row; their assets fall back to sidecars."""
     return assets.select("shard").distinct().join(shard_meta.select("shard").distinct(), "shard", "left_anti")

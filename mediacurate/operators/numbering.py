@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediacurate.functions.layout import key_of_index, key_shard
+from mediacurate.functions.layout import key_of_index, shard_of_index
 from mediacurate.schemas import ROWS_PER_SHARD
 from mediacurate.session import settle
 
@@ -40,11 +40,13 @@ def global_index(df: DataFrame, *order_by: str, name: str = "gidx") -> DataFrame
     )
 
 
-def assign_keys(df: DataFrame, *order_by: str, per_shard: int = ROWS_PER_SHARD) -> DataFrame:
-    """Number the rows and give each a nine-digit key and its shard."""
-    numbered = global_index(df, *order_by)
-    return numbered.withColumn("key", key_of_index("gidx", per_shard)).withColumn(
-        "shard", key_shard(F.col("key"))
+def assign_keys(df: DataFrame, *order_by: str, per_shard: int = ROWS_PER_SHARD, start: int = 0) -> DataFrame:
+    """Number the rows, counting on from ``start``, and give each its key and the shard of its number."""
+    if per_shard > ROWS_PER_SHARD:
+        raise ValueError(f"four digits of a key hold the place in a shard: {ROWS_PER_SHARD} rows at most")
+    numbered = global_index(df, *order_by).withColumn("gidx", F.col("gidx") + F.lit(int(start)))
+    return numbered.withColumns(
+        {"key": key_of_index("gidx", per_shard), "shard": shard_of_index("gidx", per_shard)}
     )
 
 

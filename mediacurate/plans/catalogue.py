@@ -12,9 +12,10 @@ from mediacurate.operators import manifest, metadata, numbering, resume
 from mediacurate.operators import validate as validation
 from mediacurate.operators.caption import EMPTY, LeadingWords, caption
 from mediacurate.plans import views
-from mediacurate.schemas import SHARD_META
+from mediacurate.schemas import META_RECORD, SHARD_META
 from mediacurate.session import scratch_path
 from mediacurate.sources import assets as listing
+from mediacurate.sources.checkpoints import read_checkpoint_keys
 from mediacurate.sources.files import locate
 from mediacurate.sources.shards import shard_name, shard_status, success_captions, unify_shards
 from mediacurate.streaming.ingest import stream_ingest
@@ -35,6 +36,12 @@ def assign_keys(spark, sf_dir):
     return numbering.assign_keys(rows, "doc_id", per_shard=views.PER_SHARD)
 
 
+def assign_keys_far(spark, sf_dir):
+    """Numbers past nine digits: key and shard grow longer, and no two shards share a name."""
+    rows = views.table(spark, sf_dir, "documents").select("doc_id")
+    return numbering.assign_keys(rows, "doc_id", start=1_000_000_000)
+
+
 def discover_shards(spark, sf_dir):
     return listing.discover_shards(views.asset_files(spark, sf_dir, other_dir=True))
 
@@ -154,6 +161,11 @@ def _captions(spark, sf_dir) -> DataFrame:
     return metadata.caption_by_key(rows, ["shard", "row_pos"])
 
 
+def _told(spark, sf_dir) -> DataFrame:
+    rows = success_captions(views.shard_rows(spark, sf_dir).withColumnRenamed("doc_id", "row_pos"))
+    return metadata.told_by_key(rows, ["shard", "row_pos"])
+
+
 def _assets(spark, sf_dir) -> DataFrame:
     return listing.image_assets(views.asset_files(spark, sf_dir))
 
@@ -201,7 +213,7 @@ def manifest_sidecar(spark, sf_dir):
 
 def manifest_counters(spark, sf_dir):
     keys = validation.valid_keys(_page_validity(spark, sf_dir))
-    return manifest.validated_counters(keys, _captions(spark, sf_dir), _assets(spark, sf_dir))
+    return manifest.validated_counters(keys, _told(spark, sf_dir), _assets(spark, sf_dir))
 
 
 def manifest_file_counters(spark, sf_dir):
@@ -209,7 +221,7 @@ def manifest_file_counters(spark, sf_dir):
     files = _assets(spark, sf_dir)
     verdicts = _page_validity(spark, sf_dir).select("key", "is_valid")
     validity = files.join(verdicts, "key").select("path", "is_valid")
-    return manifest.listing_counters(files, _captions(spark, sf_dir), validity)
+    return manifest.listing_counters(files, _told(spark, sf_dir), validity)
 
 
 # --- metadata --------------------------------------------------------------
@@ -223,14 +235,10 @@ def _enriched(spark, sf_dir, keep: DataFrame | None = None) -> tuple[DataFrame,
     return metadata.enrich(chosen.select("path", "shard", "key"), known, views.sidecars(spark, sf_dir))
 
 
-_RECORD = (
-    "key caption url width height original_width original_height sha256 original_key md5 tags merged_tags".split()
-)
-
 
 def metadata_enrich(spark, sf_dir):
     rows, _ = _enriched(spark, sf_dir)
-    return rows.select("path", *_RECORD)
+    return rows.select("path", *META_RECORD.names)
 
 
 def enrich_rejects(spark, sf_dir):
@@ -328,6 +336,17 @@ def checkpoint_keys(spark, sf_dir):
     return views.checkpoint_keys(spark, sf_dir)
 
 
+def checkpoint_files(spark, sf_dir):
+    """The processed keys as an earlier run leaves them: parquet files with a key, and one without."""
+    folder = scratch_path(spark, "checkpoint")
+    done = views.checkpoint_keys(spark, sf_dir)
+    hash_of = F.pmod(F.xxhash64("key"), F.lit(2))
+    done.filter(hash_of == 0).write.parquet(f"{folder}/first.parquet")
+    done.filter(hash_of == 1).withColumn("vlm_caption", F.lit("")).write.parquet(f"{folder}/second.parquet")
+    done.agg(F.count("*").alias("rows")).write.parquet(f"{folder}/statistics.parquet")
+    return read_checkpoint_keys(spark, folder)
+
+
 def pending(spark, sf_dir):
     return resume.pending(views.document_keys(spark, sf_dir).select("key"), views.checkpoint_keys(spark, sf_dir))
 
@@ -443,6 +462,7 @@ def ingest_once_by_key(spark, sf_dir):
 QUERIES = {
     "source_projection": source_projection,
     "assign_keys": assign_keys,
+    "assign_keys_far": assign_keys_far,
     "fetch_status": fetch_status,
     "fetch_files": fetch_files,
     "fetch_incremental": fetch_incremental,
@@ -480,6 +500,7 @@ QUERIES = {
     "delete_plan_all": delete_plan_all,
     "delete_plan_pair": delete_plan_pair,
     "checkpoint_keys": checkpoint_keys,
+    "checkpoint_files": checkpoint_files,
     "pending": pending,
     "skip_counts": skip_counts,
     "batch_assign": batch_assign,

@@ -14,11 +14,12 @@ from mediacurate.functions import layout
 from mediacurate.operators import fetch as fetching
 from mediacurate.operators import manifest, metadata, numbering, resume
 from mediacurate.operators import validate as validation
-from mediacurate.operators.caption import CaptionOptions, Captioner, caption, load_path
+from mediacurate.operators.caption import EMPTY, REJECT, CaptionOptions, Captioner, caption, load_path
 from mediacurate.schemas import ROWS_PER_SHARD, SHARD_META
 from mediacurate.session import settle_table, task_count
 from mediacurate.sources import assets as listing
 from mediacurate.sources import files
+from mediacurate.sources.checkpoints import read_checkpoint_keys
 from mediacurate.sources.shards import success_captions, unify_shards
 from mediacurate.sources.sinks import write_corrupt_log, write_training_csv
 
@@ -153,23 +154,28 @@ def regenerate(
     delete_mode: str = "file",
     report: Report = _silent,
     rows: DataFrame | None = None,
+    per_file: bool = False,
 ) -> DataFrame:
     """Training manifest from shard captions; ``validate`` is none, report or clean.
 
     ``none`` lists every captioned file. ``report`` keeps keys with a valid
-    file, one file each. ``clean`` also removes what the delete plan names.
+    file, one file each, or with ``per_file`` every valid file. ``clean`` also
+    removes what the delete plan names.
     """
     if validate not in ("none", "report", "clean"):
         raise ValueError(f"unknown choice {validate!r}")
     data = Dataset(root)
     if rows is None:
         rows, _ = unify_shards(spark, data.shards)
-    captions = metadata.caption_by_key(success_captions(rows), ["shard", "shard_file", "row_pos"])
+    order = ["shard", "shard_file", "row_pos"]
+    captions = metadata.caption_by_key(success_captions(rows), order)
+    told = metadata.told_by_key(success_captions(rows), order)
     everything = settle_table(listing.with_layout(listing.list_files(spark, data.images)), "listing")
     images = listing.image_assets(everything)
     if validate == "none":
-        made, counters = manifest.build_manifest("listing", images, captions, root=data.root)
+        made, counters = manifest.build_manifest("listing", images, captions, root=data.root, told=told)
     else:
+        found = images
         validity = _validity(spark, data, images, level, decoder)
         report("validity", validation.validity_counts(validity))
         report("fetched without a file", validation.missing_files(rows, images).groupBy("error").count())
@@ -181,10 +187,14 @@ def regenerate(
         else:
             corrupt = validity.filter("NOT is_valid").select("path")
             images = images.join(corrupt, "path", "left_anti")
-        keys = validation.valid_keys(validity)
-        made, counters = manifest.build_manifest(
-            "validated", images, captions, valid_keys=keys, root=data.root, images_dir=data.images
-        )
+        if per_file:
+            made = manifest.listing(images, captions, validity, data.root)
+            counters = manifest.listing_counters(found, told, validity)
+        else:
+            keys = validation.valid_keys(validity)
+            made, counters = manifest.build_manifest(
+                "validated", images, captions, valid_keys=keys, root=data.root, images_dir=data.images, told=told
+            )
     report("manifest", counters)
     write_training_csv(made, data.at("metadata.csv"))
     return made
@@ -229,10 +239,14 @@ def caption_dataset(
     batches_per_round: int = BATCHES_PER_ROUND,
     take_over: bool = False,
     report: Report = _silent,
+    on_error: str = REJECT,
+    resume_from: str | None = None,
 ) -> DataFrame:
     """Caption every unprocessed image and return the complete table.
 
-    The limit comes before the resume, as users expect of a repeated command.
+    With ``on_error`` empty, an image that fails gets an empty caption and counts
+    as processed. ``resume_from`` is a folder an earlier run left, whose keys
+    count as processed. The limit comes before the resume, as users expect of a repeated command.
     Batches are committed a round at a time; a crash loses the round at hand and
     the next run takes it up. Metadata rows travel through the joins, images do
     not: each is opened by the task that captions it.
@@ -246,6 +260,8 @@ def caption_dataset(
         stored = resume.read_batches(spark, batches)
         if resume_run:
             done = resume.processed_keys(resume.captioned(stored))
+            if resume_from is not None:
+                done = resume.processed_keys(done, read_checkpoint_keys(spark, resume_from))
             report("assets", resume.skip_counts(assets, done))
             assets = resume.pending(assets, done)
         rows, _ = unify_shards(spark, data.shards, absent="")
@@ -267,7 +283,9 @@ def caption_dataset(
             this_round = F.col("batch_id").between(low, low + batches_per_round - 1)
             # Rows are light and captions are slow, so tasks are set by number, not by size.
             spread = staged.filter(this_round).repartitionByRange(tasks, "gidx")
-            told = caption(spread, captioner, "path", options=options, loader=loader, profile=profile)
+            told = caption(spread, captioner, "path", on_error, options=options, loader=loader, profile=profile)
+            if on_error == EMPTY:
+                told = told.withColumn("error", F.lit(None).cast("string"))
             resume.write_batches(metadata.captioned_projection(told, "error", "batch_id"), batches)
             written = resume.read_batches(spark, batches).filter(this_round)
             report("written", written.groupBy(F.col("error").isNull().alias("captioned")).agg(F.count("*").alias("rows")))

@@ -79,14 +79,9 @@ damage AS (
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 """
 
-_WORDS = (
-    r"(SELECT array_to_string(w[1:12], ' ') || CASE WHEN len(w) > 12 THEN ' +' || (len(w) - 12) ELSE '' END"
-    r" FROM (SELECT regexp_extract_all({}, '[^ \t\r\n\f]+') AS w))"
-)
-
-
 def _first_words(column: str) -> str:
-    return _WORDS.format(column)
+    """What the captioner of the queries says: all words, a blank between."""
+    return rf"array_to_string(regexp_extract_all({column}, '[^ \t\r\n\f]+'), ' ')"
 
 
 _RECORD = (
@@ -101,6 +96,9 @@ _BODIES = {
     "assign_keys": """
         SELECT doc_id, i AS gidx, printf('%05d%04d', i // 100, i % 100) AS key, printf('%05d', i // 100) AS shard
         FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)""",
+    "assign_keys_far": """
+        SELECT doc_id, i AS gidx, printf('%05d%04d', i // 10000, i % 10000) AS key, printf('%05d', i // 10000) AS shard
+        FROM (SELECT doc_id, 999999999 + row_number() OVER (ORDER BY doc_id) AS i FROM documents)""",
     "fetch_status": """
         SELECT r.key, r.url, r.original_key, CASE WHEN p.html IS NOT NULL THEN sha256(p.html) END AS sha256,
           CAST(strlen(p.html) AS BIGINT) AS n_bytes,
@@ -198,6 +196,7 @@ _BODIES = {
         UNION SELECT concat('images/', shard, '/', key, '.json') FROM sidecars
         WHERE key IN (SELECT key FROM page_validity WHERE NOT is_valid)""",
     "checkpoint_keys": "SELECT key FROM processed",
+    "checkpoint_files": "SELECT key FROM processed",
     "pending": "SELECT key FROM pending_keys",
     "skip_counts": """
         SELECT count(*) FILTER (done) AS skipped, count(*) FILTER (NOT done) AS to_do

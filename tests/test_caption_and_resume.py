@@ -205,3 +205,21 @@ def test_stream_survives_odd_files(spark, tmp_path):
     assert tuples(rows, "key", "width") == [("a", 1), ("b", 2)]
     audit = spark.read.parquet(target + "_audit")
     assert [r["path"].rsplit("/", 1)[1] for r in audit.filter("error IS NOT NULL").collect()] == ["00002.parquet"]
+
+
+def test_stream_of_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"))
+    assert rows.columns == [*SHARD_META.names, "batch"] and rows.count() == 0
+
+
+def test_stream_first_sight_and_rows_without_a_key(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    rows = {"key": ["b", None, "a", "a", None], "caption": ["z", "n1", "second", "first", "n2"], "status": ["success"] * 5}
+    pd.DataFrame(rows).to_parquet(source / "00000.parquet")
+    pd.DataFrame({"key": ["b"], "caption": ["a"], "status": ["success"]}).to_parquet(source / "00001.parquet")
+    taken = stream_ingest(spark, str(source), target, str(tmp_path / "log"))
+    assert tuples(taken, "key", "caption") == [("a", "second"), ("b", "z")]
+    noted = spark.read.parquet(target + "_audit").filter("error IS NOT NULL").collect()
+    assert [(r["path"].rsplit("/", 1)[1], r["error"]) for r in noted] == [("00000.parquet", "2 rows without a key")]

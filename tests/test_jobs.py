@@ -195,3 +195,24 @@ def test_command_line(spark, web, tmp_path):
         ["caption", "--output", root, "--checkpoint-dir", run, "--captioner", "test_jobs:BySize", "--max-images", "3", "--max-tokens", "5"]
     )
     assert {r["vlm_caption"].split(", ")[1] for r in spark.read.parquet(f"{run}/all_captions").collect()} == {"5 tokens"}
+
+
+def test_failures_as_empty_captions_and_an_earlier_folder(spark, dataset, tmp_path):
+    earlier, out = tmp_path / "earlier", str(tmp_path / "run")
+    earlier.mkdir()
+    (earlier / "checkpoint.json").write_text('{"processed_keys": ["000000001"]}')
+    table = jobs.caption_dataset(spark, dataset, out, BySize(), on_error="empty", resume_from=str(earlier))
+    # Ten files: one known from the earlier run, one that is HTML.
+    assert table.count() == 9 and table.filter("key = '000000001'").count() == 0
+    assert table.filter("vlm_caption = ''").select("key").first()[0] == "000010002"
+    assert spark.read.parquet(f"{out}/batches").filter("error IS NOT NULL").count() == 0
+
+
+def test_per_file_manifest_with_validation(spark, dataset):
+    seen = {}
+    made = jobs.regenerate(
+        spark, dataset, "report", "structural", per_file=True, report=lambda name, counts: seen.update({name: counts.first()})
+    )
+    listed = jobs.regenerate(spark, dataset)
+    assert 0 < made.count() < listed.count()
+    assert seen["manifest"]["matched"] == made.count() and seen["manifest"]["corrupt"] == listed.count() - made.count()

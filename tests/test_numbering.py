@@ -5,6 +5,7 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from mediacurate.operators import numbering
+from mediacurate.operators.manifest import preferred_file
 from mediacurate.sources import assets
 
 
@@ -73,3 +74,14 @@ def test_progress_totals(spark):
         (1, 8, 2, 15, 5),
         (2, 3, 2, 18, 7),
     ]
+
+
+def test_shards_of_numbers_past_nine_digits(spark):
+    rows = numbering.assign_keys(spark.range(1), "id", start=1_000_000_000).unionByName(
+        numbering.assign_keys(spark.range(1), "id", start=100_000_000)
+    )
+    assert tuples(rows, "key", "shard") == [("100000000", "10000"), ("1000000000", "100000")]
+    files = rows.selectExpr("concat('images/', shard, '/', key, '.png') AS path", "key", "'png' AS ext")
+    assert tuples(preferred_file(files), "path") == [("images/10000/100000000.png",), ("images/100000/1000000000.png",)]
+    with pytest.raises(ValueError):
+        numbering.assign_keys(spark.range(1), "id", per_shard=20_000)

@@ -15,6 +15,7 @@ from mediacurate.sources.shards import success_captions
 # per bucket or per table, never on rows.
 COUNTS_ONLY = {
     "assign_keys",
+    "assign_keys_far",
     "batch_assign",
     "batch_names",
     "manifest_counters",
@@ -37,7 +38,7 @@ def no_broadcast(spark):
 
 
 LAZY = [
-    "assign_keys", "batch_assign", "captioned_rows", "checkpoint_keys", "delete_plan_all", "discover_shards",
+    "assign_keys", "assign_keys_far", "batch_assign", "captioned_rows", "checkpoint_keys", "delete_plan_all", "discover_shards",
     "ext_priority", "fetch_incremental", "fetch_status", "key_caption_last", "list_assets", "manifest_counters",
     "manifest_listing", "manifest_sidecar", "manifest_validated", "metadata_enrich", "pending", "progress_counts",
     "shard_status", "skip_counts", "valid_keys", "validate_content", "validate_counts",
