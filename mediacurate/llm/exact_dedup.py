@@ -3,7 +3,8 @@
 Rows are combined three times: map-side within a task, then per salt of a digest, then over the salts of a digest.
 Every one of these groupings has the whole normalised text among its keys, so equal digests never merge unequal texts;
 the digest only makes the verdict cheap to bring back to the rows. Combining moves a text once per task that holds it,
-so a group with a third of all rows reaches a reducer as at most one row per task, spread over the salts.
+so a group with a third of all rows reaches a reducer as at most one row per task and salt. The verdict goes back by digest
+and salt too, once for each salt that the group has, so the rows of a hot group never meet in one task.
 
 Defined results: a null text counts as empty; a null id sorts after every other id, and stays only when all rows of
 its group with the most code points have none; rows that repeat an id are counted each and share its verdict; an empty table gives no rows;
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
+#: At most 64: the salts of a group are the bits of one number.
 SALTS = 64
 _TOP = 2**63 - 1
 _SHIFT = 10**20  # more than the range of a 64-bit id
@@ -44,22 +46,30 @@ def _id_of(preference: Column) -> Column:
     return F.when(rank > 0, _decimal(_TOP + 1) - rank).cast("bigint")
 
 
+def _salt(row_id: Column, salts: int) -> Column:
+    """Follows from the id alone, so that a row has it again when it is read again."""
+    return F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+
+
 def exact_groups(docs: DataFrame, text: str = "text", row_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
-    """One row per distinct normalised text: text_sha256, content, keep_id, group_size."""
+    """One row per distinct normalised text: text_sha256, content, keep_id, group_size, and the bits of its salts."""
+    if not 0 < salts <= 64:
+        raise ValueError("from 1 to 64 salts")
     rows = docs.select(
         F.col(row_id).alias("_id"),
         without_white(F.col(text)).alias("content"),
         F.char_length(F.coalesce(F.col(text), F.lit(""))).alias("_chars"),
-        # The task's number as salt: a task sends one row per text and the tasks' rows of a hot text part ways.
-        (F.spark_partition_id() % F.lit(salts)).alias("_salt"),
+        _salt(F.col(row_id), salts).alias("_salt"),
     ).withColumn("text_sha256", F.sha2("content", 256))
     salted = rows.groupBy("text_sha256", "content", "_salt").agg(
         F.max(_preference(F.col("_chars"), F.col("_id"))).alias("_best"), F.count("*").alias("_rows")
     )
     whole = salted.groupBy("text_sha256", "content").agg(
-        F.max("_best").alias("_best"), F.sum("_rows").alias("group_size")
+        F.max("_best").alias("_best"),
+        F.sum("_rows").alias("group_size"),
+        F.expr("bit_or(shiftleft(1L, _salt))").alias("salt_bits"),
     )
-    return whole.select("text_sha256", "content", _id_of(F.col("_best")).alias("keep_id"), "group_size")
+    return whole.select("text_sha256", "content", _id_of(F.col("_best")).alias("keep_id"), "group_size", "salt_bits")
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", row_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
@@ -70,18 +80,24 @@ def exact_dedup(docs: DataFrame, text: str = "text", row_id: str = "doc_id", sal
     by_digest = (
         exact_groups(docs, text, row_id, salts)
         .groupBy("text_sha256")
-        .agg(F.count("*").alias("_texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
+        .agg(
+            F.count("*").alias("_texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"),
+            F.bit_or("salt_bits").alias("salt_bits"),
+        )
         .select(
             "text_sha256",
             "keep_id",
             F.when(F.col("_texts") == 1, F.col("group_size"))
             .otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("bigint"))
             .alias("group_size"),
+            F.explode(F.expr(f"filter(sequence(0, {salts - 1}), s -> getbit(salt_bits, s) = 1)")).alias("_salt"),
         )
     )
     members = docs.select(
-        F.col(row_id).alias(row_id), F.sha2(without_white(F.col(text)), 256).alias("text_sha256")
+        F.col(row_id).alias(row_id),
+        F.sha2(without_white(F.col(text)), 256).alias("text_sha256"),
+        _salt(F.col(row_id), salts).alias("_salt"),
     )
-    return members.join(by_digest, "text_sha256").select(
+    return members.join(by_digest, ["text_sha256", "_salt"]).select(
         row_id, "keep_id", "group_size", F.col(row_id).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
