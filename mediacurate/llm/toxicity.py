@@ -1,11 +1,13 @@
 """Toxicity by a small convolutional text classifier, trained in numpy and applied in Arrow batches.
 
-Words are hashed to rows of an embedding table; filters of several widths slide over them, each filter keeps its highest
+Words and their starts are hashed to rows of an embedding table; filters of several widths slide over them, each filter keeps its highest
 value in the text, and a logistic output weighs these. Since a filter is a sum over its places, its products with
 the embedding table are worked out once per model, and a text then costs one look-up and sum per word and place.
 
 The model is fitted on the driver to at most ``sample`` labelled rows, the first in a hash order of their ids, with
-their whole texts; all documents are scored by whole texts, long ones in overlapping pieces. Part of the sample sets the scale of the score and,
+their whole texts; all documents are scored by whole texts, long ones in overlapping pieces. Words stand for their
+starts, and only for those that tell the classes apart beyond chance; all others have an embedding of zero, so that no
+wrong label is learned by heart. Part of the sample chooses the epoch, and sets the scale of the score and,
 per language, the threshold above which a text is flagged. The score sees nothing but the text.
 
 Defined results: null and empty texts get the score of a text without words, whatever the model; labels that are null are not used;
@@ -15,6 +17,8 @@ classes every score is the share of toxic ones, 0 if there are none; an empty ta
 
 from __future__ import annotations
 
+import copy
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,13 +31,19 @@ from pyspark.sql import functions as F
 SAMPLE = 6000
 #: Texts longer than this many words are not learned from in one go but in pieces of it, the whole text counting.
 PIECE = 4096
-BUCKETS, WIDTH = 1 << 15, 16
+BUCKETS, WIDTH = 1 << 20, 16
+#: Shortest and longest starts of words, in letters.
+STARTS = (4, 12)
 SIZES, FILTERS = (1, 2, 3), 16
 EPOCHS, STEPS, BATCH = 8, 400, 32
-RATE, WORD_RATE = 0.003, 30.0
+RATE, WORD_RATE, BALANCE = 0.003, 3.0, 4.0
 THRESHOLD, LEAST_LABELS = 0.7, 50
+#: Words in fewer learned texts are not learned.
+LEAST_TEXTS = 5
+#: Standard deviations within which a word's shares of the two classes count as equal.
+CHANCE = 4.0
 _KNOWN = 400_000
-_EDGES = ".,;:!?\"'()[]{}<>|*_-"
+_EDGES = string.punctuation
 
 
 def held_out(doc_id):
@@ -41,24 +51,62 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _parts(word: str) -> list[int]:
+    """Buckets of the starts of a word, and of the whole of it."""
+    bare = word.strip(_EDGES) or word
+    starts = [bare[:n] for n in range(STARTS[0], min(len(bare) - 1, STARTS[1]) + 1)]
+    return [zlib.crc32(part.encode()) % BUCKETS for part in (*starts, bare + " ")]
+
+
+def _words(text: str | None) -> list[str]:
+    return (text or "").lower().split()
+
+
 class Words:
-    """Word numbers of texts, remembered by word."""
+    """Row numbers of the words of texts, remembered by word: the row of the start that tells the most, else row 0."""
 
-    def __init__(self):
+    def __init__(self, rows: np.ndarray, telling: np.ndarray):
         self._known: dict[str, int] = {}
+        self._rows, self._telling = rows, telling
 
     def of(self, text: str | None) -> np.ndarray:
         known, out = self._known, []
-        for word in (text or "").lower().split():
+        for word in _words(text):
             number = known.get(word)
             if number is None:
                 if len(known) >= _KNOWN:
                     known.clear()
-                number = known[word] = zlib.crc32((word.strip(_EDGES) or word).encode()) % BUCKETS
+                number = known[word] = max(self._rows[_parts(word)].tolist(), key=self._telling.__getitem__)
             out.append(number)
         return np.asarray(out, np.int64)
 
 
+def vocabulary(texts: list[str | None], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each bucket, 0 for those that tell nothing, and per row how surely it tells the classes apart.
+
+    A bucket has a row if enough texts have it and its shares of the two classes differ by more than chance.
+    """
+    parts: dict[str, list[int]] = {}
+    having = np.zeros((2, BUCKETS), np.int64)
+    for text, label in zip(texts, labels, strict=True):
+        found: set[int] = set()
+        for word in set(_words(text)):
+            if word not in parts:
+                if len(parts) >= _KNOWN:
+                    parts.clear()
+                parts[word] = _parts(word)
+            found.update(parts[word])
+        having[label, list(found)] += 1
+    sizes = np.bincount(labels, minlength=2)
+    whole = having.sum(axis=0) / sizes.sum()
+    spread = np.sqrt(np.maximum(whole * (1 - whole), 1e-9) * (1 / sizes).sum())
+    sure = (having[1] / sizes[1] - having[0] / sizes[0]) / spread
+    chosen = np.flatnonzero((having.sum(axis=0) >= LEAST_TEXTS) & (np.abs(sure) > CHANCE))
+    rows = np.zeros(BUCKETS, np.int32)
+    rows[chosen] = np.arange(1, len(chosen) + 1)
+    return rows, np.concatenate([[0.0], sure[chosen]])
+
+
 @dataclass
 class Model:
     embedding: np.ndarray
@@ -66,23 +114,34 @@ class Model:
     biases: dict[int, np.ndarray]
     weights: np.ndarray
     bias: float
+    rows: np.ndarray  # by bucket
+    sure: np.ndarray  # by row
     slope: float = 1.0
     shift: float = 0.0
     constant: float | None = None
     thresholds: dict[str, float] = field(default_factory=dict)
 
     @classmethod
-    def fresh(cls, seed: int = 7) -> Model:
+    def fresh(cls, rows: np.ndarray, sure: np.ndarray, seed: int = 7) -> Model:
+        """Embeddings start from how surely the words tell the classes apart; row 0 is and stays zero."""
         draw = np.random.default_rng(seed)
         f32 = np.float32
+        embedding = draw.normal(0, 0.02, (len(sure), WIDTH)).astype(f32)
+        embedding[:, 0] = np.clip(sure / CHANCE, -4, 4) / 2
+        embedding[0] = 0
         return cls(
-            draw.normal(0, 0.02, (BUCKETS, WIDTH)).astype(f32),
+            embedding,
             {n: draw.normal(0, 0.3 / np.sqrt(n), (n, WIDTH, FILTERS)).astype(f32) for n in SIZES},
             {n: np.zeros(FILTERS, f32) for n in SIZES},
             draw.normal(0, 0.1, len(SIZES) * FILTERS).astype(f32),
             0.0,
+            rows,
+            sure,
         )
 
+    def words(self) -> Words:
+        return Words(self.rows, np.abs(self.sure))
+
     def products(self) -> dict[int, list[np.ndarray]]:
         return {n: [self.embedding @ self.filters[n][k] for k in range(n)] for n in SIZES}
 
@@ -125,11 +184,16 @@ def _adam(state: dict, name: str, value: np.ndarray, grad: np.ndarray, step: int
     value -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
 
 
-def _fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """Minibatch training; gradients flow through the places that were highest."""
-    model, draw, state = Model.fresh(seed), np.random.default_rng(seed), {}
-    balance = np.where(labels == 1, min(4.0, (labels == 0).sum() / max(1, (labels == 1).sum())), 1.0)
-    step = 0
+def _fit(
+    model: Model, texts: list[np.ndarray], labels: np.ndarray, others: list[np.ndarray], other_labels: np.ndarray, seed: int
+) -> Model:
+    """Minibatch training; gradients flow through the places that were highest.
+
+    Of the models after each epoch, the one that explains the ``others`` best is returned.
+    """
+    draw, state = np.random.default_rng(seed), {}
+    balance = np.where(labels == 1, min(BALANCE, (labels == 0).sum() / max(1, (labels == 1).sum())), 1.0)
+    step, best, least = 0, model, np.inf
     for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(texts)))):
         order = draw.permutation(len(texts))
         for at in range(0, len(order), BATCH):
@@ -170,7 +234,18 @@ def _fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
                 total = np.zeros((len(touched), WIDTH), np.float32)
                 np.add.at(total, inverse, np.concatenate(row_grads))
                 model.embedding[touched] -= WORD_RATE * total
-    return model
+                model.embedding[0] = 0
+        products = model.products()
+        raw = np.array([model.raw(text, products) for text in others])
+        slope, shift = _scale(raw, other_labels)
+        loss = _loss(_logistic(slope * raw + shift), other_labels)
+        if loss < least:
+            best, least = copy.deepcopy(model), loss
+    return best
+
+
+def _loss(chances: np.ndarray, labels: np.ndarray) -> float:
+    return -float(np.log(np.where(labels == 1, chances, 1 - chances) + 1e-9).mean())
 
 
 def _scale(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -203,18 +278,19 @@ def _threshold(scores: np.ndarray, labels: np.ndarray) -> float:
 
 def train(rows: list[tuple[str | None, int, str | None]], seed: int = 7) -> Model:
     """``rows``: text, label, language; every fifth is set aside to set the scale and the thresholds."""
-    words = Words()
     labels = np.array([r[1] for r in rows], np.int64)
     if len(rows) == 0 or labels.min() == labels.max():
-        model = Model.fresh(seed)
+        model = Model.fresh(np.zeros(BUCKETS, np.int32), np.zeros(1), seed)
         model.constant = float(labels.mean()) if len(rows) else 0.0
         return model
-    texts = [words.of(r[0]) for r in rows]
     aside = np.arange(len(rows)) % 5 == 4
     if len(set(labels[aside])) < 2 or len(set(labels[~aside])) < 2:
         aside = np.zeros(len(rows), bool)
-    model = _fit([t for t, a in zip(texts, aside, strict=True) if not a], labels[~aside], seed)
-    check = np.flatnonzero(aside) if aside.any() else np.arange(len(rows))
+    check, learned = np.flatnonzero(aside) if aside.any() else np.arange(len(rows)), np.flatnonzero(~aside)
+    model = Model.fresh(*vocabulary([rows[i][0] for i in learned], labels[learned]), seed)
+    words = model.words()
+    texts = [words.of(r[0]) for r in rows]
+    model = _fit(model, [texts[i] for i in learned], labels[learned], [texts[i] for i in check], labels[check], seed)
     products = model.products()
     raw = np.array([model.raw(texts[i], products) for i in check])
     model.slope, model.shift = _scale(raw, labels[check])
@@ -260,7 +336,7 @@ def toxicity(
 
     # The model travels with the tasks; its size is fixed, whatever the data.
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, products = Words(), model.products()
+        words, products = model.words(), model.products()
         for batch in batches:
             made = pa.array([model.score(words.of(t.as_py()), products) for t in batch.column(1)], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), made], names=["doc_id", "lang", "score"])
@@ -294,7 +370,7 @@ def without_toxic(
     model = fitted(docs, labels, text, doc_id, lang, label, sample)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, products = Words(), model.products()
+        words, products = model.words(), model.products()
         for batch in batches:
             limits = [model.thresholds.get(tongue, threshold) for tongue in batch.column(lang).to_pylist()]
             scores = (model.score(words.of(t.as_py()), products) for t in batch.column(text))

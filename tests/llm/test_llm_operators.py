@@ -477,7 +477,7 @@ def test_score_does_not_see_the_other_columns(spark, docs):
     labels = queries.table(spark, "/root/testdata/sf0.1", "labels")
     train = queries.table(spark, "/root/testdata/sf0.1", "documents")
     model = toxicity.fitted(train, labels, "text", "doc_id", "lang", "toxic", 2500)
-    words, products = toxicity.Words(), model.products()
+    words, products = model.words(), model.products()
     assert model.score(words.of("You IDIOT"), products) == model.score(words.of("you idiot"), products)
     long = words.of("calm words " * 5000 + "idiot scum moron")
     assert model.score(long, products) > model.score(words.of("calm words " * 5000), products)
@@ -578,7 +578,7 @@ def test_pipeline_stage_by_stage(spark, sf_dir, tmp_path):
     rows = {n: [tuple(r) for r in b.select("doc_id", "text", "source").collect()] for n, (b, _) in seen.items()}
     after = {n: [r.doc_id for r in a.select("doc_id").collect()] for n, (_, a) in seen.items()}
     model = toxicity.fitted(given, queries.table(spark, sf_dir, "labels"), "text", "doc_id", "lang", "toxic", toxicity.SAMPLE)
-    words, products = toxicity.Words(), model.products()
+    words, products = model.words(), model.products()
     limit = toxicity.THRESHOLD if not model.thresholds else min(model.thresholds.values())
     clean = {r[0] for r in rows["toxicity"] if model.score(words.of(r[1]), products) < limit}
     assert clean <= set(after["toxicity"])
