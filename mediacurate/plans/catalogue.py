@@ -13,11 +13,12 @@ from mediacurate.operators import validate as validation
 from mediacurate.operators.caption import EMPTY, LeadingWords, caption
 from mediacurate.plans import views
 from mediacurate.schemas import META_RECORD, SHARD_META
-from mediacurate.session import scratch_path
+from mediacurate.session import scratch_path, settle_table
 from mediacurate.sources import assets as listing
 from mediacurate.sources.checkpoints import read_checkpoint_keys
 from mediacurate.sources.files import locate
 from mediacurate.sources.shards import shard_name, shard_status, success_captions, unify_shards
+from mediacurate.sources.sinks import read_training_csv, write_training_csv
 from mediacurate.streaming.ingest import stream_ingest
 
 ROWS_PER_BATCH = 50
@@ -202,6 +203,18 @@ def manifest_validated(spark, sf_dir):
     return manifest.validated(keys, _captions(spark, sf_dir), _assets(spark, sf_dir))
 
 
+def csv_round_trip(spark, sf_dir):
+    """The validated manifest as training CSV, read back."""
+    path = scratch_path(spark, "train-csv")
+    write_training_csv(manifest_validated(spark, sf_dir), path)
+    return read_training_csv(spark, path)
+
+
+def parquet_round_trip(spark, sf_dir):
+    """The manifest of the source as Parquet, read back."""
+    return settle_table(source_projection(spark, sf_dir), "urls")
+
+
 def manifest_listing(spark, sf_dir):
     absolute = _assets(spark, sf_dir).withColumn("path", F.concat(F.lit("file:/data/set/"), "path"))
     return manifest.listing(absolute, _captions(spark, sf_dir), root="/data/set")
@@ -480,6 +493,8 @@ QUERIES = {
     "key_caption_last": key_caption_last,
     "ext_priority": ext_priority,
     "manifest_validated": manifest_validated,
+    "csv_round_trip": csv_round_trip,
+    "parquet_round_trip": parquet_round_trip,
     "manifest_listing": manifest_listing,
     "manifest_sidecar": manifest_sidecar,
     "manifest_counters": manifest_counters,

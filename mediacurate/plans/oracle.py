@@ -234,6 +234,9 @@ _BODIES = {
     "stream_dedupe": "SELECT key, url, status, sha256 FROM shard_rows",
 }
 
+# A sink read back gives what was written.
+_BODIES |= {"csv_round_trip": _BODIES["manifest_validated"], "parquet_round_trip": _BODIES["source_projection"]}
+
 
 def _with_views(body: str) -> str:
     return f"WITH {_VIEWS.strip()}\n{body.strip()}"
