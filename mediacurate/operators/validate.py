@@ -93,23 +93,6 @@ def _decode_problem(path: str, decoder) -> str | None:
     return None
 
 
-def pillow_decoder() -> Callable[[bytes], object]:
-    """A decoder on the Pillow library, where executors have it."""
-
-    def decode(content: bytes):
-        import io
-
-        from PIL import Image
-
-        with Image.open(io.BytesIO(content)) as probe:
-            probe.verify()
-        with Image.open(io.BytesIO(content)) as image:
-            image.load()
-            return image.convert("RGB").size
-
-    return decode
-
-
 def _chunks(items: list[str], size: int) -> Iterator[list[str]]:
     for start in range(0, len(items), size):
         yield items[start : start + size]
