@@ -83,7 +83,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.mix(docs)
+    return mixing.mix(docs, frame=mixing.FRAME)  # as its SQL says; the pipeline takes the target weights as they are
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -561,6 +561,35 @@ def test_mix_deviates_by_less_than_a_block(spark, docs, nothing):
     assert set(docs.columns) <= set(mixing.mix(docs).columns) and mixing.mix(nothing).count() == 0
 
 
+@pytest.mark.parametrize("weights", [None, {"hot": 0.9, **{f"s{i}": 0.1 / 19 for i in range(19)}}])
+def test_mix_keeps_to_the_target_weights_however_many_rows(spark, weights):
+    n = 30_000
+    name = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 19))
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), name.alias("source"))
+    mixed = mixing.mix(rows, weights, block=4).collect()
+    assert len(mixed) == n and len({(r.slot, r.place) for r in mixed}) == n
+    sizes = {s: sum(r.source == s for r in mixed) for s in {r.source for r in mixed}}
+    weight = {s: weights[s] if weights else many**0.5 for s, many in sizes.items()}
+    target = {s: w / sum(weight.values()) for s, w in weight.items()}
+    of_slot = {r.slot: (r.source, r.block) for r in mixed}
+    assert len(of_slot) == sum(-(-many // 4) for many in sizes.values())
+    had = dict.fromkeys(sizes, 0)
+    for t in range(1, max(of_slot) + 2):
+        if t - 1 in of_slot:
+            s, number = of_slot[t - 1]
+            assert number == had[s]
+            had[s] += 1
+        assert all(abs(had[s] - target[s] * t) < 1 + 1e-9 for s in sizes if had[s] < -(-sizes[s] // 4)), t
+
+
+def test_schedule_comes_in_stretches_and_skips_what_nobody_asks_for():
+    parts, blocks = [1, 10**9, 3], [3, 50, 0]
+    whole = np.concatenate(list(mixing.whole_schedule(parts, blocks)))
+    assert np.array_equal(whole, np.concatenate(list(mixing.whole_schedule(parts, blocks, stretch=7))))
+    assert len(whole) == 53 and whole[:, 2].max() > 10**9 and np.all(np.diff(whole[:, 2]) > 0)
+    assert list(mixing.whole_schedule([], [])) == []
+
+
 # --- the pipeline ------------------------------------------------------------------------
 
 
