@@ -96,7 +96,8 @@ def download(
 ) -> None:
     """Source table to files, shard metadata, unified metadata and training manifest.
 
-    A rerun keeps the keys given before and skips the shards already fetched.
+    A rerun keeps the keys given before, numbers the rows the source has gained, and skips the shards already fetched.
+    Rows that left the source stay.
     """
     data = Dataset(root)
     keyed = data.at("keyed_urls")
@@ -106,6 +107,8 @@ def download(
         named = metadata.project_source(rows, "source_file", "source_row")
         numbered = numbering.assign_keys(named, "source_file", "source_row", per_shard=per_shard)
         numbered.write.mode("overwrite").parquet(keyed)
+    else:
+        _append_new(spark, source, data, per_shard, report)
     wanted = spark.read.parquet(keyed)
 
     table = data.at("shards")
@@ -126,6 +129,36 @@ def download(
     regenerate(spark, root, validate, level, decoder, report=report, rows=rows)
 
 
+def _append_new(spark: SparkSession, source: str, data: Dataset, per_shard: int, report: Report) -> None:
+    """Number the rows that the source has and the keyed rows have not, from the next shard on.
+
+    Rows are told apart by their contents, so files may be renamed or written anew; of equal rows the copies count. New
+    rows get shards of their own, since a fetched shard is never fetched again.
+    """
+    path = data.at("keyed_urls")
+    keyed = spark.read.parquet(path)
+    rows = metadata.project_source(listing.read_source(spark, source), "source_file", "source_row")
+    columns = [c for c in rows.columns if c not in ("source_file", "source_row")]
+    digest = F.sha2(F.to_json(F.struct(*columns)), 256).alias("_digest")
+    held = keyed.groupBy(digest).agg(F.count("*").alias("_held"))
+    had = rows.groupBy(digest, *columns).agg(
+        F.count("*").alias("_copies"), F.min(F.struct("source_file", "source_row")).alias("_first")
+    )
+    more = had.join(held, "_digest", "left").withColumn("_more", F.col("_copies") - F.coalesce("_held", F.lit(0)))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_more")))
+    new = settle_table(more.filter("_more > 0").select(*columns, "_first.*", copies.alias("_copy")).drop("_copy"), "new_rows")
+    report("source rows added", new.agg(F.count("*").alias("rows")))
+    if new.isEmpty():
+        return
+    last = keyed.agg(F.max("gidx"), F.max(F.col("shard").cast("bigint"))).first()
+    start = per_shard * (1 + max(last[0] // per_shard, last[1])) if last[0] is not None else 0
+    numbered = numbering.assign_keys(new, "source_file", "source_row", per_shard=per_shard, start=start)
+    # The numbered rows come last: after a crash before them, all is done again.
+    urls = settle_table(keyed.select(*columns).union(new.select(*columns)), "urls")
+    urls.write.mode("overwrite").parquet(data.at("urls.parquet"))
+    numbered.select(*keyed.columns).write.mode("append").parquet(path)
+
+
 def unify(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Write the unified metadata, every status kept, and the audit of the shard files."""
     data = Dataset(root)

@@ -95,6 +95,32 @@ def test_second_download_fetches_nothing(spark, web, dataset):
     assert tuples(spark.read.parquet(f"{dataset}/full_metadata.parquet"), "key", "status", "attempts") == before
 
 
+def test_a_grown_source_is_fetched_and_keys_stay(spark, web, tmp_path):
+    source, root, seen = tmp_path / "grown.parquet", str(tmp_path / "data"), []
+    rows = pd.read_parquet(web / "source.parquet").iloc[:3]
+
+    def run(frame):
+        frame.to_parquet(source)
+        counts = {}
+        jobs.download(
+            spark, str(source), root, UrlFetcher(), threads=2, per_shard=5, retries=1, level="structural",
+            report=lambda name, made: counts.setdefault(name, [tuple(r) for r in made.collect()]),
+        )
+        full = spark.read.parquet(f"{root}/full_metadata.parquet")
+        seen.append(sorted((r.key, r.original_key) for r in full.select("key", "original_key").collect()))
+        return counts.get("source rows added")
+
+    run(rows)
+    more = pd.read_parquet(web / "source.parquet").iloc[[9, 0, 1, 2, 8, 1]]  # rewritten: new rows amid old ones, and a copy
+    assert run(more) == [(3,)]
+    assert seen[0] == [(f"00000000{i}", f"src-{i}") for i in range(3)]
+    assert seen[1][:3] == seen[0] and [k for k, _ in seen[1][3:]] == ["000010000", "000010001", "000010002"]
+    assert sorted(o for _, o in seen[1][3:]) == ["src-1", "src-8", "src-9"]
+    assert all(Path(root, "images/00001", f"{k}.jpg").exists() for k, _ in seen[1][3:])
+    assert spark.read.parquet(f"{root}/urls.parquet").count() == 6
+    assert run(more) == [(0,)] and run(rows) == [(0,)] and seen[3] == seen[2] == seen[1]
+
+
 def test_regenerate_without_checks_lists_every_file(spark, dataset):
     made = jobs.regenerate(spark, dataset, "none")
     assert made.count() == 8
