@@ -6,8 +6,11 @@ the unlabelled rows it is surest of, as many per class as their share among the
 view learns from them too. Both are then put on a probability scale by rows set aside, and the score is the
 probability from their weighted log-odds, the weights fitted on the same rows.
 
-Fitted on the driver to at most ``sample`` labelled and ``pool`` unlabelled rows, the first in a hash order of their ids;
-every document is scored by its whole text, in Arrow batches.
+At most ``sample`` labelled rows are learned from, the first in a hash order of their ids, and all unlabelled rows that are not held
+out. Their features are written once; in each round all of them are scored in Arrow batches, and thresholds at
+quantiles over all of them choose the surest. The chosen rows are dealt by a hash of their ids into groups of about ``GROUP``, each group
+fits a model to its rows and all of the labelled ones, and the weights of the groups are averaged. So what a task or the
+driver holds is the labelled sample and one group. Every document is scored by its whole text, in Arrow batches.
 
 Defined results: null and empty texts have no words and are scored by their metadata and the model's constants; null
 metadata count as empty; labels that are null are not used; rows that repeat an id are scored each; without labels of both classes every score
@@ -26,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediacurate.llm.toxicity import _logistic, _scale, held_out, labelled_sample
+from mediacurate.session import settle_table
 
-SAMPLE, POOL = 4000, 4000
+SAMPLE, GROUP = 4000, 4000
 ROUNDS, STEP = 4, 0.05
 BUCKETS, NAMES, SHAPES = 1 << 16, 64, 8
 THRESHOLD = 0.5
@@ -40,7 +44,7 @@ class TextView:
     def __init__(self):
         self._known: dict[str, int] = {}
 
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         known, words = self._known, []
         for word in (text or "").lower().split():
             number = known.get(word)
@@ -50,13 +54,21 @@ class TextView:
                 number = known[word] = zlib.crc32(word.encode())
             words.append(number)
         if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.float32)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         single = np.asarray(words, np.uint64)
         pairs = (single[:-1] * np.uint64(0x9E3779B1) + single[1:] * np.uint64(0x85EBCA6B)) >> np.uint64(7)
         every = np.concatenate([single, pairs]) % np.uint64(BUCKETS)
         places, counts = np.unique(every, return_counts=True)
-        values = np.sqrt(counts).astype(np.float32)
-        return places.astype(np.int64), values / np.linalg.norm(values)
+        return places.astype(np.int64), counts
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        places, counts = self.counts(text)
+        return places, _shares(counts)
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    values = np.sqrt(counts).astype(np.float32)
+    return values / np.linalg.norm(values) if len(values) else values
 
 
 def shape_of(text: str | None) -> np.ndarray:
@@ -143,71 +155,209 @@ def _fit_rows(rows, labels, weights, rounds: int = 300, rate: float = 0.1, decay
     return w, bias
 
 
-def _surest(raw: np.ndarray, taken: np.ndarray, share: float, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """The untaken rows that a view is surest of, and its labels: of ``number``, ``share`` are good."""
-    free = np.flatnonzero(~taken)
-    order = free[np.argsort(raw[free], kind="stable")]
-    good = min(len(order), round(number * share))
-    bad = min(len(order) - good, number - round(number * share))
-    chosen = np.concatenate([order[:bad], order[len(order) - good :]])
-    return chosen, np.concatenate([np.zeros(bad), np.ones(good)])
+@dataclass
+class _Fitted:
+    """Both views, before their scales."""
+
+    words: np.ndarray
+    word_bias: float
+    metadata: np.ndarray
+    metadata_bias: float
+
+    def raw(self, words: tuple[np.ndarray, np.ndarray], row: np.ndarray) -> dict[str, float]:
+        text = float(self.words[words[0]] @ words[1]) + self.word_bias
+        return {"text": text, "meta": float(row @ self.metadata) + self.metadata_bias}
+
+
+@dataclass
+class _Round:
+    """The model of a round, and per view as a teacher the scores up to and from which it labels."""
+
+    model: _Fitted
+    limits: dict[str, tuple[float, float]]
+
+
+_VIEWS = ("text", "meta")
+_PUPIL = {"text": "meta", "meta": "text"}
+_POOL = "doc_id bigint, order double, places binary, counts binary, shape binary, named array<int>"
+#: Sums over rows are of whole numbers, so that they do not depend on the order.
+_UNIT, _WEIGHT_UNIT = 1 << 16, 1 << 32
 
 
-def train(labelled: list[tuple], pool: list[tuple], rounds: int = ROUNDS, step: float = STEP) -> Model:
-    """``labelled``: text, source, lang, label; ``pool``: text, source, lang. Every fifth labelled row is set aside."""
+def _pool_features(free: DataFrame) -> DataFrame:
+    """What the views see of (doc_id, order, text, source, lang), as a table in the checkpoint folder."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        view = TextView()
+        for batch in batches:
+            made = []
+            for body, where, tongue in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                places, counts = view.counts(body)
+                named = [zlib.crc32((x or "").encode()) % NAMES for x in (where, tongue)]
+                made.append((places.astype(np.uint16).tobytes(), counts.astype(np.uint32).tobytes(), shape_of(body).tobytes(), named))
+            columns = list(zip(*made, strict=True)) or [[]] * 4
+            arrays = [*(pa.array(c, pa.binary()) for c in columns[:3]), pa.array(columns[3], pa.list_(pa.int32()))]
+            names = ["doc_id", "order", "places", "counts", "shape", "named"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=names)
+
+    return settle_table(free.mapInArrow(make, _POOL), "unlabelled")
+
+
+def _unpacked(batch) -> Iterator[tuple[int, float, tuple[np.ndarray, np.ndarray], np.ndarray]]:
+    """doc_id, order, words and metadata of the rows of a batch or table of features."""
+    names = ("doc_id", "order", "places", "counts", "shape", "named")
+    for doc_id, order, places, counts, shape, named in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        row = np.zeros(SHAPES + 2 * NAMES)
+        row[:SHAPES] = np.frombuffer(shape)
+        row[SHAPES + named[0]] = row[SHAPES + NAMES + named[1]] = 1
+        words = np.frombuffer(places, np.uint16).astype(np.int64), _shares(np.frombuffer(counts, np.uint32))
+        yield doc_id, order, words, row
+
+
+def _moments(pool: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows of the pool, and sums and sums of squares of its metadata."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many, sums = 0, np.zeros((2, SHAPES + 2 * NAMES), np.int64)
+        for batch in batches:
+            for *_, row in _unpacked(batch):
+                many += 1
+                sums += np.rint(np.stack([row, row * row]) * _UNIT).astype(np.int64)
+        arrays = [np.arange(sums.shape[1]), sums[0], sums[1], np.full(sums.shape[1], many)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["at", "one", "two", "many"])
+
+    parts = pool.mapInArrow(add, "at bigint, one bigint, two bigint, many bigint").groupBy("at")
+    found = sorted(tuple(r) for r in parts.agg(F.sum("one"), F.sum("two"), F.sum("many")).collect())
+    if not found:
+        return 0, np.zeros(SHAPES + 2 * NAMES), np.zeros(SHAPES + 2 * NAMES)
+    return found[0][3], *(np.array([r[i] for r in found], np.float64) / _UNIT for i in (1, 2))
+
+
+def _said(history: list[_Round], order: float, words, row: np.ndarray) -> dict[str, int | None]:
+    """What the other view has told each pupil about a row: the first label counts."""
+    told: dict[str, int | None] = dict.fromkeys(_VIEWS)
+    for past in history:
+        raw = past.model.raw(words, row)
+        for teacher, (low, high) in past.limits.items():
+            value = raw[teacher] + order
+            if told[_PUPIL[teacher]] is None and (value <= low or value >= high):
+                told[_PUPIL[teacher]] = int(value > low)
+    return told
+
+
+def _limits(pool: DataFrame, history: list[_Round], model: _Fitted, centre, spread, share: float, number: int):
+    """Per teacher, the scores beyond which lie the ``number`` surest rows not yet told to its pupil; ``share`` of them are good."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {v: [] for v in _VIEWS}
+            for _, order, words, row in _unpacked(batch):
+                row = (row - centre) / spread
+                told, raw = _said(history, order, words, row), model.raw(words, row)
+                for v in _VIEWS:
+                    out[v].append(raw[v] + order if told[_PUPIL[v]] is None else None)
+            yield pa.RecordBatch.from_arrays([pa.array(out[v], pa.float64()) for v in _VIEWS], names=list(_VIEWS))
+
+    scores = settle_table(pool.mapInArrow(score, "text double, meta double"), "scores")
+    free = scores.agg(*(F.count(v).alias(v) for v in _VIEWS)).first()
+    asked, limits = [], {}
+    for v in _VIEWS:
+        good = min(free[v], round(number * share))
+        bad = min(free[v] - good, number - round(number * share))
+        # The quantile at k / n is the k-th value from below.
+        low, high = bad / max(free[v], 1), (free[v] - good + 1) / max(free[v], 1)
+        asked.append(F.percentile_approx(v, [min(low, 1.0), min(high, 1.0)], 100_000).alias(v))
+        limits[v] = (bad > 0, good > 0)
+    found = scores.agg(*asked).first()
+    return {
+        v: (found[v][0] if limits[v][0] else -np.inf, found[v][1] if limits[v][1] else np.inf) for v in _VIEWS if found[v]
+    }
+
+
+def _averaged(pool: DataFrame, history: list[_Round], own: tuple, centre, spread, groups: int) -> dict[str, tuple[np.ndarray, float]]:
+    """Per view the mean of the models of the groups, each fitted to the labelled rows ``own`` and the group's rows."""
+    texts, rows, labels = own
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [_said(history, o, words, (row - centre) / spread) for _, o, words, row in _unpacked(batch)]
+            for v in _VIEWS:
+                said = pa.array([t[v] for t in told], pa.int32())
+                view = pa.array([v] * batch.num_rows, pa.string())
+                whole = pa.RecordBatch.from_arrays([view, said, *batch.columns], names=["view", "said", *batch.schema.names])
+                yield whole.filter(said.is_valid())
+
+    def fit(key: tuple, table: pa.Table) -> pa.Table:
+        view = key[0].as_py()
+        found = sorted(zip(_unpacked(table), table.column("said").to_pylist(), strict=True), key=lambda r: (r[0][1], r[0][0]))
+        y = np.concatenate([labels, [said for _, said in found]])
+        weight = np.concatenate([np.ones(len(labels)), np.full(len(found), 0.5)])
+        if view == "text":
+            w, bias = _fit_words([*texts, *(r[2] for r, _ in found)], y, weight)
+        else:
+            w, bias = _fit_rows(np.concatenate([rows, [(r[3] - centre) / spread for r, _ in found]]), y, weight)
+        values = np.rint(np.append(w.astype(np.float64), bias) * _WEIGHT_UNIT).astype(np.int64)
+        made = {"view": [view] * len(values), "at": np.arange(len(values)), "value": values}
+        return pa.table(made, schema=pa.schema([("view", pa.string()), ("at", pa.int64()), ("value", pa.int64())]))
+
+    told = pool.mapInArrow(tell, f"view string, said int, {_POOL}")
+    dealt = told.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    fitted = dealt.groupBy("view", "group").applyInArrow(fit, "view string, at bigint, value bigint")
+    means = fitted.groupBy("view", "at").agg(F.sum("value").alias("value"), F.count("*").alias("many"))
+    # One row per weight of the model.
+    collected, out = means.toArrow(), {}
+    views, at = np.array(collected.column("view").to_pylist()), collected.column("at").to_numpy()
+    mean = collected.column("value").to_numpy() / collected.column("many").to_numpy() / _WEIGHT_UNIT
+    for v in set(views.tolist()):
+        whole = np.zeros(at[views == v].max() + 1)
+        whole[at[views == v]] = mean[views == v]
+        out[v] = (whole[:-1].astype(np.float32) if v == "text" else whole[:-1], float(whole[-1]))
+    return out
+
+
+def train(labelled: list[tuple], pool: DataFrame | None, rounds: int = ROUNDS, step: float = STEP, group: int = GROUP) -> Model:
+    """``labelled``: text, source, lang, label; ``pool``: the unlabelled rows' features. Every fifth labelled row is set aside."""
     labels = np.array([r[3] for r in labelled], np.float64)
     if not len(labels) or labels.min() == labels.max():
         none = np.zeros(SHAPES + 2 * NAMES)
         constant = float(labels.mean()) if len(labels) else 0.5
         return Model(np.zeros(BUCKETS, np.float32), 0.0, none, 0.0, none, none + 1, (1, 0, 1, 0), np.zeros(3), constant)
     view = TextView()
-    texts = [view.of(r[0]) for r in [*labelled, *pool]]
-    rows = np.stack([metadata_of(r[0], r[1], r[2]) for r in [*labelled, *pool]])
-    centre, spread = rows.mean(axis=0), rows.std(axis=0) + 0.05
-    rows = (rows - centre) / spread
+    texts = [view.of(r[0]) for r in labelled]
+    rows = np.stack([metadata_of(r[0], r[1], r[2]) for r in labelled])
+    many, one, two = _moments(pool) if pool is not None else (0, 0.0, 0.0)
     n = len(labelled)
+    centre = (rows.sum(axis=0) + one) / (n + many)
+    square = ((rows * rows).sum(axis=0) + two) / (n + many) - centre * centre
+    spread = np.sqrt(np.maximum(square, 0)) + 0.05
+    rows = (rows - centre) / spread
     aside = np.arange(n) % 5 == 4
     if len(set(labels[aside])) < 2 or len(set(labels[~aside])) < 2:
         aside = np.zeros(n, bool)
     own = np.flatnonzero(~aside)
     share = labels[own].mean()
-
-    # What each view learns from: rows and labels; the pseudo-labels weigh half.
-    learned = {v: (own, labels[own], np.ones(len(own))) for v in ("text", "meta")}
-    taken = {v: np.zeros(len(pool), bool) for v in ("text", "meta")}
-
-    def fit():
-        at, y, weight = learned["text"]
-        words = _fit_words([texts[i] for i in at], y, weight)
-        at, y, weight = learned["meta"]
-        return words, _fit_rows(rows[at], y, weight)
-
-    def text_raw(w, b, which):
-        return np.array([float(w[texts[i][0]] @ texts[i][1]) + b for i in which])
-
-    (w, wb), (m, mb) = fit()
-    number = max(2, round(step * len(pool)))
-    for _ in range(rounds if len(pool) else 0):
-        pool_at = np.arange(n, len(texts))
-        raw = {"text": text_raw(w, wb, pool_at), "meta": rows[pool_at] @ m + mb}
-        for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            chosen, said = _surest(raw[teacher], taken[pupil], share, number)
-            taken[pupil][chosen] = True
-            at, y, weight = learned[pupil]
-            learned[pupil] = (
-                np.concatenate([at, chosen + n]),
-                np.concatenate([y, said]),
-                np.concatenate([weight, np.full(len(chosen), 0.5)]),
-            )
-        (w, wb), (m, mb) = fit()
+    learned = [texts[i] for i in own], rows[own], labels[own]
+
+    model = _Fitted(*_fit_words(learned[0], labels[own], np.ones(len(own))), *_fit_rows(rows[own], labels[own], np.ones(len(own))))
+    history: list[_Round] = []
+    number = max(2, round(step * many))
+    for turn in range(rounds if many else 0):
+        history.append(_Round(model, _limits(pool, history, model, centre, spread, share, number)))
+        groups = -(-number * (turn + 1) // group)
+        made = _averaged(pool, history, learned, centre, spread, groups)
+        words = made.get("text", (model.words, model.word_bias))
+        model = _Fitted(*words, *made.get("meta", (model.metadata, model.metadata_bias)))
 
     check = np.flatnonzero(aside) if aside.any() else own
-    text, meta = text_raw(w, wb, check), rows[check] @ m + mb
+    both = [model.raw(texts[i], rows[i]) for i in check]
+    text, meta = (np.array([r[v] for r in both]) for v in _VIEWS)
     a, b = _scale(text, labels[check])
     c, d = _scale(meta, labels[check])
     both = np.stack([a * text + b, c * meta + d], axis=1)
     weights, constant = _fit_rows(both, labels[check], np.ones(len(check)), decay=1e-2)
-    return Model(w, wb, m, mb, centre, spread, (a, b, c, d), np.append(weights, constant))
+    return Model(
+        model.words, model.word_bias, model.metadata, model.metadata_bias, centre, spread, (a, b, c, d), np.append(weights, constant)
+    )
 
 
 def quality(
@@ -219,29 +369,26 @@ def quality(
     lang: str = "lang",
     label: str = "quality",
     sample: int = SAMPLE,
-    pool: int = POOL,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted, text_score, metadata_score.
 
-    Labels are learned from rows that are not held out; the pool is unlabelled rows, first in a hash order.
+    Labels are learned from rows that are not held out; the pool is all unlabelled rows that are not.
     """
     columns = [F.col(text), F.col(source), F.col(lang)]
     found = labelled_sample(docs, labels, label, text, doc_id, sample)
     labelled = found.select(*columns, F.col("_label").cast("int"), F.xxhash64(doc_id), F.col(doc_id)).collect()
     labelled.sort(key=lambda r: (r[4], r[5]))
     known = labels.select(F.col("doc_id").alias("_labelled"))
-    # Ids first, so that only the chosen rows' texts move; those held out stay out of the training altogether.
-    free = docs.select(F.col(doc_id).alias("_pool")).filter(F.col("_pool").isNotNull() & ~held_out(F.col("_pool")))
-    free = free.join(known, F.col("_pool") == F.col("_labelled"), "left_anti").distinct()
-    chosen = free.orderBy(F.xxhash64("_pool"), "_pool").limit(pool)
-    unlabelled = (
-        docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("_pool"))
-        .select(*columns, F.xxhash64(doc_id), F.col(doc_id))
-        .collect()
-    )
-    unlabelled.sort(key=lambda r: (r[3], r[4]))
-    model = train([tuple(r[:4]) for r in labelled[:sample]], [tuple(r[:3]) for r in unlabelled[:pool]])
+    own = docs.select(F.col(doc_id).cast("bigint").alias("_pool"), *(c.alias(f"_c{i}") for i, c in enumerate(columns)))
+    free = own.filter(F.col("_pool").isNotNull() & ~held_out(F.col("_pool")))
+    free = free.join(known.distinct(), F.col("_pool") == F.col("_labelled"), "left_anti")
+    # Equal scores are told apart by a hash of the id, far below what a score means.
+    order = (F.pmod(F.xxhash64("_pool"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.lit(1e-6)).alias("order")
+    learned = [tuple(r[:4]) for r in labelled[:sample]]
+    both = len({r[3] for r in learned}) == 2
+    pool = _pool_features(free.select(F.col("_pool").alias("doc_id"), order, "_c0", "_c1", "_c2")) if both else None
+    model = train(learned, pool)
 
     # The model travels with the tasks; its size is fixed, whatever the data.
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

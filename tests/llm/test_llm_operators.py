@@ -462,6 +462,31 @@ def test_quality_on_held_out_rows(spark):
     assert auc > 0.9 and accuracy > 0.9
 
 
+def test_the_whole_unlabelled_corpus_is_in_the_pool(spark, monkeypatch):
+    known = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    text = F.concat(F.when(F.col("id") % 2 == 1, "calm good words ").otherwise("bad worse words "), F.col("id"))
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    seen, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda learned, pool: seen.append(pool) or train(learned, pool, rounds=1))
+    scored = quality.quality(docs, known)
+    want = [i for i in range(60, 9000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(want) > 5000 and sorted(r.doc_id for r in seen[0].select("doc_id").collect()) == want
+    assert scored.count() == 9000
+
+
+def test_chosen_rows_of_all_groups_count(spark):
+    rows = [(i, "calm good words" if i % 2 else "bad worse words", "s", "en") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    free = frame.select("doc_id", (F.col("doc_id") * 1e-9).alias("order"), "text", "source", "lang").repartition(3)
+    pool = quality._pool_features(free)
+    labelled = [(r[1], r[2], r[3], r[0] % 2) for r in rows[:40]]
+    models = [quality.train(labelled, pool, step=0.2, group=g) for g in (20, 20, 4000)]
+    assert np.array_equal(models[0].words, models[1].words) and not np.array_equal(models[0].words, models[2].words)
+    for m in models:
+        good, bad = (m.score(quality.TextView().of(t), quality.metadata_of(t, "s", "en"))[1] for t in ("calm good words", "bad worse words"))
+        assert good > 0.6 > 0.4 > bad
+
+
 @pytest.mark.parametrize("known", [[], [(1, 1, 1)], [(1, None, None), (None, 1, 1), (2, 1, 0), (4, 0, 1), (6, 1, 0), (9, 0, 1)]])
 def test_classifiers_on_edge_rows(spark, docs, nothing, known):
     labels = spark.createDataFrame(known, "doc_id bigint, quality int, toxic int")
