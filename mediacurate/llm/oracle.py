@@ -91,9 +91,37 @@ SELECT doc_id, source, block, block // slots * frame + slot AS slot, CAST(rank %
 FROM blocked b JOIN schedule s ON b.number = s.number AND block % slots = turn
 """
 
+OP13 = rf"""
+WITH signs AS (SELECT list(list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+  ORDER BY b) AS sign FROM range(256) r(b)),
+doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item_words AS (SELECT {_WORDS} AS w FROM benchmark),
+spelled AS (SELECT word, hex(word) AS x FROM (
+  SELECT unnest(w) AS word FROM doc_words UNION SELECT unnest(w) FROM item_words)),
+buckets AS (SELECT word, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, sign[(xor(c, b) & 255) + 1]))) % 10000 AS bucket FROM spelled, signs),
+features AS (SELECT doc_id, bucket FROM (SELECT doc_id, unnest(w) AS word FROM doc_words) JOIN buckets USING (word)),
+sources AS (SELECT bucket, count(*) AS s FROM features GROUP BY bucket),
+targets AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS word FROM item_words) JOIN buckets USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM features) + 10000)
+    / (CAST(s + 1 AS DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM targets) + 10000)))) AS gain
+  FROM sources LEFT JOIN targets USING (bucket)),
+weights AS (SELECT doc_id, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM features JOIN gains USING (bucket) GROUP BY doc_id),
+scores AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+    / 4294967296::DOUBLE))) AS BIGINT) AS score FROM doc_words LEFT JOIN weights USING (doc_id)),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS many
+  FROM scores WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, rank
+FROM scores s LEFT JOIN drawn d ON s.doc_id = d.doc_id AND rank <= 10 * many // 100
+"""
+
 ORACLE = {
     "op3_line_dedup": OP3,
     "op4_exact_dedup": OP4,
     "op8_decontaminate": OP8,
     "op9_mix": OP9,
+    "op13_importance": OP13,
 }

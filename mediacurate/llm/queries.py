@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from mediacurate.llm import (
     decontaminate,
     exact_dedup,
+    importance,
+    jaccard_join,
     line_dedup,
     mixing,
     quality,
@@ -90,6 +92,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,5 +113,7 @@ QUERIES = {
         op8_decontaminate,
         op9_mix,
         op10_quality,
+        op11_jaccard_join,
+        op13_importance,
     )
 }

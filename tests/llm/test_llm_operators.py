@@ -91,7 +91,7 @@ def test_all_are_registered():
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(oracle.ORACLE) <= set(contract.oracle_sql())
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 # --- 1 -------------------------------------------------------------------------------
