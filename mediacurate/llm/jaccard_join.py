@@ -118,31 +118,32 @@ class Bands:
         return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
-_SETS = "at bigint, doc_id bigint, n int, d1 bigint, d2 bigint, hashes binary, keys array<bigint>"
+_SETS = "at bigint, doc_id bigint, text string, n int, d1 bigint, d2 bigint, keys array<bigint>"
 
 
 def sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The set of each row, with its digest and keys; ``at`` numbers the rows as they were read."""
+    """The size, digest and keys of each row's set; ``at`` numbers the rows as they were read.
+
+    The text stays beside them, and tiles make the sets anew: hashes are larger than the text and can't be compressed.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, at = Bands(percent), TaskContext.get().partitionId() << 33
         for batch in batches:
-            sizes, digests, arrays, keys = [], [], [], []
+            sizes, digests, keys = [], [], []
             for value in batch.column(1):
                 hashes = set_of(value.as_py(), shingle)
                 sizes.append(len(hashes))
-                arrays.append(hashes.tobytes())
-                digests.append(xxhash.xxh3_128_digest(arrays[-1]))
+                digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 keys.append(bands.keys(hashes).view(np.int64))
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             columns = [
-                pa.array(np.arange(at, at + batch.num_rows)), batch.column(0), pa.array(sizes, pa.int32()),
-                pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(arrays, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                pa.array(np.arange(at, at + batch.num_rows)), *batch.columns, pa.array(sizes, pa.int32()),
+                pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["at", "doc_id", "n", "d1", "d2", "hashes", "keys"])
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "doc_id", "text", "n", "d1", "d2", "keys"])
             at += batch.num_rows
 
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -196,8 +197,8 @@ def forest(arrays: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int,
     return links
 
 
-def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (tile, node, hashes) in the order of their tiles, in; links (a, b) out."""
+def _compare(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (tile, at, text) in the order of their tiles, in; links (a, b) out."""
     tile, nodes, arrays = None, [], []
 
     def ended() -> Iterator[pa.RecordBatch]:
@@ -208,54 +209,57 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                 yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in x], pa.int64()) for x in (a, b)], names=["a", "b"])
 
     for batch in batches:
-        for mine, node, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+        for mine, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             if mine != tile:
                 yield from ended()
                 tile, nodes, arrays = mine, [], []
             nodes.append(node)
-            arrays.append(np.frombuffer(body.as_py(), np.uint64))
+            arrays.append(set_of(text.as_py(), shingle))
     yield from ended()
 
 
-def _clusters(reps: DataFrame) -> DataFrame:
-    """(node, root) of the sets that share keys with others, by way of the least set of each key."""
-    rows = reps.select(F.explode("keys").alias("key"), F.col("at").alias("node"))
+def clusters(keyed: DataFrame) -> DataFrame:
+    """(node, root) of the sets (at, keys) that share keys with others, by way of the least set of each key."""
+    rows = keyed.select(F.explode("keys").alias("key"), F.col("at").alias("node"))
     hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
     met = rows.join(hubs.select("key", "hub"), "key").filter("node <> hub")
     return components(met.select(F.col("hub").alias("a"), F.col("node").alias("b")))
 
 
-def _tiles(members: DataFrame, percent: int, tile_bytes: int, tile_sets: int) -> DataFrame:
-    """(tile, node, hashes): each set in every tile that may have a partner of it."""
+def tiles(members: DataFrame, percent: int, tile_bytes: int, tile_sets: int) -> DataFrame:
+    """(tile, at) from (root, at, n): each set in every tile that may have a partner of it."""
     bands = Bands(percent)
     of = F.udf(lambda n: bands.of(n), "array<int>")
-    # the sizes that occur are far fewer than the sets
-    sizes = members.select("n").distinct().select("n", of("n").alias("bands"))
-    placed = members.select("root", "node", "n").join(sizes, "n").select("root", "node", "n", F.explode("bands").alias("band"))
-    blocks = placed.groupBy("root", "band").agg(F.sum(F.col("n").cast("bigint")).alias("grams"), F.count("*").alias("sets")).filter("sets > 1")
-    blocks = blocks.select(
-        "root", "band",
-        F.greatest(F.ceil(F.col("grams") * 8 / tile_bytes), F.ceil(F.col("sets") / tile_sets)).cast("int").alias("blocks"),
-    )
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    sizes = members.select("n").distinct().select("n", of("n").alias("bands"))  # sizes that occur are far fewer than sets
+    placed = members.join(sizes, "n").select("root", "at", "n", F.explode("bands").alias("band"))
+    totals = placed.groupBy("root", "band").agg(F.sum(F.col("n").cast("bigint")).alias("grams"), F.count("*").alias("sets"))
+    needed = F.greatest(F.ceil(F.col("grams") * 8 / tile_bytes), F.ceil(F.col("sets") / tile_sets)).cast("int")
+    blocks = totals.filter("sets > 1").select("root", "band", needed.alias("blocks"))
+    mine = F.pmod(F.xxhash64("at"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = placed.join(blocks, ["root", "band"]).select("root", "band", "node", mine.alias("mine"), other.alias("other"))
-    tile = F.xxhash64("root", "band", F.least("mine", "other"), F.greatest("mine", "other"))
-    return dealt.select(tile.alias("tile"), "node").join(members.select("node", "hashes"), "node")
+    dealt = placed.join(blocks, ["root", "band"]).select("root", "band", "at", mine.alias("mine"), other.alias("other"))
+    return dealt.select(F.xxhash64("root", "band", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"), "at")
 
 
 def links(
-    reps: DataFrame, percent: int = PERCENT, tile_bytes: int = TILE_BYTES, tile_sets: int = TILE_SETS
+    table: DataFrame,
+    chosen: DataFrame,
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    tile_bytes: int = TILE_BYTES,
+    tile_sets: int = TILE_SETS,
 ) -> DataFrame:
-    """Links (a, b) between the ``at`` of different sets that connect all which chains of links connect."""
-    spark = reps.sparkSession
-    roots = _clusters(reps)
-    members = reps.join(roots.withColumnRenamed("node", "at"), "at").select("root", F.col("at").alias("node"), "n", "hashes")
-    members = settle_table(members, "members")
-    tiles = _tiles(members, percent, tile_bytes, tile_sets).select("tile", "node", "hashes")
+    """Links (a, b) between the ``at`` of different sets that connect all which chains of links connect.
+
+    ``chosen`` (at, n) has one row of ``table`` for each set.
+    """
+    spark = table.sparkSession
+    roots = clusters(table.select("at", "keys").join(chosen.select("at"), "at", "left_semi"))
+    members = settle_table(chosen.select("at", "n").join(roots.withColumnRenamed("node", "at"), "at"), "members")
+    placed = tiles(members, percent, tile_bytes, tile_sets).join(table.select("at", "text"), "at").select("tile", "at", "text")
     tasks = max(task_count(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = tiles.repartition(tasks, "tile").sortWithinPartitions("tile")
-    return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a bigint, b bigint")
+    dealt = placed.repartition(tasks, "tile").sortWithinPartitions("tile")
+    return dealt.mapInArrow(lambda batches: _compare(batches, shingle, percent), "a bigint, b bigint")
 
 
 def similar_groups(
@@ -274,7 +278,7 @@ def similar_groups(
     table = settle_table(sets(docs, text, doc_id, shingle, percent), "sets")
     some = table.filter("n > 0")
     chosen = settle_table(some.groupBy("d1", "d2", "n").agg(F.min("at").alias("at"), F.min("doc_id").alias("least")), "distinct")
-    found = links(some.join(chosen.select("at"), "at", "left_semi"), percent, tile_bytes, tile_sets)
+    found = links(some, chosen, shingle, percent, tile_bytes, tile_sets)
     roots = components(settle_table(found, "joined")).withColumnRenamed("node", "at")
     rooted = chosen.join(roots, "at", "left").withColumn("root", F.coalesce("root", "at"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
