@@ -20,6 +20,7 @@ from mediacurate.llm import (
     token_records,
     toxicity,
     warc,
+    whitening,
 )
 
 TABLES = {
@@ -27,6 +28,7 @@ TABLES = {
     "labels": "doc_id bigint, quality int, toxic int",
     "pages": "page_id bigint, url string, html string",
     "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 #: The public tokenizer of the token records and its end id.
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -96,6 +98,10 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -114,6 +120,7 @@ QUERIES = {
         op9_mix,
         op10_quality,
         op11_jaccard_join,
+        op12_whitening,
         op13_importance,
     )
 }

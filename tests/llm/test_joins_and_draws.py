@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from test_llm_operators import DOCS, ROWS, WHITE, got, order_of
 
-from mediacurate.llm import importance, jaccard_join, queries
+from mediacurate.llm import importance, jaccard_join, queries, whitening
 
 
 @pytest.fixture(scope="module")
@@ -120,6 +120,71 @@ def test_bits_that_differ_bound_the_overlap():
         assert (len(a) + len(b) - differ) // 2 >= len(np.intersect1d(a, b))
 
 
+# --- 12 ------------------------------------------------------------------------------
+
+
+def assert_whitened(made, rows, wanted=8):
+    """``made`` against an eigendecomposition of the whole covariance."""
+    good = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    longest = max(len(v) for _, v in good)
+    x = np.floor(1024 * np.array([[*v, *[0.0] * (longest - len(v))] for _, v in good])).astype(np.int64) + 100_000
+    n, sums = len(x), x.sum(axis=0)
+    spread = (x * n - sums) / n
+    values, vectors = np.linalg.eigh(spread.T @ spread / n)
+    values, vectors = values[::-1][:wanted], vectors[:, ::-1][:, :wanted]
+    many = int(np.count_nonzero(values > 2.0**-40 * values[0]))
+    found = made.collect()
+    assert len(found) == n * many
+    deviations = [sum(d * d for d in row) for row in (x * n - sums).tolist()]
+    assert sorted(((r.vec_id, r.deviation) for r in found), key=repr) == sorted([(i, d) for (i, _), d in zip(good, deviations, strict=True)] * many, key=repr)
+    for k in range(many):
+        mine = [r for r in found if r.component == k + 1]
+        assert all(r.n == n and r.identity_error < 1e-9 for r in mine)
+        assert abs(mine[0].explained - values[k] / (spread**2).sum() * n) <= 1e-12
+        want = spread @ vectors[:, k] / math.sqrt(values[k])
+        signs = [sorted((r.vec_id if r.vec_id is not None else -1, round(sign * r.whitened, 6)) for r in mine) for sign in (1, -1)]
+        wanted_rows = sorted((i if i is not None else -1, round(float(w), 6)) for (i, _), w in zip(good, want, strict=True))
+        assert any(np.allclose([b for _, b in s], [b for _, b in wanted_rows], atol=2e-6) for s in signs)
+
+
+def test_whitening_query_on_the_given_table(spark, sf_dir):
+    rows = [tuple(r) for r in queries.table(spark, sf_dir, "embeddings").select("vec_id", "embedding").collect()]
+    assert_whitened(queries.op12_whitening(spark, sf_dir), rows)
+
+
+VECTORS = "vec_id bigint, embedding array<double>, x string, component int"
+
+
+def test_whitening_of_edge_rows(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, (draw.standard_normal(5) * [9, 3, 2, 1, 0.5]).tolist(), "a", 1) for i in range(60)]
+    rows += [(60, None, "a", 1), (61, [1.0, None, 2.0], "a", 1), (62, [float("nan")], "a", 1), (63, [float("inf")] * 5, "a", 1)]
+    rows += [(64, [], None, None), (65, [1.0, 2.0], None, None), (None, [0.0] * 5, None, None), (3, [1.0] * 5, None, None), *[(70, [2.0] * 5, "a", 1)] * 30]
+    frame = spark.createDataFrame(rows, VECTORS).repartition(4)
+    assert_whitened(whitening.whitened(frame), [r[:2] for r in rows])
+    assert_whitened(whitening.whitened(frame, wanted=2), [r[:2] for r in rows], 2)
+    flat = [(i, [float(i), 2.0 * i, 3.0]) for i in range(9)]
+    assert_whitened(whitening.whitened(spark.createDataFrame(flat, "vec_id bigint, embedding array<float>")), flat)
+    for some in ([], [(1, [1.0, 2.0], "a", 1)], [(1, [1.0], "a", 1), (2, [1.0], "a", 1)], [(1, None, "a", 1)], [(1, [], "a", 1)]):
+        assert whitening.whitened(spark.createDataFrame(some, VECTORS)).count() == 0
+
+
+def test_deviations_beyond_64_bits_are_null():
+    assert whitening._deviations(np.array([[3, 4], [2**32, 2**32]])) == [25, None]
+
+
+@pytest.mark.parametrize("spectrum", [[2.0**-i for i in range(60)], [50, 9, 9, 9, 9, 8.9999999, *[1 + i / 500 for i in range(194)]], [1.0] * 12, [5, 0, 0]])
+def test_eigenpairs_to_double_precision(spectrum):
+    size = len(spectrum)
+    turn = np.linalg.qr(np.random.default_rng(size).standard_normal((size, size)))[0]
+    whole = turn @ np.diag(spectrum) @ turn.T
+    passes = []
+    values, vectors = whitening.eigenpairs(lambda v: passes.append(v.shape[1]) or whole @ v, size)
+    want = sorted(spectrum)[::-1][:8]
+    assert np.allclose(values, want, rtol=0, atol=1e-13 * want[0]) and np.allclose(vectors.T @ vectors, np.eye(len(want)), atol=1e-13)
+    assert np.linalg.norm(whole @ vectors - vectors * values, axis=0).max() < 1e-12 * want[0] and len(passes) < 200
+
+
 # --- 13 ------------------------------------------------------------------------------
 
 
