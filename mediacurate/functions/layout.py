@@ -14,6 +14,11 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def directory(path: Column) -> Column:
+    """Everything before the base name, empty when there is no slash."""
+    return F.regexp_replace(F.when(F.contains(path, F.lit("/")), path).otherwise("/"), r"/[^/]*$", "")
+
+
 def stem(path: Column) -> Column:
     """Base name without its last suffix; a leading dot is part of the name."""
     return F.regexp_replace(base_name(path), SUFFIX, "")

@@ -1,67 +1,19 @@
-"""Structural validity from the start and the end marker of a payload, all in the JVM."""
+"""Verdicts on payloads by column expressions, all in the JVM."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HEAD_BYTES = 32
-TAIL_BYTES = 64
-
-# File signatures, as hexadecimal text.
-JPEG_START = "FFD8FF"
-JPEG_END = "FFD9"
-PNG_START = "89504E470D0A1A0A"
-PNG_END = "49454E44AE426082"
-RIFF = "52494646"
-WEBP = "57454250"
-
-
-def image_format(head: Column) -> Column:
-    """Format told by content; null when the signature is none of the known ones."""
-    digits = F.hex(head)
-    return (
-        F.when(digits.startswith(JPEG_START), "jpeg")
-        .when(digits.startswith(PNG_START), "png")
-        .when(digits.startswith(RIFF) & (F.substring(digits, 17, 8) == WEBP), "webp")
-    )
-
-
-def _riff_length(head: Column) -> Column:
-    digits = F.hex(head)
-    little_endian = F.concat(*[F.substring(digits, start, 2) for start in (15, 13, 11, 9)])
-    return F.conv(little_endian, 16, 10).cast("bigint") + 8
-
-
-def structural_error(head: Column, tail: Column, length: Column) -> Column:
-    """Null when head and tail fit together, otherwise the reason.
-
-    Devices and editors append data of any length, so the end marker is looked
-    for anywhere in the tail, which reaches back to it if it exists.
-    """
-    found = image_format(head)
-    # One character per byte, so that the search is by bytes.
-    ending = F.decode(tail, "ISO-8859-1")
-
-    def ends_with(marker: str) -> Column:
-        return F.contains(ending, F.lit(bytes.fromhex(marker).decode("latin-1")))
-
-    return (
-        F.when(F.coalesce(length, F.lit(0)) == 0, "missing_or_empty")
-        .when(found.isNull(), "unknown_format")
-        .when((found == "jpeg") & ~ends_with(JPEG_END), "truncated_jpeg")
-        .when((found == "png") & ~ends_with(PNG_END), "truncated_png")
-        .when((found == "webp") & (_riff_length(head) > length), "truncated_webp")
-    )
-
 
 def format_mismatch(found: Column, ext: Column) -> Column:
+    """Whether a file's name says another format than its content."""
     named = F.when(ext.isin("jpg", "jpeg"), "jpeg").otherwise(ext)
     return F.coalesce(found != named, F.lit(False))
 
 
 def html_error(html: Column) -> Column:
-    """The same idea for a text payload: doctype at the start, closing tag at the end."""
+    """What is wrong with a web page: doctype at the start, closing tag at the end."""
     opening = F.lower(F.substring(F.ltrim(html), 1, 14))
     closing = F.lower(F.substring(F.btrim(html, F.lit(" \t\r\n")), -7, 7))
     return (
@@ -69,12 +21,3 @@ def html_error(html: Column) -> Column:
         .when(opening != "<!doctype html", "bad_head")
         .when(closing != "</html>", "bad_tail")
     )
-
-
-def head_of(content: Column) -> Column:
-    return F.substring(content, 1, HEAD_BYTES)
-
-
-def tail_of(content: Column) -> Column:
-    """All of a payload at hand: its end marker may be anywhere."""
-    return content

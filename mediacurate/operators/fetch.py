@@ -187,7 +187,7 @@ def unfetched(manifest: DataFrame, shard_meta: DataFrame) -> DataFrame:
 
 
 def export_files(payloads: DataFrame, root: str, extension: str = "jpg") -> DataFrame:
-    """Write payloads as ``<root>/<shard>/<key>.<extension>``; a lazy frame of the paths written."""
+    """Write payloads as ``<root>/<shard>/<key>.<extension>``, without a shard directly under the root; a lazy frame of the paths."""
 
     def work(frames):
         for frame in frames:
@@ -195,7 +195,7 @@ def export_files(payloads: DataFrame, root: str, extension: str = "jpg") -> Data
                 files.write_bytes(path, bytes(content))
             yield frame[["path"]]
 
-    path = F.concat(F.lit(root.rstrip("/") + "/"), "shard", F.lit("/"), "key", F.lit("." + extension))
+    path = F.concat_ws("/", F.lit(root.rstrip("/")), "shard", F.concat("key", F.lit("." + extension)))
     return payloads.select(path.alias("path"), "content").mapInPandas(work, "path string")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
@@ -12,10 +13,11 @@ from mediacurate.functions import layout, signatures
 from mediacurate.functions.text import one_line
 from mediacurate.schemas import IMAGE_EXTENSIONS, SUCCESS, VALIDITY
 from mediacurate.session import scratch_path, settle_table
-from mediacurate.sources import files
+from mediacurate.sources import containers, files
 
 # Directories whose files the image source lists at once on the driver.
 DIRECTORIES_PER_SCAN = 500
+_WALKED = StructType([StructField("format", StringType()), StructField("error", StringType())])
 
 
 def _verdict(df: DataFrame, error: Column, found: Column, level: Column) -> DataFrame:
@@ -24,12 +26,16 @@ def _verdict(df: DataFrame, error: Column, found: Column, level: Column) -> Data
     )
 
 
+@F.pandas_udf(_WALKED)
+def _inspected(content: pd.Series) -> pd.DataFrame:
+    found = [containers.inspect(containers.Held(bytes(body or b""))) for body in content]
+    return pd.DataFrame(found, columns=["format", "error"], dtype=object)
+
+
 def check_content(df: DataFrame, content: str = "content") -> DataFrame:
     """Structural verdict on a binary column."""
-    body = F.col(content)
-    head, tail = signatures.head_of(body), signatures.tail_of(body)
-    error = signatures.structural_error(head, tail, F.length(body))
-    return _verdict(df, error, signatures.image_format(head), F.lit("structural"))
+    walked = df.withColumn("_walked", _inspected(F.col(content)))
+    return _verdict(walked, F.col("_walked.error"), F.col("_walked.format"), F.lit("structural")).drop("_walked")
 
 
 def check_html(df: DataFrame, html: str = "html") -> DataFrame:
@@ -37,36 +43,26 @@ def check_html(df: DataFrame, html: str = "html") -> DataFrame:
     return _verdict(df, signatures.html_error(F.col(html)), F.lit("html"), F.lit("structural"))
 
 
-def check_ends(assets: DataFrame) -> DataFrame:
-    """Structural verdict on files, reading only their first and last bytes."""
+def check_structure(assets: DataFrame) -> DataFrame:
+    """Structural verdict on files, each walked inside the task in bounded reads."""
 
-    def ends(frames):
+    def work(frames):
         for frame in frames:
-            rows = [_ends_or_error(path) for path in frame["path"]]
-            frame["_head"], frame["_tail"], frame["_length"], frame["_problem"] = zip(*rows) if rows else ([],) * 4
+            found = [_structure_of(path) for path in frame["path"]]
+            frame["_format"], frame["_problem"] = zip(*found) if found else ((), ())
             yield frame
 
-    fields = assets.select(
-        "*",
-        F.lit(b"").alias("_head"),
-        F.lit(b"").alias("_tail"),
-        F.lit(0).cast("bigint").alias("_length"),
-        F.lit(None).cast("string").alias("_problem"),
-    ).schema
-    schema = StructType([StructField(f.name, f.dataType, True) for f in fields])
-    read = assets.mapInPandas(ends, schema)
-    error = F.coalesce(
-        F.col("_problem"), signatures.structural_error(F.col("_head"), F.col("_tail"), F.col("_length"))
-    )
-    found = signatures.image_format(F.col("_head"))
-    return _verdict(read, error, found, F.lit("structural")).drop("_head", "_tail", "_length", "_problem")
+    schema = StructType(assets.schema.fields + [StructField("_format", StringType()), StructField("_problem", StringType())])
+    walked = assets.mapInPandas(work, schema)
+    return _verdict(walked, F.col("_problem"), F.col("_format"), F.lit("structural")).drop("_format", "_problem")
 
 
-def _ends_or_error(path: str):
+def _structure_of(path: str) -> tuple[str | None, str | None]:
     try:
-        return *files.read_ends(path), None
+        with files.open_at(path) as handle:
+            return containers.inspect(handle)
     except Exception as problem:
-        return b"", b"", 0, f"{type(problem).__name__}: {problem}"
+        return None, f"{type(problem).__name__}: {problem}"
 
 
 def check_decoder(assets: DataFrame, decoder: Callable[[bytes], object]) -> DataFrame:
@@ -98,27 +94,35 @@ def _chunks(items: list[str], size: int) -> Iterator[list[str]]:
         yield items[start : start + size]
 
 
-def decode_with_image_source(spark: SparkSession, directories: list[str]) -> DataFrame:
+def decode_with_image_source(spark: SparkSession, directories: list[str], root: str | None = None) -> DataFrame:
     """Path and ``decoded`` for files Spark's image source can judge (JPEG, PNG).
 
     The source lists on the driver, so it is given some directories at a time
-    and each round's verdicts are written before the next. Files directly under
-    the root are in none of them and keep their structural verdict. For single
+    and each round's verdicts are written before the next. ``root`` names a folder
+    whose files are scanned too, but not the directories in it. For single
     directories too large to list, pass a decoder to ``validate`` instead.
+    Files whose names start with an underscore or a dot are hidden from the source.
     """
     target = scratch_path(spark, "decoded")
     glob = "*.{" + ",".join(IMAGE_EXTENSIONS) + "}"
-    for some in _chunks(directories, DIRECTORIES_PER_SCAN):
+
+    def scan(paths: list[str]) -> None:
         images = spark.read.format("image").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-        verdicts = images.load(some).select(
+        verdicts = images.load(paths).select(
             layout.decode_origin(F.col("image.origin")).alias("path"),
             (F.col("image.width") >= 0).alias("decoded"),
         )
         verdicts.write.mode("append").parquet(target)
+
+    for some in _chunks(directories, DIRECTORIES_PER_SCAN):
+        scan(some)
+    if root is not None:
+        scan([f"{root.rstrip('/')}/{glob}"])
     schema = StructType([StructField("path", StringType()), StructField("decoded", BooleanType())])
-    if not directories:
+    if not directories and root is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(target)
+    # directories may overlap
+    return spark.read.schema(schema).parquet(target).groupBy("path").agg(F.every("decoded").alias("decoded"))
 
 
 def validate(
@@ -126,21 +130,27 @@ def validate(
     level: str = "structural",
     decoder: Callable[[bytes], object] | None = None,
     directories: list[str] | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """Validity of each listed file, written once so that every later branch shares it.
 
-    ``structural`` reads the ends of each file. ``decode`` adds a full decode:
+    ``structural`` walks the container of each file. ``decode`` adds a full decode:
     by ``decoder`` if one is given, else by Spark's image source over
-    ``directories``. WebP, which that source cannot decode, keeps its
-    structural verdict; ``check_level`` says which check decided.
+    ``directories`` and the files directly under ``root``. What that source
+    cannot decode (WebP) or does not show (hidden names) keeps its structural
+    verdict; ``check_level`` says which check decided.
     """
     if level == "structural":
-        checked = check_ends(assets)
+        checked = check_structure(assets)
     elif level == "decode" and decoder is not None:
         checked = check_decoder(assets, decoder)
     elif level == "decode":
-        decoded = decode_with_image_source(assets.sparkSession, directories or [])
-        checked = _merge_decoded(check_ends(assets), decoded)
+        top = root
+        if root is not None:
+            shown = (layout.directory(F.col("path")) == layout.normalise_root(root)) & ~layout.base_name(F.col("path")).rlike("^[._]")
+            top = None if assets.filter(shown).isEmpty() else root
+        decoded = decode_with_image_source(assets.sparkSession, directories or [], top)
+        checked = _merge_decoded(check_structure(assets), decoded)
     else:
         raise ValueError(f"unknown level {level!r}")
     return settle_table(checked.select(*VALIDITY.names, "shard", "ext"), "validity")
@@ -149,12 +159,23 @@ def validate(
 def _merge_decoded(structural: DataFrame, decoded: DataFrame) -> DataFrame:
     joined = structural.join(decoded, "path", "left")
     judged = F.coalesce(F.col("format") != "webp", F.lit(True)) & F.col("decoded").isNotNull()
-    # The image source shows what is there of a file cut short, so a missing end marker still counts.
+    # The image source shows what is there of a file cut short, so a container that does not end still counts.
     error = F.coalesce(F.col("error"), F.when(judged & ~F.col("decoded"), F.lit("undecodable")))
     level = F.when(judged, "decode").otherwise("structural")
     return _verdict(joined.withColumn("error", error), F.col("error"), F.col("format"), level)
 
 
+def not_decoded(validity: DataFrame) -> DataFrame:
+    """Files that no decoder saw, by format and verdict."""
+    return validity.filter("check_level = 'structural'").groupBy("format", "is_valid").agg(F.count("*").alias("files"))
+
+
+def misnamed(validity: DataFrame) -> DataFrame:
+    """Files whose content is of another format than their name says."""
+    odd = validity.filter(signatures.format_mismatch(F.col("format"), F.col("ext")))
+    return odd.groupBy("ext", "format").agg(F.count("*").alias("files"))
+
+
 def valid_keys(validity: DataFrame) -> DataFrame:
     """A key is valid when any of its files is."""
     return validity.filter("is_valid").select("key").distinct()

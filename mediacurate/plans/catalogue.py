@@ -317,13 +317,15 @@ def validate_content(spark, sf_dir):
 
 
 def validate_decode(spark, sf_dir):
-    """The same payloads as files, listed and decoded."""
+    """The same payloads as files, some directly under the root, listed and decoded."""
     root = scratch_path(spark, "images")
-    written = fetching.export_files(views.payloads(spark, sf_dir), root, "png")
+    at_root = F.substring("key", -1, 1) == "1"
+    placed = views.payloads(spark, sf_dir).withColumn("shard", F.when(~at_root, F.col("shard")))
+    written = fetching.export_files(placed, root, "png")
     written.write.format("noop").mode("overwrite").save()
-    found = listing.list_assets(spark, root, shard_dirs_only=True)
-    verdicts = validation.validate(found, "decode", directories=[root])
-    return verdicts.select("key", "shard", "is_valid", "error", "check_level")
+    directories = [row["path"] for row in listing.list_directory(spark, root).filter("is_dir").collect()]
+    verdicts = validation.validate(listing.list_assets(spark, root), "decode", directories=directories, root=root)
+    return verdicts.select("key", layout.key_shard(F.col("key")).alias("shard"), "is_valid", "error", "check_level")
 
 
 def _corrupt(spark, sf_dir) -> DataFrame:

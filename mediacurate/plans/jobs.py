@@ -175,7 +175,17 @@ def _directories(spark: SparkSession, root: str) -> list[str]:
 
 def _validity(spark, data: Dataset, found: DataFrame, level: str, decoder) -> DataFrame:
     directories = _directories(spark, data.images) if level == "decode" and decoder is None else None
-    return validation.validate(found, level, decoder, directories)
+    return validation.validate(found, level, decoder, directories, data.images)
+
+
+def _report_validity(report: Report, validity: DataFrame, level: str) -> None:
+    """Counts of the verdicts, also per 50,000 files in the order of their paths."""
+    report("validity", validation.validity_counts(validity))
+    report("named as another format", validation.misnamed(validity))
+    if level == "decode":
+        report("seen by no decoder", validation.not_decoded(validity))
+    if report is not _silent:  # numbering sorts the paths
+        report("progress", numbering.progress(numbering.global_index(validity.select("path", "is_valid"), "path"), "is_valid"))
 
 
 def regenerate(
@@ -210,7 +220,7 @@ def regenerate(
     else:
         found = images
         validity = _validity(spark, data, images, level, decoder)
-        report("validity", validation.validity_counts(validity))
+        _report_validity(report, validity, level)
         report("fetched without a file", validation.missing_files(rows, images).groupBy("error").count())
         write_corrupt_log(validation.corrupt_log(validity), data.at("corrupt_images.log"))
         if validate == "clean":
@@ -247,7 +257,7 @@ def rebuild(
     direct = layout.relative_path(F.col("path"), data.images).rlike("^[^/]+/[^/]+$")
     found = listing.image_assets(everything, ("jpg",)).filter(direct)
     validity = _validity(spark, data, found, level, decoder)
-    report("validity", validation.validity_counts(validity))
+    _report_validity(report, validity, level)
     write_corrupt_log(validation.corrupt_log(validity), data.at("corrupt_images.log"))
     if clean:
         validation.remove_files(validation.delete_plan(validity.filter("NOT is_valid"), everything, "pair"))

@@ -75,8 +75,14 @@ stored AS (
   SELECT *, gidx // 50 AS batch_id, contains(caption, ' the ') AS failed FROM pending_rows),
 damage AS (
   SELECT printf('%05d%04d', d.doc_id // 100, d.doc_id % 100) AS key, printf('%05d', d.doc_id // 100) AS shard,
-    coalesce(l.quality = 0, false) AS cut, coalesce(l.toxic = 1, false) AS garbled
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+    CASE WHEN l.quality = 0 THEN 'cut' WHEN l.toxic = 1 THEN 'garbled' WHEN d.doc_id % 11 = 3 THEN 'thumbnail'
+      WHEN d.doc_id % 11 = 5 THEN 'thumbnail_cut' WHEN d.doc_id % 11 = 7 THEN 'bad_crc' WHEN d.doc_id % 11 = 8 THEN 'webp'
+      WHEN d.doc_id % 11 = 9 THEN 'webp_cut' ELSE 'none' END AS kind
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+walked AS (
+  SELECT *, CASE kind WHEN 'cut' THEN 'truncated_png' WHEN 'thumbnail_cut' THEN 'truncated_jpeg' WHEN 'bad_crc' THEN 'bad_crc'
+      WHEN 'webp_cut' THEN 'truncated_webp' END AS problem,
+    CASE WHEN kind LIKE 'thumbnail%' THEN 'jpeg' WHEN kind LIKE 'webp%' THEN 'webp' ELSE 'png' END AS container FROM damage)
 """
 
 def _first_words(column: str) -> str:
@@ -183,12 +189,11 @@ _BODIES = {
         FROM (SELECT i // 50 AS bucket, count(*) FILTER (is_valid) AS valid, count(*) FILTER (NOT is_valid) AS corrupt
           FROM (SELECT is_valid, row_number() OVER (ORDER BY page_id) - 1 AS i FROM page_validity) GROUP BY 1)
         WINDOW w AS (ORDER BY bucket ROWS UNBOUNDED PRECEDING)""",
-    "validate_content": """
-        SELECT key, 'png' AS format, NOT cut AS is_valid, CASE WHEN cut THEN 'truncated_png' END AS error FROM damage""",
+    "validate_content": "SELECT key, container AS format, problem IS NULL AS is_valid, problem AS error FROM walked",
     "validate_decode": """
-        SELECT key, shard, NOT (cut OR garbled) AS is_valid,
-          CASE WHEN cut THEN 'truncated_png' WHEN garbled THEN 'undecodable' END AS error, 'decode' AS check_level
-        FROM damage""",
+        SELECT key, shard, problem IS NULL AND kind <> 'garbled' AS is_valid,
+          CASE WHEN kind = 'garbled' THEN 'undecodable' ELSE problem END AS error,
+          CASE WHEN container = 'webp' THEN 'structural' ELSE 'decode' END AS check_level FROM walked""",
     "delete_plan_all": """
         SELECT path FROM asset_files WHERE key IN (SELECT key FROM page_validity WHERE NOT is_valid)""",
     "delete_plan_pair": """

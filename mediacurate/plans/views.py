@@ -108,24 +108,49 @@ def checkpoint_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @F.pandas_udf(BinaryType())
-def render_png(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Text bytes as a grey picture 64 pixels wide; damaged as asked."""
+def render_picture(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Text as a grey picture 64 pixels wide, in the container and with the damage asked for."""
     import struct
     import zlib
 
     def chunk(kind: bytes, body: bytes) -> bytes:
         return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
-    def render(text: str, damage: str) -> bytes:
-        pixels = text.encode("utf-8")
-        height = -(-len(pixels) // 64) or 1
-        pixels = pixels.ljust(64 * height, b"\0")
+    def png(pixels: bytes, damage: str) -> bytes:
         lines = b"".join(b"\0" + pixels[at : at + 64] for at in range(0, len(pixels), 64))
         packed = zlib.compress(lines, 1)
         if damage == "garbled":
             packed = b"\xff" + packed[1:]
-        header = struct.pack(">IIBBBBB", 64, height, 8, 0, 0, 0, 0)
-        whole = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", packed) + chunk(b"IEND", b"")
+        header = struct.pack(">IIBBBBB", 64, len(pixels) // 64, 8, 0, 0, 0, 0)
+        data = chunk(b"IDAT", packed)
+        if damage == "bad_crc":
+            data = data[:-1] + bytes([data[-1] ^ 1])
+        return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + data + chunk(b"IEND", b"")
+
+    def segment(code: int, body: bytes) -> bytes:
+        return bytes([0xFF, code]) + struct.pack(">H", len(body) + 2) + body
+
+    def jpeg(rows: int, extra: bytes = b"") -> bytes:
+        """Even grey: every block is the code of no change and the code of no detail, one bit each."""
+        one_code = bytes([1, *[0] * 15, 0])
+        tables = segment(0xDB, b"\0" + bytes([1] * 64)) + segment(0xC4, b"\0" + one_code) + segment(0xC4, b"\x10" + one_code)
+        frame = segment(0xC0, struct.pack(">BHHB", 8, 8 * rows, 64, 1) + b"\x01\x11\0")
+        return b"\xff\xd8" + extra + tables + frame + segment(0xDA, b"\x01\x01\0\0\x3f\0") + bytes(2 * rows) + b"\xff\xd9"
+
+    def webp(body: bytes, beyond: int) -> bytes:
+        frame = b"\0\0\0\x9d\x01\x2a" + body
+        whole = b"WEBPVP8 " + struct.pack("<I", len(frame)) + frame + bytes(len(frame) % 2)
+        return b"RIFF" + struct.pack("<I", len(whole) + beyond) + whole
+
+    def render(text: str, damage: str) -> bytes:
+        pixels = text.encode("utf-8")
+        height = -(-len(pixels) // 64) or 1
+        if damage.startswith("webp"):
+            return webp(pixels, 1000 if damage == "webp_cut" else 0)
+        if damage.startswith("thumbnail"):  # within its second segment, with an end marker of its own
+            whole = jpeg(-(-height // 8), segment(0xFE, pixels[:1000]) + segment(0xE1, b"Exif\0\0" + jpeg(1)))
+            return whole[:-3] if damage == "thumbnail_cut" else whole
+        whole = png(pixels.ljust(64 * height, b"\0"), damage)
         if damage == "padded":  # as devices and editors leave it
             return whole + b"\0" * (100 + len(text) % 5000)
         return whole[: len(whole) // 2] if damage == "cut" else whole
@@ -135,11 +160,14 @@ def render_png(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a picture; labels decide which are cut short and which are garbled, some have data after the end."""
+    """Every document as a picture; labels decide which are cut short and which are garbled, numbers which are of another kind."""
     damage = F.when(F.col("quality") == 0, "cut").when(F.col("toxic") == 1, "garbled")
+    kinds = {3: "thumbnail", 5: "thumbnail_cut", 7: "bad_crc", 8: "webp", 9: "webp_cut"}
+    for rest, kind in kinds.items():
+        damage = damage.when(F.col("doc_id") % 11 == rest, kind)
     damage = damage.when(F.col("doc_id") % 9 == 4, "padded").otherwise("none")
     rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     key = key_of("doc_id")
     return rows.select(
-        key.alias("key"), layout.key_shard(key).alias("shard"), render_png("text", damage).alias("content")
+        key.alias("key"), layout.key_shard(key).alias("shard"), render_picture("text", damage).alias("content")
     )

@@ -4,20 +4,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 
 from mediacurate.functions.layout import normalise_root
-from mediacurate.functions.signatures import HEAD_BYTES, JPEG_END, JPEG_START, PNG_END, PNG_START, TAIL_BYTES
-
-
-# The end marker by the first three bytes of a file, and the most that one read takes.
-END_MARKERS = {
-    bytes.fromhex(JPEG_START): bytes.fromhex(JPEG_END),
-    bytes.fromhex(PNG_START)[:3]: bytes.fromhex(PNG_END),
-}
-MOST_READ = 4 << 20
 
 
 class _Systems(dict):
@@ -78,30 +71,12 @@ def delete_file(uri: str) -> bool:
     return True
 
 
-def read_ends(uri: str) -> tuple[bytes, bytes, int]:
-    """First bytes, the last bytes that hold an end marker, and length.
-
-    The marker is looked for backwards in growing reads, to the start if need
-    be; a file that ends with it costs one short read. Without a marker the
-    last bytes are returned as they are.
-    """
+@contextmanager
+def open_at(uri: str) -> Iterator[pa.NativeFile]:
+    """A file with ``size()`` and ``read_at(n, at)``."""
     system, path = locate(uri)
     with system.open_input_file(path) as handle:
-        length = handle.size()
-        head = handle.read_at(min(HEAD_BYTES, length), 0)
-        marker = END_MARKERS.get(head[:3])
-        take, read, later = min(TAIL_BYTES, length), 0, b""
-        last = handle.read_at(take, length - take)
-        piece = last
-        while marker is not None and read < length:
-            at = (piece + later).rfind(marker)
-            if at >= 0:
-                return head, (piece + later)[at : at + TAIL_BYTES], length
-            read += len(piece)
-            later = piece[: len(marker) - 1]  # a marker may lie across two reads
-            take = min(max(take * 8, TAIL_BYTES), MOST_READ, length - read)
-            piece = handle.read_at(take, length - read - take)
-        return head, last, length
+        yield handle
 
 
 def children(uri: str) -> Iterator[tuple[str, bool, int]]:

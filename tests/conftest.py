@@ -62,6 +62,23 @@ def webp(claimed=None):
     return b"RIFF" + (claimed or len(body)).to_bytes(4, "little") + body
 
 
+def with_thumbnail(picture):
+    """The picture with itself in an application segment, as cameras leave it."""
+    body = b"Exif\0\0" + picture
+    return picture[:2] + b"\xff\xe1" + (len(body) + 2).to_bytes(2, "big") + body + picture[2:]
+
+
+def in_riff(*chunks, claimed=None):
+    body = b"WEBP" + b"".join(kind + len(data).to_bytes(4, "little") + data + bytes(len(data) % 2) for kind, data in chunks)
+    return b"RIFF" + (claimed or len(body)).to_bytes(4, "little") + body
+
+
+def bad_checksum(picture):
+    """A flipped bit in the checksum of the last chunk before the end."""
+    at = len(picture) - 13
+    return picture[:at] + bytes([picture[at] ^ 1]) + picture[at + 1 :]
+
+
 def put(root, files):
     for name, content in files.items():
         path = Path(root) / name

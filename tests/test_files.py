@@ -17,9 +17,10 @@ def test_tree_on_any_file_system(root, tmp_path):
     found = sorted(files.walk(top))
     assert found == [(f"{plain}/00000/a.jpg", 208), (f"{plain}/00000/deep/b.jpg", 0), (f"{plain}/00001.parquet", 1)]
     # What a listing gives can be opened again.
-    head, tail, length = files.read_ends(found[0][0])
-    assert (head[:4], tail[-4:], length) == (b"head", b"tail", 208)
-    assert files.read_ends(found[1][0]) == (b"", b"", 0)
+    with files.open_at(found[0][0]) as handle:
+        assert (handle.read_at(4, 0), handle.read_at(4, 204), handle.size()) == (b"head", b"tail", 208)
+    with files.open_at(found[1][0]) as handle:
+        assert handle.size() == 0
     assert files.read_bytes(found[2][0]) == b"p"
     assert files.delete_file(found[2][0]) and files.delete_file(found[2][0])
     assert files.read_or_none(found[2][0]) is None

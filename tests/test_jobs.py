@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from conftest import jpeg, png, put, tuples
+from conftest import bad_checksum, in_riff, jpeg, png, put, tuples, with_thumbnail
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -150,6 +150,27 @@ def test_rebuild_removes_pairs_when_asked(spark, tmp_path):
     assert left == ["a.txt", "b.jpg", "c.jpg"]
 
 
+def test_cleaning_removes_what_is_cut_and_leaves_what_is_padded(spark, tmp_path):
+    camera, good = with_thumbnail(jpeg(spark)), png(64, 64)
+    files = {"a": camera[: len(camera) * 6 // 10], "b": camera + bytes(5000), "c": bad_checksum(good), "d": good, "e": in_riff((b"VP8L", b"\x2f1"), claimed=30)}
+    put(tmp_path, {f"images/x/{name}.jpg": body for name, body in files.items()} | {"images/x/a.json": b"{}"})
+    seen = {}
+    made = jobs.rebuild(spark, str(tmp_path), clean=True, report=lambda name, counts: seen.update({name: tuples(counts)}))
+    assert tuples(made) == [("images/x/b.jpg", ""), ("images/x/d.jpg", "")]
+    assert sorted(p.name for p in (tmp_path / "images/x").iterdir()) == ["b.jpg", "d.jpg"]
+    assert seen["seen by no decoder"] == [("webp", False, 1)] and seen["progress"] == [(0, 2, 3, 2, 3)]
+    assert seen["named as another format"] == [("jpg", "png", 2), ("jpg", "webp", 1)]
+
+
+def test_files_directly_under_the_images_are_decoded_too(spark, tmp_path):
+    put(tmp_path, {"images/top.png": png(damage="flip"), "images/good.png": png(), "images/00000/x.png": png()})
+    pd.DataFrame({n: ["x"] for n in ("key", "caption", "status", "url")}).to_parquet(tmp_path / "images/00000.parquet")
+    seen = {}
+    jobs.regenerate(spark, str(tmp_path), "clean", report=lambda name, counts: seen.update({name: tuples(counts)}))
+    assert sorted(p.name for p in (tmp_path / "images").rglob("*.png")) == ["good.png", "x.png"]
+    assert seen["validity"] == [(False, 1), (True, 2)] and seen["seen by no decoder"] == []
+
+
 def test_caption_resume_and_publish(spark, dataset, tmp_path):
     out, pub = str(tmp_path / "run"), str(tmp_path / "pub")
     first = jobs.caption_dataset(

@@ -1,12 +1,13 @@
 from pathlib import Path
 
 import pytest
-from conftest import jpeg, png, put, tuples, webp
+from conftest import bad_checksum, in_riff, jpeg, png, put, tuples, webp, with_thumbnail
 from pyspark.sql import functions as F
 
 from mediacurate.functions import signatures
 from mediacurate.operators import validate as validation
 from mediacurate.sources import assets as listing
+from mediacurate.sources import containers
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +95,72 @@ def test_data_after_the_end_of_a_picture_is_no_damage(spark, tmp_path):
         }
 
 
+def containers_of(spark):
+    camera, plain, frame = with_thumbnail(jpeg(spark)), png(64, 64), (b"VP8 ", b"\0\0\0\x9d\x01\x2a" + b"x" * 41)
+    truncated = {f"cut{share}.jpg": (camera[: len(camera) * share // 100], "truncated_jpeg") for share in (20, 60, 99)}
+    return truncated | {
+        "camera.jpg": (camera, None),
+        "padded.jpg": (camera + b"\xff\xd9" + b"\1" * 70_000, None),
+        "no scan.jpg": (camera[: 4 + len(camera) // 2] + b"\xff\xd9", "truncated_jpeg"),
+        "segment.jpg": (camera[:2] + b"\xff\xe2\0\1" + camera[2:], "bad_segment"),
+        "filled.jpg": (camera[:2] + b"\xff\xff\xff" + camera[2:], None),
+        "crc.png": (bad_checksum(plain), "bad_crc"),
+        "first.png": (plain[:8] + plain[33:], "bad_chunk"),
+        "bare.png": (plain[:33] + plain[-12:], "truncated_png"),
+        "long.png": (plain + b"IEND" * 40_000, None),
+        "ok.webp": (in_riff(frame), None),
+        "extended.webp": (in_riff((b"VP8X", bytes(10)), (b"VP8L", b"\x2fabc"), (b"EXIF", b"abc")), None),
+        "cut.webp": (in_riff(frame)[:-9], "truncated_webp"),
+        "short.webp": (in_riff(frame, claimed=30), "truncated_webp"),
+        "empty.webp": (in_riff(), "truncated_webp"),
+        "frame.webp": (in_riff((b"VP8 ", b"not a frame")), "bad_chunk"),
+    }
+
+
+def test_containers_are_walked_to_their_own_end(spark, tmp_path):
+    files = containers_of(spark)
+    put(tmp_path, {f"00000/{name}": body for name, (body, _) in files.items()})
+    want = {name: (error is None, error) for name, (_, error) in files.items()}
+    found = listing.list_assets(spark, str(tmp_path))
+    assert by_name(validation.validate(found)) == want
+    rows = [(f"d/{name}", bytearray(body)) for name, (body, _) in files.items()]
+    assert by_name(validation.check_content(spark.createDataFrame(rows, "path string, content binary"))) == want
+    decoded = by_name(validation.validate(found, "decode", directories=[str(tmp_path / "00000")]))
+    assert {n for n, (ok, _) in decoded.items() if ok} == {n for n, (ok, _) in want.items() if ok}
+
+
+def test_reads_are_bounded():
+    class Counted(containers.Held):
+        reads = 0
+
+        def read_at(self, n, at):
+            assert n <= 1 << 20
+            self.reads += n
+            return super().read_at(n, at)
+
+    body = bytes(30_000_000)
+    webp_file = Counted(in_riff((b"VP8 ", b"\0\0\0\x9d\x01\x2a" + body), (b"EXIF", b"x")))
+    assert containers.inspect(webp_file) == ("webp", None) and webp_file.reads < 1 << 20
+    segments = b"".join(b"\xff\xe2" + (60_002).to_bytes(2, "big") + body[:60_000] for _ in range(100))
+    scan = b"\xff\xda\0\x02" + b"\x12\xff\0\xff\xd3" * 1_000_000
+    assert containers.inspect(Counted(b"\xff\xd8" + segments + scan + b"\xff\xd9")) == ("jpeg", None)
+    assert containers.inspect(Counted(b"\xff\xd8" + segments + scan)) == ("jpeg", "truncated_jpeg")
+
+
+def test_files_at_the_root_and_hidden_names(spark, tmp_path):
+    put(tmp_path, {"top.png": png(damage="flip"), "good.png": png(), "_hidden.png": png(damage="flip"), "00000/x.png": png(damage="flip"), "00000/deep/y.png": png()})
+    root = str(tmp_path)
+    validity = validation.validate(listing.list_assets(spark, root), "decode", directories=[f"{root}/00000"], root=root)
+    assert by_name(validity) == {
+        "top.png": (False, "undecodable"), "good.png": (True, None), "_hidden.png": (True, None), "x.png": (False, "undecodable"), "y.png": (True, None),
+    }
+    assert tuples(validation.not_decoded(validity)) == [("png", True, 1)]
+    overlapping = validation.validate(listing.list_assets(spark, root), "decode", directories=[f"{root}/00000", f"{root}/00000/deep"], root=f"{root}/00000")
+    assert overlapping.count() == 5 and by_name(overlapping)["top.png"] == (True, None) and not by_name(overlapping)["x.png"][0]
+    empty = validation.validate(listing.list_assets(spark, root), "decode", root=f"{root}/nowhere")
+    assert tuples(validation.not_decoded(empty)) == [("png", True, 5)]
+
+
 def test_decode(spark, tree):
     found = listing.list_assets(spark, tree)
     directories = [r["path"] for r in listing.list_directory(spark, tree).filter("is_dir").collect()]
@@ -127,6 +194,7 @@ def test_format_by_content(spark, tree):
     validity = validation.validate(listing.list_assets(spark, tree))
     odd = validity.filter(signatures.format_mismatch(F.col("format"), F.col("ext")))
     assert [r["path"].rsplit("/", 1)[1] for r in odd.collect()] == ["named.jpg"]
+    assert tuples(validation.misnamed(validity)) == [("jpg", "png", 1)]
 
 
 def test_log_counts_and_keys(spark):
