@@ -68,12 +68,6 @@ def processed_keys(*key_tables: DataFrame) -> DataFrame:
     return united.distinct()
 
 
-def read_key_list(spark: SparkSession, path: str) -> DataFrame:
-    """Keys from a JSON state file ``{"processed_keys": [...]}``."""
-    state = spark.read.schema("processed_keys array<string>").json(path, multiLine=True)
-    return state.select(F.explode("processed_keys").alias("key"))
-
-
 def pending(assets: DataFrame, processed: DataFrame) -> DataFrame:
     """Assets whose key is not processed. Broadcast or shuffle is left to the sizes Spark measures."""
     return assets.join(processed.select("key"), "key", "left_anti")

@@ -2,51 +2,42 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mediacurate.functions import layout
 from mediacurate.functions.text import to_int
 from mediacurate.schemas import SHARD_META, SUCCESS
 from mediacurate.session import settle_table, task_count
-from mediacurate.sources.assets import list_files
 from mediacurate.sources import files
+from mediacurate.sources.assets import list_files
 
-_FOOTERS = "path string, row_group int, signature string, error string"
+_FOOTERS = "path string, signature string, fields string, rows bigint, error string"
 
 
-def _footer_rows(paths):
-    import pyarrow.parquet as pq
+def _type_name(dtype: pa.DataType) -> str:
+    """The same text for types that read alike: dictionaries and large texts as what they hold."""
+    if pa.types.is_dictionary(dtype):
+        return _type_name(dtype.value_type)
+    return str(dtype).removeprefix("large_")
 
-    for path in paths:
-        try:
-            system, plain = files.locate(path)
-            with system.open_input_file(plain) as handle:
-                footer = pq.ParquetFile(handle)
-                fields = [(f.name, str(f.type)) for f in footer.schema_arrow]
-                signature = json.dumps(fields)
-                groups = footer.num_row_groups
-            for group in range(max(groups, 1)):
-                yield path, group, signature, None
-        except Exception as problem:
-            yield path, 0, None, f"{type(problem).__name__}: {problem}"
-
-
-def _decode_error(path: str, group: int) -> str | None:
+
+def _footer(path: str) -> tuple:
     import pyarrow.parquet as pq
 
     try:
-        system, plain = files.locate(path)
-        with system.open_input_file(plain) as handle:
-            source = pq.ParquetFile(handle)
-            if group < source.num_row_groups:
-                for _ in source.iter_batches(row_groups=[group]):
-                    pass
+        with files.open_at(path) as handle:
+            footer = pq.ParquetFile(handle)
+            fields = json.dumps(sorted([f.name, _type_name(f.type)] for f in footer.schema_arrow))
+            return path, hashlib.sha256(fields.encode()).hexdigest(), fields, footer.metadata.num_rows, None
     except Exception as problem:
-        return f"{type(problem).__name__}: {problem}"
-    return None
+        return path, None, None, None, f"{type(problem).__name__}: {problem}"
 
 
 def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
@@ -55,30 +46,17 @@ def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root, shard_entry).filter(F.col("path").endswith(".parquet")).select("path")
 
 
-def inspect_shards(found: DataFrame, tasks: int | None = None) -> DataFrame:
-    """One row per parquet file of ``found`` (path): path, signature of its columns, error or null.
+def read_footers(found: DataFrame, tasks: int | None = None) -> DataFrame:
+    """One row per parquet file of ``found`` (path), from its footer: signature and fields of its columns, rows, error or null.
 
-    Footers are read in tasks, then every row group is decoded once, spread one
-    by one so that a very large file is checked by many tasks. A file with any
-    unreadable part counts as unreadable as a whole.
+    Files have the same signature if their columns have the same names and types, in whatever order.
     """
 
-    def footers(frames):
-        for frame in frames:
-            yield from files.in_frames(_footer_rows(frame["path"]), ["path", "row_group", "signature", "error"])
-
-    def decode(frames):
+    def work(frames):
         for frame in frames:
-            frame["error"] = [
-                error if error is not None else _decode_error(path, group)
-                for path, group, error in zip(frame["path"], frame["row_group"], frame["error"])
-            ]
-            yield frame
+            yield pd.DataFrame([_footer(path) for path in frame["path"]], columns=["path", "signature", "fields", "rows", "error"]).astype({"rows": "Int64"})
 
-    tasks = tasks or task_count(found.sparkSession)
-    parts = found.repartition(tasks, "path").mapInPandas(footers, _FOOTERS)
-    checked = parts.repartition(tasks, "path", "row_group").mapInPandas(decode, _FOOTERS)
-    return checked.groupBy("path").agg(F.max("signature").alias("signature"), F.max("error").alias("error"))
+    return found.repartition(tasks or task_count(found.sparkSession), "path").mapInPandas(work, _FOOTERS)
 
 
 def shard_name(path: Column) -> Column:
@@ -117,47 +95,44 @@ def unify_shards(
 def unify_files(
     found: DataFrame, schema: T.StructType = SHARD_META, absent: str | None = None, tasks: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The parquet files of ``found`` (path) as one table, and their audit.
+    """The parquet files of ``found`` (path) as one table, and their audit (path, signature, error).
 
-    One scan per distinct set of columns, each with that set's own types, cast
-    to ``schema`` and united by name; extra columns are kept. Rows carry
-    ``shard``, ``shard_file`` and ``row_pos``, the order in which later rows win.
+    Files are grouped by the columns that their footers name. Each group is scanned once, with its own types, cast to
+    ``schema`` and written with the others; extra columns are kept. The scan passes over what it cannot read, and a file that gave
+    fewer rows than its footer counts is left out as a whole. Rows carry ``shard``, ``shard_file`` and ``row_pos``, the order in
+    which later rows win.
 
-    The driver holds the file names (tens of thousands at most: one per shard),
-    never rows.
+    The driver holds the names of the files, which Spark's scans need, and the columns of each group; never rows.
     """
     spark = found.sparkSession
-    audit = settle_table(inspect_shards(found, tasks), "shard-audit")
-    listed = audit.filter(F.col("error").isNull()).select("signature", "path").collect()
-    groups: dict[str, list[str]] = {}
-    for row in listed:
-        groups.setdefault(row["signature"], []).append(row["path"])
-
-    extra_types: dict[str, set[str]] = {}
-    for signature in groups:
-        for name, dtype in json.loads(signature):
-            extra_types.setdefault(name, set()).add(dtype)
-    disputed = {name for name, kinds in extra_types.items() if len(kinds) > 1}
-
-    frames = []
-    for signature in sorted(groups):
-        # mergeSchema is off: all files of a group have the same columns and types.
-        scan = spark.read.option("mergeSchema", "false").parquet(*sorted(groups[signature]))
-        placed = scan.select(
-            "*",
-            F.col("_metadata.file_path").alias("shard_file"),
-            F.col("_metadata.row_index").alias("row_pos"),
-        )
-        frames.append(_conform(placed, schema, absent, disputed))
-    if not frames:
-        empty = T.StructType(
-            schema.fields + [T.StructField("shard_file", T.StringType()), T.StructField("row_pos", T.LongType())]
-        )
-        frames = [spark.createDataFrame([], empty)]
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame, allowMissingColumns=True)
-    return rows.withColumn("shard", shard_name(F.col("shard_file"))), audit
+    footers = settle_table(read_footers(found, tasks), "footers")
+    groups = footers.filter(F.col("error").isNull()).groupBy("signature")
+    fields = {r["signature"]: json.loads(r["fields"]) for r in groups.agg(F.min("fields").alias("fields")).collect()}
+    kinds: dict[str, set[str]] = {}
+    for name, dtype in (field for some in fields.values() for field in some):
+        kinds.setdefault(name, set()).add(dtype)
+    disputed = {name for name, several in kinds.items() if len(several) > 1}
+    paths: dict[str, list[str]] = {}
+    for row in footers.filter(F.col("error").isNull()).select("signature", "path").collect():
+        paths.setdefault(row["signature"], []).append(row["path"])
+
+    placed = [T.StructField("shard_file", T.StringType()), T.StructField("row_pos", T.LongType())]
+    rows = spark.createDataFrame([], T.StructType([*schema.fields, *placed]))
+    tolerant = {"mergeSchema": "false", "ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
+    for signature in sorted(paths):
+        scan = spark.read.options(**tolerant).parquet(*sorted(paths[signature]))
+        read = scan.select("*", F.col("_metadata.file_path").alias("shard_file"), F.col("_metadata.row_index").alias("row_pos"))
+        rows = rows.unionByName(_conform(read, schema, absent, disputed), allowMissingColumns=True)
+    rows = settle_table(rows.withColumn("shard", shard_name(F.col("shard_file"))), "shard-rows")
+
+    counts = rows.groupBy("shard_file").agg(F.count("*").alias("_read"))
+    counts = counts.select(layout.decode_origin(F.col("shard_file")).alias("_plain"), "shard_file", "_read")
+    plain = footers.withColumn("_plain", layout.normalise_path(F.col("path")))
+    told = plain.join(counts, "_plain", "left").withColumn("_read", F.coalesce("_read", F.lit(0)))
+    short = F.when(F.col("_read") != F.col("rows"), F.format_string("unreadable: %d of %d rows", "_read", "rows"))
+    told = settle_table(told.select("path", "signature", F.coalesce("error", short).alias("error"), "shard_file"), "shard-audit")
+    damaged = told.filter(F.col("error").isNotNull() & F.col("shard_file").isNotNull()).select("shard_file")
+    return rows.join(damaged, "shard_file", "left_anti").select(*rows.columns), told.drop("shard_file")
 
 
 def success_captions(shard_rows: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import io
 import json
 import sys
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from mediacurate.operators import resume
 from mediacurate.operators.caption import CaptionOptions, LeadingWords, caption, load_path
 from mediacurate.schemas import CAPTIONED, SHARD_META
+from mediacurate.sources import checkpoints
 from mediacurate.sources.checkpoints import read_checkpoint_keys
 from mediacurate.streaming.ingest import once_by_key, stream_ingest
 
@@ -157,6 +159,31 @@ def test_keys_of_earlier_runs(spark, tmp_path):
     assert [r[0] for r in tuples(read_checkpoint_keys(spark, str(folder)))] == ["a", "b", "c"]
 
 
+def test_keys_of_any_type_and_of_whole_files_only(spark, tmp_path):
+    pd.DataFrame({"key": [1, 2]}).to_parquet(tmp_path / "numbers.parquet")
+    pd.DataFrame({"key": ["x", None]}).to_parquet(tmp_path / "texts.parquet")
+    pd.DataFrame({"key": [f"k{i}" for i in range(5000)]}).to_parquet(tmp_path / "damaged.parquet", row_group_size=500)
+    body = bytearray((tmp_path / "damaged.parquet").read_bytes())
+    body[len(body) // 2 : len(body) // 2 + 300] = b"\xff" * 300
+    (tmp_path / "damaged.parquet").write_bytes(bytes(body))
+    (tmp_path / "checkpoint.json").write_text('{"processed_keys": ["a", "b"')  # cut short
+    assert [r[0] for r in tuples(read_checkpoint_keys(spark, str(tmp_path)))] == ["1", "2", "x"]
+
+
+@pytest.mark.parametrize("piece", [1, 3, 64])
+def test_keys_are_pulled_from_the_state_file(monkeypatch, piece):
+    monkeypatch.setattr(checkpoints, "_PIECE", piece)
+    keys = ["a", "ü\"\\,]", "", "x" * 200, "\u0041"]
+    around = {"before": [1, [2, {"processed_keys": ["no"]}], "]"], "last_index": -12.5e3, "n": None, "o": {}}
+    for state in ({**around, "processed_keys": keys}, {"processed_keys": keys, **around}, {"processed_keys": []}, around, {}, {"processed_keys": None}):
+        for indent in (None, 2):
+            text = json.dumps(state, indent=indent, ensure_ascii=indent is None)
+            assert list(checkpoints.keys_of_state(io.BytesIO(text.encode()))) == (state.get("processed_keys") or [])
+    for broken in ("", "[]", '{"processed_keys": ["a",', '{"processed_keys": [a]}', '{"x" 1}'):
+        with pytest.raises(ValueError):
+            list(checkpoints.keys_of_state(io.BytesIO(broken.encode())))
+
+
 def arrivals(spark, keys, path):
     df = spark.createDataFrame([(k, f"cap {k}") for k in keys], "key string, caption string")
     for field in SHARD_META.fields:

@@ -127,6 +127,38 @@ def test_no_shard_is_lost_silently(spark, shards):
     assert audit.count() == 7
 
 
+def scanned_rows(spark, root):
+    """Rows that all scans of files under ``root`` have given so far."""
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList()
+    for i in range(runs.size()):
+        number = runs.apply(i).executionId()
+        nodes, metrics = store.planGraph(number).allNodes(), store.executionMetrics(number)
+        for j in range(nodes.size()):
+            node = nodes.apply(j)
+            if node.name().startswith("Scan parquet") and root in node.desc():
+                own = [node.metrics().apply(k) for k in range(node.metrics().size())]
+                given = [metrics.get(m.accumulatorId()) for m in own if m.name() == "number of output rows"]
+                total += sum(int(g.get().replace(",", "")) for g in given if g.isDefined())
+    return total
+
+
+def test_each_row_group_is_read_once(spark, tmp_path):
+    root = tmp_path / "once"
+    root.mkdir()
+    for i in range(4):
+        keys = [f"{i}-{j}" for j in range(250)]
+        columns = shard_table(keys, pa.array(range(250), pa.int32() if i % 2 else pa.int64()))
+        pq.write_table(columns.select(columns.column_names[:: -1 if i > 1 else 1]), root / f"{i:05d}.parquet", row_group_size=50)
+    rows, audit = unify_shards(spark, str(root))
+    assert rows.count() == 1000 and success_captions(rows).count() == 1000
+    assert rows.groupBy("shard").count().count() == 4 and audit.select("signature").distinct().count() == 2
+    assert scanned_rows(spark, str(root)) == 1000
+    (root / "00000.parquet").unlink()
+    assert rows.count() == 1000
+
+
 def test_rows_without_status_are_no_success(spark, shards):
     rows, _ = unify_shards(spark, shards)
     assert {r["key"] for r in success_captions(rows).collect()} == set("abcdef")
