@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediacurate.functions import layout
 from mediacurate.functions.text import has_caption, sidecar_fields
+from mediacurate.operators.numbering import global_index
 from mediacurate.schemas import CAPTIONED, META_RECORD, SOURCE_ROWS
 from mediacurate.sources.sidecars import sidecar_body
 
@@ -21,26 +22,58 @@ def project_source(source: DataFrame, *extra: str) -> DataFrame:
     return source.select(*[F.col(n).alias(names.get(n, n)) for n in SOURCE_ROWS.names], *extra)
 
 
-def last_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the last in ``order``.
+def row_number(file: Column, position: Column) -> Column:
+    """One number for a row's place: by the number of its file, then by its position, which has 36 bits."""
+    return F.shiftleft(file.cast("bigint"), 36).bitwiseOR(position)
 
-    An aggregate rather than a window: copies of a hot key are reduced before
-    the shuffle.
+
+def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``_no``, a number that rises with ``order``. A whole-number column is one; other orders are sorted to get one."""
+    if len(order) == 1 and isinstance(rows.schema[order[0]].dataType, T.IntegralType):
+        return rows.withColumn("_no", F.col(order[0]).cast("bigint"))
+    names = [f"_by{i}" for i in range(len(order))]
+    places = global_index(rows.select(*[F.col(c).alias(n) for c, n in zip(order, names)]).distinct(), *names, name="_no")
+    alike = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(order, names)]
+    return rows.join(places, alike).drop(*names)
+
+
+def _highest(rows: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """``rows`` without those that share their key with a row of a higher number.
+
+    The highest number is found by an aggregate of numbers, and only of keys that have copies: rows of other keys meet
+    none and stay where they are as long as Spark can send the few to them.
+    """
+    names = [f"_key{i}" for i in range(len(keys))]
+    best = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.max(number).alias("_best"), F.count("*").alias("_copies"))
+    alike = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    marked = rows.join(best.filter("_copies > 1"), alike, "left")
+    return marked.filter(f"_copies IS NULL OR {number} <=> _best").select(*rows.columns)
+
+
+def last_by_key(rows: DataFrame, keys: list[str], order: list[str], unique: bool = False) -> DataFrame:
+    """One row per key, the last in ``order``. With ``unique`` no two rows of a key have the same place in it.
+
+    Between rows of a key that share the last place a hash of the row decides, and rows alike are one.
     """
-    others = [c for c in rows.columns if c not in keys]
-    kept = F.max_by(F.struct(*others), F.struct(*order)).alias("_last")
-    return rows.groupBy(*keys).agg(kept).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in others])
+    last = _highest(_numbered(rows, order), keys, "_no").drop("_no")
+    if not unique:
+        others = [c for c in rows.columns if c not in keys]
+        last = _highest(last.distinct().withColumn("_tie", F.xxhash64(*others)), keys, "_tie").drop("_tie")
+    return last.select(*keys, *[c for c in rows.columns if c not in keys])
 
 
-def caption_by_key(captions: DataFrame, order: list[str]) -> DataFrame:
+def caption_by_key(captions: DataFrame, order: list[str], unique: bool = False) -> DataFrame:
     """Key and caption, the last row winning, even when its caption is empty."""
-    return captions.groupBy("key").agg(F.max_by("caption", F.struct(*order)).alias("caption"))
+    needed = captions.select("key", "caption", *[c for c in order if c not in ("key", "caption")])
+    return last_by_key(needed, ["key"], order, unique).select("key", "caption")
 
 
 def told_by_key(captions: DataFrame, order: list[str]) -> DataFrame:
-    """Key and whether its last row has a caption; the texts end at the flag."""
+    """Key and whether its last row has a caption; the texts end at the flag, which is the lowest bit of a number."""
     flagged = captions.select("key", has_caption(F.col("caption")).alias("_told"), *order)
-    return flagged.groupBy("key").agg(F.max_by("_told", F.struct(*order)).alias("told"))
+    both = F.shiftleft(F.coalesce(F.col("_no"), F.lit(-(2**62))), 1).bitwiseOR(F.coalesce(F.col("_told").cast("bigint"), F.lit(0)))
+    highest = _numbered(flagged, order).groupBy("key").agg(F.max(both).alias("_both"))
+    return highest.select("key", (F.col("_both").bitwiseAND(1) == 1).alias("told"))
 
 
 def shards_without_metadata(assets: DataFrame, shard_meta: DataFrame) -> DataFrame:

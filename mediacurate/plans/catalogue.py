@@ -157,14 +157,17 @@ def payload_hash(spark, sf_dir):
 # --- manifests -------------------------------------------------------------
 
 
+def _placed_captions(spark, sf_dir) -> DataFrame:
+    """Captions of the fetched rows; a document's number is its row's place among all shards."""
+    return success_captions(views.shard_rows(spark, sf_dir).withColumnRenamed("doc_id", "row_no"))
+
+
 def _captions(spark, sf_dir) -> DataFrame:
-    rows = success_captions(views.shard_rows(spark, sf_dir).withColumnRenamed("doc_id", "row_pos"))
-    return metadata.caption_by_key(rows, ["shard", "row_pos"])
+    return metadata.caption_by_key(_placed_captions(spark, sf_dir), ["row_no"], unique=True)
 
 
 def _told(spark, sf_dir) -> DataFrame:
-    rows = success_captions(views.shard_rows(spark, sf_dir).withColumnRenamed("doc_id", "row_pos"))
-    return metadata.told_by_key(rows, ["shard", "row_pos"])
+    return metadata.told_by_key(_placed_captions(spark, sf_dir), ["row_no"])
 
 
 def _assets(spark, sf_dir) -> DataFrame:
@@ -188,10 +191,9 @@ def key_caption_last(spark, sf_dir):
     rows = views.table(spark, sf_dir, "documents").select(
         F.col("source").alias("key"),
         F.col("text").alias("caption"),
-        layout.key_shard(views.key_of("doc_id")).alias("shard"),
-        F.col("doc_id").alias("row_pos"),
+        metadata.row_number(layout.key_shard(views.key_of("doc_id")), F.col("doc_id")).alias("row_no"),
     )
-    return metadata.caption_by_key(rows, ["shard", "row_pos"])
+    return metadata.caption_by_key(rows, ["row_no"], unique=True)
 
 
 def ext_priority(spark, sf_dir):
@@ -244,7 +246,7 @@ def _enriched(spark, sf_dir, keep: DataFrame | None = None) -> tuple[DataFrame,
     chosen = listing.with_layout(manifest.preferred_file(_assets(spark, sf_dir)).select("path"))
     if keep is not None:
         chosen = resume.pending(chosen, keep)
-    known = metadata.last_by_key(views.shard_meta(spark, sf_dir), ["shard", "key"], ["doc_id"])
+    known = metadata.last_by_key(views.shard_meta(spark, sf_dir), ["shard", "key"], ["doc_id"], unique=True)
     return metadata.enrich(chosen.select("path", "shard", "key"), known, views.sidecars(spark, sf_dir))
 
 

@@ -210,9 +210,8 @@ def regenerate(
     data = Dataset(root)
     if rows is None:
         rows, _ = unify_shards(spark, data.shards)
-    order = ["shard", "shard_file", "row_pos"]
-    captions = metadata.caption_by_key(success_captions(rows), order)
-    told = metadata.told_by_key(success_captions(rows), order)
+    captions = metadata.caption_by_key(success_captions(rows), ["row_no"], unique=True)
+    told = metadata.told_by_key(success_captions(rows), ["row_no"])
     everything = settle_table(listing.with_layout(listing.list_files(spark, data.images)), "listing")
     images = listing.image_assets(everything)
     if validate == "none":
@@ -311,7 +310,7 @@ def caption_dataset(
         alone = metadata.shards_without_metadata(assets, rows)
         report("without metadata", alone.agg(F.count("*").alias("shards")))
         records = metadata.last_by_key(
-            rows.select(*SHARD_META.names, "shard", "shard_file", "row_pos"), ["shard", "key"], ["shard_file", "row_pos"]
+            rows.select(*SHARD_META.names, "shard", "row_no"), ["shard", "key"], ["row_no"], unique=True
         )
         marked = settle_table(
             metadata.enrich_marked(assets.select("path", "shard", "key"), records), "enriched"

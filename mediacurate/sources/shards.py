@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from mediacurate.functions import layout
 from mediacurate.functions.text import to_int
+from mediacurate.operators.metadata import row_number
 from mediacurate.schemas import SHARD_META, SUCCESS
 from mediacurate.session import settle_table, task_count
 from mediacurate.sources import files
@@ -100,7 +101,7 @@ def unify_files(
     Files are grouped by the columns that their footers name. Each group is scanned once, with its own types, cast to
     ``schema`` and written with the others; extra columns are kept. The scan passes over what it cannot read, and a file that gave
     fewer rows than its footer counts is left out as a whole. Rows carry ``shard``, ``shard_file`` and ``row_pos``, the order in
-    which later rows win.
+    which later rows win, and ``row_no``, a number that rises with it.
 
     The driver holds the names of the files, which Spark's scans need, and the columns of each group; never rows.
     """
@@ -123,7 +124,12 @@ def unify_files(
         scan = spark.read.options(**tolerant).parquet(*sorted(paths[signature]))
         read = scan.select("*", F.col("_metadata.file_path").alias("shard_file"), F.col("_metadata.row_index").alias("row_pos"))
         rows = rows.unionByName(_conform(read, schema, absent, disputed), allowMissingColumns=True)
-    rows = settle_table(rows.withColumn("shard", shard_name(F.col("shard_file"))), "shard-rows")
+    names = sorted(path for some in paths.values() for path in some)
+    numbers = spark.createDataFrame(list(enumerate(names)), "file_no bigint, _path string")
+    numbers = numbers.select("file_no", layout.normalise_path(F.col("_path")).alias("_plain"))
+    placed_rows = rows.withColumns({"shard": shard_name(F.col("shard_file")), "_plain": layout.decode_origin(F.col("shard_file"))})
+    numbered = placed_rows.join(numbers, "_plain").withColumn("row_no", row_number(F.col("file_no"), F.col("row_pos")))
+    rows = settle_table(numbered.drop("_plain", "file_no"), "shard-rows")
 
     counts = rows.groupBy("shard_file").agg(F.count("*").alias("_read"))
     counts = counts.select(layout.decode_origin(F.col("shard_file")).alias("_plain"), "shard_file", "_read")
@@ -137,7 +143,7 @@ def unify_files(
 
 def success_captions(shard_rows: DataFrame) -> DataFrame:
     """Key and caption of the rows that were fetched."""
-    order = [c for c in ("shard", "shard_file", "row_pos") if c in shard_rows.columns]
+    order = [c for c in ("shard", "shard_file", "row_pos", "row_no") if c in shard_rows.columns]
     return shard_rows.filter(F.col("status") == SUCCESS).select("key", "caption", *order)
 
 

@@ -87,7 +87,7 @@ def stream_ingest(
         if known is not None:
             known = known.filter(F.col("batch") != F.lit(batch_id))
         fresh = once_by_key(rows, known, order)
-        fresh.drop(*_ORDER).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        fresh.drop(*_ORDER, "row_no").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -111,4 +111,4 @@ def stream_ingest(
     placed = [T.StructField("shard_file", T.StringType()), T.StructField("row_pos", T.LongType())]
     blank = spark.createDataFrame([], T.StructType([*schema.fields, *placed, T.StructField("shard", T.StringType())]))
     kept = transform(blank) if transform else blank.select(*schema.names)
-    return kept.drop(*_ORDER).withColumn("batch", F.lit(None).cast("bigint"))
+    return kept.drop(*_ORDER, "row_no").withColumn("batch", F.lit(None).cast("bigint"))

@@ -42,6 +42,19 @@ def keys(spark, *numbers):
     return spark.createDataFrame([(f"00000000{n}",) for n in numbers], "key string")
 
 
+def test_last_row_of_a_key_whatever_the_order(spark):
+    rows = [(k, s, n, f"{s}{n}") for k in ("a", "b", None) for s in ("x", "y", None) for n in (1, 2)]
+    rows += [("hot", None, i % 7, "copy") for i in range(200)] + [("one", "x", None, None)]
+    df = spark.createDataFrame(rows, "key string, s string, n int, v string").repartition(5)
+    want = {k: max((r for r in rows if r[0] == k), key=lambda r: (r[1] or "", r[2] or 0)) for k in {r[0] for r in rows}}
+    assert tuples(metadata.last_by_key(df, ["key"], ["s", "n"])) == sorted(want.values(), key=repr)
+    by_number = metadata.last_by_key(df, ["key"], ["n"])
+    assert sorted((r.key or "", r.n) for r in by_number.collect()) == [("", 2), ("a", 2), ("b", 2), ("hot", 6), ("one", None)]
+    assert tuples(metadata.last_by_key(df, ["key"], ["n"])) == tuples(by_number)
+    told = metadata.told_by_key(df.withColumnRenamed("v", "caption"), ["n"])
+    assert {r.key: r.told for r in told.collect()} == {"a": True, "b": True, None: True, "hot": True, "one": False}
+
+
 def test_validated_takes_the_preferred_file(spark, files, captions):
     got = manifest.validated(keys(spark, 1, 1, 2, 3, 4, 5, 6), captions, files)
     assert tuples(got) == [("images/00000/000000001.png", "one"), ("images/00000/000000002.jpg", "two")]

@@ -58,6 +58,13 @@ def test_no_row_passes_through_one_task(spark, sf_dir, no_broadcast, name):
             assert "Aggregate" in step
 
 
+@pytest.mark.parametrize("name", ["metadata_enrich", "key_caption_last", "captioned_rows", "manifest_counters", "final_dedupe"])
+def test_the_last_row_is_found_by_numbers(spark, sf_dir, no_broadcast, name):
+    """Whole records are not sorted into aggregates; a number per key is, and only keys with copies meet their rows."""
+    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and "max(" in plan
+
+
 def test_pending_is_an_anti_join(spark, sf_dir, no_broadcast):
     assert "LeftAnti" in plan_of(contract.queries()["pending"](spark, sf_dir))
 
