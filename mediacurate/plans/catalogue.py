@@ -84,11 +84,15 @@ def _write_shards(spark, sf_dir) -> str:
     return root
 
 
-def unify(spark, sf_dir):
-    rows, _ = unify_shards(spark, _write_shards(spark, sf_dir))
+def _unified(spark, root: str) -> DataFrame:
+    rows, _ = unify_shards(spark, root)
     return rows.select(*SHARD_META.names, "shard")
 
 
+def unify(spark, sf_dir):
+    return _unified(spark, _write_shards(spark, sf_dir))
+
+
 def unify_audit(spark, sf_dir):
     """Rows read and files left out per shard; one file in each is broken on purpose."""
     root = _write_shards(spark, sf_dir)
@@ -428,8 +432,8 @@ def rejected_rows(spark, sf_dir):
     return resume.rejected(resume.read_batches(spark, _stored_batches(spark, sf_dir))).select("key", "batch_id")
 
 
-def final_dedupe(spark, sf_dir):
-    """Batches and a republished copy of each row under a later batch: one row per key remains."""
+def _repeated_batches(spark, sf_dir) -> str:
+    """Batches and a republished copy of each row under a later batch."""
     path = _stored_batches(spark, sf_dir)
     stored = resume.read_batches(spark, path)
     start = resume.next_batch_id(stored)
@@ -437,22 +441,30 @@ def final_dedupe(spark, sf_dir):
         {"batch_id": F.col("batch_id") + F.lit(start), "vlm_caption": F.concat("vlm_caption", F.lit(" (again)"))}
     )
     resume.write_batches(again, path)
+    return path
+
+
+def _complete(spark, path: str) -> DataFrame:
     return resume.complete_table(resume.read_batches(spark, path))
 
 
+def final_dedupe(spark, sf_dir):
+    """One row per key remains of batches that repeat."""
+    return _complete(spark, _repeated_batches(spark, sf_dir))
+
+
 # --- streaming ---------------------------------------------------------------
 
 
-def _arrivals(spark, sf_dir, copies: int = 1) -> tuple[str, DataFrame]:
+def _arrivals(spark, sf_dir, copies: int = 1) -> str:
     rows = views.shard_rows(spark, sf_dir).select(*SHARD_META.names)
     source = scratch_path(spark, "incoming")
     for _ in range(copies):
         rows.repartition(8, "key").write.mode("append").parquet(source)
-    return source, rows
+    return source
 
 
-def ingest(spark, sf_dir):
-    source, _ = _arrivals(spark, sf_dir)
+def _ingested(spark, source: str) -> DataFrame:
     rows = stream_ingest(
         spark,
         source,
@@ -464,8 +476,12 @@ def ingest(spark, sf_dir):
     return rows.select("key", "caption")
 
 
+def ingest(spark, sf_dir):
+    return _ingested(spark, _arrivals(spark, sf_dir))
+
+
 def ingest_once_by_key(spark, sf_dir):
-    source, _ = _arrivals(spark, sf_dir, copies=2)
+    source = _arrivals(spark, sf_dir, copies=2)
     rows = stream_ingest(
         spark,
         source,
@@ -476,6 +492,13 @@ def ingest_once_by_key(spark, sf_dir):
     return rows.select("key", "url", "status", "sha256")
 
 
+#: Of queries on files written before: what writes them, and the query itself.
+ON_FILES = {
+    "final_dedupe": (_repeated_batches, _complete),
+    "unify_shards": (_write_shards, _unified),
+    "stream_ingest": (_arrivals, _ingested),
+}
+
 QUERIES = {
     "source_projection": source_projection,
     "assign_keys": assign_keys,

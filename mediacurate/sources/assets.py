@@ -1,8 +1,7 @@
 """Listing the files of a dataset.
 
 Spark's own file sources list on the driver, which cannot hold hundreds of
-millions of entries. Here only the directories directly under the root are
-listed in one place; everything below them is listed by the tasks.
+millions of entries. Here tasks list, and directories are rows of a table.
 """
 
 from __future__ import annotations
@@ -13,23 +12,27 @@ from pyspark.sql import functions as F
 from mediacurate.functions import layout
 from mediacurate.operators.numbering import global_index
 from mediacurate.schemas import IMAGE_EXTENSIONS, SOURCE_ROWS
-from mediacurate.session import task_count
+from mediacurate.session import settle_table, task_count
 from mediacurate.sources import files
 
 # Above this many rows a top-n is taken by position, not held in one task.
 TOP_N_IN_ONE_TASK = 10_000
 
 
-def list_directory(spark: SparkSession, root: str) -> DataFrame:
-    """Direct children of ``root``: path, is_dir, length."""
+def list_level(directories: DataFrame, tasks: int) -> DataFrame:
+    """Direct children of ``directories`` (path): path, is_dir, length. Each directory is listed by one of ``tasks`` tasks."""
 
     def work(frames):
         for frame in frames:
-            rows = (child for uri in frame["root"] for child in files.children(uri))
+            rows = (child for uri in frame["path"] for child in files.children(uri))
             yield from files.in_frames(rows, ["path", "is_dir", "length"])
 
-    roots = spark.createDataFrame([(layout.normalise_root(root),)], "root string")
-    return roots.mapInPandas(work, "path string, is_dir boolean, length bigint")
+    return directories.select("path").repartition(tasks, "path").mapInPandas(work, "path string, is_dir boolean, length bigint")
+
+
+def list_directory(spark: SparkSession, root: str) -> DataFrame:
+    """Direct children of ``root``: path, is_dir, length."""
+    return list_level(spark.createDataFrame([(layout.normalise_root(root),)], "path string"), 1)
 
 
 def list_files(
@@ -37,22 +40,18 @@ def list_files(
 ) -> DataFrame:
     """Every file under ``root``, at any depth: path, length. Empty files included.
 
-    ``only`` is a condition on the direct children (path, is_dir) that are followed.
+    The tree is listed level by level: the directories that one level has are spread over the tasks anew and give the
+    next, until a level has none. So many tasks list a deep tree, whatever directory it hangs from.
+    ``only`` is a condition on the direct children of ``root`` (path, is_dir) that are followed.
     """
-
-    def work(frames):
-        for frame in frames:
-            rows = (
-                found
-                for path, is_dir, length in zip(frame["path"], frame["is_dir"], frame["length"])
-                for found in (files.walk(path) if is_dir else [(path, length)])
-            )
-            yield from files.in_frames(rows, ["path", "length"])
-
+    tasks = parallelism or task_count(spark)
     top = list_directory(spark, root)
-    if only is not None:
-        top = top.filter(only)
-    return top.repartition(parallelism or task_count(spark), "path").mapInPandas(work, "path string, length bigint")
+    level = settle_table(top if only is None else top.filter(only), "level")
+    found = level
+    while not (directories := level.filter("is_dir")).isEmpty():
+        level = settle_table(list_level(directories, tasks), "level")
+        found = found.union(level)
+    return found.filter("NOT is_dir").select("path", "length")
 
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:

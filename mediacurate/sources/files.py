@@ -108,17 +108,6 @@ def _size(entry: os.DirEntry) -> int:
         return 0
 
 
-def walk(uri: str) -> Iterator[tuple[str, int]]:
-    """Every file below ``uri``, one directory at a time."""
-    waiting = [uri]
-    while waiting:
-        for path, is_dir, length in children(waiting.pop()):
-            if is_dir:
-                waiting.append(path)
-            else:
-                yield path, length
-
-
 def in_frames(rows: Iterator[tuple], columns: list[str], size: int = 10_000) -> Iterator[pd.DataFrame]:
     """Bounded frames from an unbounded run of tuples."""
     held: list[tuple] = []

@@ -70,6 +70,18 @@ def test_listing_sees_every_image(spark, tree):
     assert tuples(listing.discover_shards(found)) == [("00000",), ("00001",)]
 
 
+def test_a_deep_tree_is_listed_by_many_tasks(spark, tmp_path):
+    names = {f"images/one/{i:02d}/{j}/x/{j}.png" for i in range(12) for j in range(2)} | {"images/top.png", "images/one/in.png"}
+    put(tmp_path, {name: b"" if name.endswith("1.png") else b"x" for name in names})
+    (tmp_path / "images/one/00/empty").mkdir()
+    found = listing.list_files(spark, str(tmp_path / "images"))
+    assert {r["path"]: r["length"] for r in found.collect()} == {str(tmp_path / n): int(not n.endswith("1.png")) for n in names}
+    second = spark.createDataFrame([(str(tmp_path / f"images/one/{i:02d}"),) for i in range(12)], "path string")
+    level = listing.list_level(second, 8).withColumn("task", F.spark_partition_id())
+    assert level.filter("is_dir").count() == 25 and level.select("task").distinct().count() > 2
+    assert listing.list_files(spark, str(tmp_path / "nowhere")).count() == 0
+
+
 def test_structural(spark, tree):
     assert by_name(validation.validate(listing.list_assets(spark, tree))) == WANT
 
