@@ -15,6 +15,7 @@ an id are records of their own, in the order of their texts; an empty table give
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -36,7 +37,9 @@ FILE_BYTES = 128 << 20
 #: Words kept by a task's memory of encodings, and the longest one kept.
 KNOWN_WORDS, KNOWN_LENGTH = 1_000_000, 40
 #: Words whose letters have one lower case, in composed form, and marks that no other rule of the tokenizer takes.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,30})([.,;:!?)]{0,4})")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,30})([.,;:!?)*$%&]{0,4})")
+#: Fixed value: the rule by which the public vocabulary's tokenizer finds the pieces of a text.
+APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _MASK = 0xA282EAD8
 _FRAME, _CHECK, _HEAD = "<QI", "<I", "<?qI"
 _MANIFEST = "file string, stretch int, number int, records bigint, tokens bigint"
@@ -53,50 +56,71 @@ def frame(payload: bytes) -> bytes:
     return struct.pack(_FRAME, len(payload), masked(length)) + payload + struct.pack(_CHECK, masked(payload))
 
 
-class WordEncoder:
+def words_apart(definition: str) -> bool:
+    """Whether blanks and line feeds part the pieces that this tokenizer merges within, and are dropped.
+
+    Known of tokenizers that split by ``APART`` alone; others take a text as a whole.
+    """
+    rules = json.loads(definition).get("pre_tokenizer") or {}
+    first = (rules.get("pretokenizers") or [rules])[0]
+    keeps = {"pattern": {"Regex": APART}, "behavior": "Removed", "invert": True}
+    return first.get("type") == "Split" and keeps.items() <= first.items()
+
+
+def _byte_signs() -> dict[int, str]:
+    """The signs that stand for bytes in byte-level vocabularies: printable ones for themselves, others numbered on from 256."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class WordEncoder(dict):
     """Encodings of whole texts by the tokenizer, remembered by word.
 
-    Blanks and line feeds end any piece that this tokenizer merges within, and are dropped; so the encodings of the
-    stretches between them make up that of the text, and a stretch needs the tokenizer once per task. ``of`` is for
-    tokenizers that drop white space; others take the whole text at once.
+    Where blanks and line feeds part the pieces that the tokenizer merges within, the encodings of the stretches between
+    them make up that of the text. A stretch is encoded when first met: plain letters, which no rule splits, by the
+    tokenizer's model at once, all else by the whole tokenizer. ``of`` looks a word up once.
     """
 
     def __init__(self, definition: str, by_word: bool):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self._tokenizer = Tokenizer.from_str(definition)
+        self._model, self._signs = self._tokenizer.model, _byte_signs()
         self._by_word = by_word
         self.wide = self._tokenizer.get_vocab_size() > 65_536
         self._kind = "<u4" if self.wide else "<u2"
-        self._known: dict[str, bytes] = {}
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        made = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, self._kind).tobytes() for one in made]
+        self._direct = all(self._letters(w) == self._whole(w) for w in ("a", "hello", "naïve", "straße", "ÿøæ", "zwölfhundert"))
+
+    def _whole(self, text: str) -> bytes:
+        made = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.asarray(made[0].ids, self._kind).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self._signs)
+        return struct.pack("<%d%s" % (len(made := self._model.tokenize(spelled)), "I" if self.wide else "H"), *[t.id for t in made])
+
+    def __missing__(self, word: str) -> bytes:
+        # Letters and the punctuation after them are merged apart, and letters in lower case.
+        plain = _PLAIN.fullmatch(word)
+        if plain is None or not self._direct:
+            made = self._whole(word)
+        elif word == (letters := plain[1].lower()):
+            made = self._letters(word)
+        else:
+            made = self[letters] + self[plain[2]]
+        if len(word) <= KNOWN_LENGTH:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = made
+        return made
 
     def of(self, text: str, end: int) -> bytes:
         last = end.to_bytes(4 if self.wide else 2, "little")
         if not self._by_word:
-            return self._batch([text])[0] + last
-        words = text.replace("\n", " ").split(" ")
-        known = self._known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        long = {}  # encodings that are not kept
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            # Letters and the punctuation after them are merged apart, and letters in lower case.
-            split = {w: (m[1].lower(), m[2]) for w in new if (m := _PLAIN.fullmatch(w))}
-            pieces = dict.fromkeys(p for w in new for p in split.get(w, (w,)) if p not in known)
-            for piece, made in zip(pieces, self._batch(list(pieces)), strict=True):
-                (known if len(piece) <= KNOWN_LENGTH else long)[piece] = made
-            for word, (letters, marks) in split.items():
-                if word not in known:
-                    known[word] = known[letters] + known[marks]
-        parts = [known[w] for w in words] if not long else [known[w] if w in known else long[w] for w in words]
-        parts.append(last)
-        return b"".join(parts)
+            return self._whole(text) + last
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) + last
 
 
 def _encoder(definition: str, by_word: bool) -> WordEncoder:
@@ -145,16 +169,19 @@ def write_records(
     *order: str,
     text: str = "text",
     doc_id: str = "doc_id",
-    by_word: bool = True,
+    by_word: bool | None = None,
     file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Encode ``docs`` in ascending ``order`` (the id by default) into record files; the manifest, one row per file.
 
-    ``tokenizer`` is the path of a tokenizer file on the driver; its contents travel with the tasks.
+    ``tokenizer`` is the path of a tokenizer file on the driver; its contents travel with the tasks. ``by_word`` says whether
+    words can be encoded apart; without it the definition does.
     """
     from pyspark import TaskContext
 
-    definition = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())  # a fixed vocabulary file
+    told = Path(tokenizer).read_text()
+    by_word = words_apart(told) if by_word is None else by_word
+    definition = docs.sparkSession.sparkContext.broadcast(told)  # a fixed vocabulary file
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = _encoder(definition.value, by_word), None
@@ -260,7 +287,8 @@ def read_records(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("_base"),
         F.coalesce(F.sum("records").over(earlier), F.lit(0)).alias("_records"),
     )
-    found = manifest.repartition("file").mapInArrow(read, _READ)
+    # Few bytes, hence by number: a task for each file.
+    found = manifest.repartitionByRange(max(1, manifest.count()), "file").mapInArrow(read, _READ)
     return found.join(bases, ["_stretch", "_number"]).select(
         "doc_id",
         (F.col("_base") + F.col("_before")).alias("start"),

@@ -152,6 +152,31 @@ def test_words_of_a_text_are_its_encoding():
         assert np.frombuffer(encoder.of(text, queries.END_ID), "<u2").tolist() == ids
 
 
+def test_words_are_encoded_apart_only_where_the_tokenizer_parts_them():
+    import json
+    from pathlib import Path
+
+    told = Path(queries.tokenizer_path()).read_text()
+    assert token_records.words_apart(told)
+    other = json.loads(told)
+    other["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    assert not token_records.words_apart(json.dumps(other))
+    whole = token_records.WordEncoder(json.dumps(other), by_word=False)
+    from tokenizers import Tokenizer
+
+    for text in ("two  words\n and more", ""):
+        want = Tokenizer.from_str(json.dumps(other)).encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(whole.of(text, 2), "<u2").tolist() == [*want, 2]
+
+
+def test_every_file_is_read_by_a_task_of_its_own(spark, docs):
+    manifest = token_records.write_records(docs, queries.tokenizer_path(), queries.END_ID, token_records.scratch_path(spark, "records"), file_bytes=100)
+    tasks = token_records.read_records(spark, manifest).select(F.spark_partition_id().alias("task"), "record")
+    files = manifest.count()
+    found = manifest.repartitionByRange(files, "file").select(F.spark_partition_id().alias("task")).distinct().count()
+    assert files > 8 and found == files and tasks.count() == len(ROWS)
+
+
 # --- 2 -------------------------------------------------------------------------------
 
 
