@@ -1,10 +1,12 @@
 """Resume, batch commits and the complete table.
 
-The output table is the only state: the keys in it are the processed ones.
+The state is the output: a log of the committed batches, and the keys in them, which are the processed ones.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 from mediacurate.operators.metadata import last_by_key
 from mediacurate.operators.numbering import batch_names
 from mediacurate.schemas import CAPTIONED
+from mediacurate.sources.commits import CommitLog
 
 # A stored row: the published columns, why it failed if it did, and its batch.
 STORED = T.StructType(
@@ -20,8 +23,11 @@ STORED = T.StructType(
 )
 
 
+_COMMITTED = "batch_id bigint, rows bigint, captioned bigint, path string"
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rows; no rows when nothing was written yet."""
+    """The stored rows of a folder of batches; no rows when nothing was written yet."""
     try:
         return spark.read.schema(STORED).parquet(path)
     except AnalysisException as problem:
@@ -41,8 +47,54 @@ def write_batches(rows: DataFrame, path: str) -> None:
     )
 
 
+def commit_log(spark: SparkSession, path: str) -> CommitLog:
+    """The log of the batches committed to ``path``."""
+    return CommitLog(spark, f"{path.rstrip('/')}/_commits", _COMMITTED)
+
+
+def _at(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The rows of some directories of ``path``; no other is listed."""
+    if not names:
+        return spark.createDataFrame([], STORED)
+    return spark.read.schema(STORED).option("basePath", path).parquet(*[f"{path}/{name}" for name in sorted(names)])
+
+
+def commit_batches(rows: DataFrame, path: str, batches: range) -> DataFrame:
+    """Write the rows of ``batches`` and commit them; the rows as they were written.
+
+    A batch whose rows were written but not committed, by a run that crashed, is not read by anyone; the next run uses its
+    number again and replaces it.
+    """
+    spark, path = rows.sparkSession, path.rstrip("/")
+    write_batches(rows, path)
+    written = _at(spark, path, [f"batch_id={b}" for b in batches])
+    counts = written.groupBy("batch_id").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("error").isNull()).alias("captioned")
+    )
+    # One line per batch of the round.
+    lines = [r.asDict() | {"path": f"batch_id={r['batch_id']}"} for r in counts.orderBy("batch_id").collect()]
+    commit_log(spark, path).append(lines)
+    return written
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the committed batches, found by the log and not by a listing.
+
+    A folder that an earlier run left without a log is taken as it is: its batches are committed first.
+    """
+    path, log = path.rstrip("/"), commit_log(spark, path)
+    if not log.versions():
+        left = read_batches(spark, path)
+        counts = left.groupBy("batch_id").agg(F.count("*").alias("rows"), F.count_if(F.col("error").isNull()).alias("captioned"))
+        lines = [r.asDict() | {"path": f"batch_id={r['batch_id']}"} for r in counts.orderBy("batch_id").collect()]
+        if not lines:
+            return left
+        log.append(lines)
+    return _at(spark, path, [r["path"] for r in log.entries().select("path").distinct().collect()])
+
+
 def next_batch_id(stored: DataFrame) -> int:
-    """One past the highest batch written; a partition value, so no column is read."""
+    """One past the highest batch of ``stored``: rows with a batch_id, or the entries of a log."""
     highest = stored.agg(F.max("batch_id")).first()[0]
     return 0 if highest is None else highest + 1
 
@@ -84,8 +136,30 @@ def skip_counts(assets: DataFrame, processed: DataFrame) -> DataFrame:
     )
 
 
+_PUBLISHED = "directory string, replaces boolean"
+
+
+def snapshots(spark: SparkSession, path: str) -> CommitLog:
+    """The versions of a published folder: directories that came with each, in addition to or in place of those before."""
+    return CommitLog(spark, f"{path.rstrip('/')}/_snapshots", _PUBLISHED)
+
+
+def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The rows that the latest version, or an earlier one, shows; none before the first."""
+    entries = snapshots(spark, path).entries()
+    if version is not None:
+        entries = entries.filter(F.col("version") <= version)
+    since = entries.filter("replaces").agg(F.max("version")).first()[0] or 0
+    names = sorted(r["directory"] for r in entries.filter(F.col("version") >= since).select("directory").distinct().collect())
+    schema = T.StructType([*CAPTIONED.fields, T.StructField("publish_name", T.StringType())])
+    if not names:
+        return spark.createDataFrame([], schema)
+    base = path.rstrip("/")
+    return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{name}" for name in names])
+
+
 def publish(stored: DataFrame, path: str, rows_per_batch: int) -> DataFrame:
-    """Copy the full batches under their publish names; returns the publish manifest.
+    """Copy the full batches under their publish names and show them in a new version; returns the publish manifest.
 
     Short batches end a run, so there is one per run: their numbers are held on
     the driver and prune the partitions read, and the rows are not shuffled.
@@ -101,7 +175,12 @@ def publish(stored: DataFrame, path: str, rows_per_batch: int) -> DataFrame:
         .partitionBy("publish_name")
         .parquet(path)
     )
-    return publish_manifest(stored, path, rows_per_batch)
+    manifest = publish_manifest(stored, path, rows_per_batch)
+    # One name per batch; a batch of rejects alone has no directory.
+    shown = [r["path"].rsplit("/", 1)[-1] for r in manifest.filter("rows > 0").select("path").collect()]
+    if shown:
+        snapshots(stored.sparkSession, path).append([{"directory": d, "replaces": False} for d in sorted(shown)])
+    return manifest
 
 
 def publish_manifest(stored: DataFrame, path: str, rows_per_batch: int) -> DataFrame:
@@ -118,10 +197,16 @@ def publish_manifest(stored: DataFrame, path: str, rows_per_batch: int) -> DataF
 
 
 def publish_complete(complete: DataFrame, path: str) -> DataFrame:
-    """End a run: the published batches give way to the complete table, short batches included."""
-    named = complete.select(*CAPTIONED.names, F.lit("complete").alias("publish_name"))
-    named.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("publish_name").parquet(path)
-    return complete.sparkSession.read.parquet(path)
+    """End a run: the complete table, short batches included, becomes the folder's next version.
+
+    It is written beside the batches, which stay, and readers of ``read_published`` go over to it at once when its version is
+    made; until then, or if the run fails before, they read what was there.
+    """
+    spark, log = complete.sparkSession, snapshots(complete.sparkSession, path)
+    name = f"publish_name=complete-{uuid.uuid4().hex}"
+    complete.select(*CAPTIONED.names).write.parquet(f"{path.rstrip('/')}/{name}")
+    log.append([{"directory": name, "replaces": True}])
+    return read_published(spark, path)
 
 
 def complete_table(stored: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from mediacurate.session import settle_table, task_count
 from mediacurate.sources import assets as listing
 from mediacurate.sources import files
 from mediacurate.sources.checkpoints import read_checkpoint_keys
+from mediacurate.sources.commits import create_exclusively, remove
 from mediacurate.sources.shards import success_captions, unify_shards
 from mediacurate.sources.sinks import write_corrupt_log, write_training_csv
 
@@ -63,15 +64,16 @@ def exists(path: str) -> bool:
 
 @contextmanager
 def single_writer(path: str, take_over: bool = False) -> Iterator[None]:
-    """Refuse to start while another run writes here; ``take_over`` after a crash."""
+    """Refuse to start while another run writes here; ``take_over`` after a crash. Of two that start at once, one is refused."""
     marker = f"{path.rstrip('/')}/_writer"
-    if exists(marker) and not take_over:
+    if take_over:
+        remove(marker)
+    if not create_exclusively(marker, b"writing\n"):
         raise RuntimeError(f"{marker} exists: another run is writing, or one crashed")
-    files.write_bytes(marker, b"")
     try:
         yield
     finally:
-        files.delete_file(marker)
+        remove(marker)
 
 
 def _rounds(items: list, size: int) -> Iterator[list]:
@@ -299,7 +301,7 @@ def caption_dataset(
     with single_writer(out, take_over):
         found = listing.list_assets(spark, data.images, ("jpg",), shard_dirs_only=True)
         assets = settle_table(listing.limit_assets(found, max_images), "assets")
-        stored = resume.read_batches(spark, batches)
+        stored = resume.read_committed(spark, batches)
         if resume_run:
             done = resume.processed_keys(resume.captioned(stored))
             if resume_from is not None:
@@ -317,7 +319,7 @@ def caption_dataset(
         )
         marked.filter(F.col("error").isNotNull()).select("key", "path", "error").write.mode("overwrite").parquet(rejects)
 
-        start = resume.next_batch_id(stored)
+        start = resume.next_batch_id(resume.commit_log(spark, batches).entries())
         good = marked.filter(F.col("error").isNull()).drop("error")
         staged = settle_table(numbering.assign_batches(good, rows_per_batch, "path", start=start), "staged")
         last = staged.agg(F.max("batch_id")).first()[0]
@@ -328,13 +330,13 @@ def caption_dataset(
             told = caption(spread, captioner, "path", on_error, options=options, loader=loader, profile=profile)
             if on_error == EMPTY:
                 told = told.withColumn("error", F.lit(None).cast("string"))
-            resume.write_batches(metadata.captioned_projection(told, "error", "batch_id"), batches)
-            written = resume.read_batches(spark, batches).filter(this_round)
+            numbers = range(low, min(low + batches_per_round, last + 1))
+            written = resume.commit_batches(metadata.captioned_projection(told, "error", "batch_id"), batches, numbers)
             report("written", written.groupBy(F.col("error").isNull().alias("captioned")).agg(F.count("*").alias("rows")))
             if publish_to:
                 report("published", resume.publish(written, publish_to, rows_per_batch).agg(F.count("*").alias("batches")))
         complete = f"{out.rstrip('/')}/all_captions"
-        resume.complete_table(resume.read_batches(spark, batches)).write.mode("overwrite").parquet(complete)
+        resume.complete_table(resume.read_committed(spark, batches)).write.mode("overwrite").parquet(complete)
         if publish_to:
             resume.publish_complete(spark.read.parquet(complete), publish_to)
     return spark.read.parquet(complete)

@@ -8,6 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from mediacurate import __main__ as command
+from mediacurate.operators import resume
 from mediacurate.operators.fetch import UrlFetcher
 from mediacurate.plans import jobs
 from mediacurate.schemas import CAPTIONED
@@ -182,7 +183,11 @@ def test_caption_resume_and_publish(spark, dataset, tmp_path):
     assert row["vlm_caption"].endswith("bytes, 256 tokens")
     batches = spark.read.parquet(f"{out}/batches")
     assert tuples(batches.groupBy("batch_id").count()) == [(0, 2), (1, 2), (2, 1)]
-    assert tuples(spark.read.parquet(pub).groupBy("publish_name").count()) == [("complete", 5)]
+    assert tuples(resume.read_published(spark, pub).select("key")) == tuples(first.select("key"))
+    # The batches stay beside the complete table, and earlier versions can be read.
+    names = F.regexp_replace("publish_name", "-.*", "")
+    assert tuples(spark.read.parquet(pub).groupBy(names.alias("n")).count()) == [("batch_00001", 2), ("batch_00002", 2), ("complete", 5)]
+    assert resume.read_published(spark, pub, 0).count() == 2 and resume.read_published(spark, pub, 1).count() == 4
     old = {p: p.stat().st_mtime_ns for p in Path(out, "batches").rglob("*.parquet")}
 
     # The same limit again finds nothing to do.
