@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 from importlib import import_module
 
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import SparkSession
 
 from mediacurate.operators.caption import EMPTY, REJECT, CaptionOptions
@@ -75,10 +76,24 @@ def parser() -> argparse.ArgumentParser:
     caption.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
     caption.add_argument("--resume-from", help="folder of an earlier run whose keys count as processed")
     caption.add_argument("--on-error", choices=[REJECT, EMPTY], default=REJECT, help="what a failing image gets")
+    caption.add_argument("--task-gpus", type=float, help="GPUs of each captioning task, a share for tasks that share one")
+    caption.add_argument("--task-cpus", type=int, help="cores of each captioning task")
     caption.add_argument("--take-over", action="store_true", help="after a crashed run")
     return whole
 
 
+def profile_of(cpus: int | None, gpus: float | None) -> ResourceProfile | None:
+    """What captioning tasks ask for, in a profile of their own; none if they ask for nothing."""
+    if not cpus and not gpus:
+        return None
+    asked = TaskResourceRequests()
+    if cpus:
+        asked.cpus(cpus)
+    if gpus:
+        asked.resource("gpu", gpus)
+    return ResourceProfileBuilder().require(asked).build
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"mediacurate {args.job}").getOrCreate()
@@ -100,6 +115,7 @@ def main(argv: list[str] | None = None) -> None:
             report=show,
             on_error=args.on_error,
             resume_from=args.resume_from,
+            profile=profile_of(args.task_cpus, args.task_gpus),
         )
         return
     check = {"level": args.level, "decoder": make(args.decoder), "report": show}

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
+import itertools
 import json
-from concurrent.futures import ThreadPoolExecutor
+import time
+from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from itertools import batched
 from typing import Protocol
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +23,10 @@ from mediacurate.session import task_count
 from mediacurate.sources import files
 
 
+#: Seconds for which a host is left alone after a failure, and the most that they grow to.
+PAUSE, LONGEST_PAUSE = 0.5, 60.0
+
+
 class Fetcher(Protocol):
     def fetch(self, url: str, timeout: float) -> bytes:
         """The payload of ``url``; raises when it cannot be had in time."""
@@ -76,15 +86,75 @@ def _jpeg_size(content: bytes):
     return None, None
 
 
-def _attempt(fetcher: Fetcher, url: str, retries: int, timeout: float):
-    error = None
-    for attempt in range(1, retries + 2):
-        try:
-            content = fetcher.fetch(url, timeout)
-            return SUCCESS, attempt, None, content, hashlib.sha256(content).hexdigest(), *image_size(content)
-        except Exception as problem:
-            error = f"{type(problem).__name__}: {problem}"
-    return FAILED, retries + 1, error, None, None, None, None
+def _attempt(fetcher: Fetcher, url: str, timeout: float) -> dict:
+    try:
+        content = fetcher.fetch(url, timeout)
+    except Exception as problem:
+        return {"status": FAILED, "error": f"{type(problem).__name__}: {problem}"}
+    width, height = image_size(content)
+    sizes = {"width": width, "height": height, "original_width": width, "original_height": height}
+    return {"status": SUCCESS, "content": content, "sha256": hashlib.sha256(content).hexdigest(), **sizes}
+
+
+def _host(url: str | None) -> str:
+    """Whom a request goes to; paths go to nobody, and are never put off."""
+    try:
+        return urlsplit(url or "").netloc
+    except ValueError:
+        return ""
+
+
+def sliding(rows: Iterator[dict], attempt: Callable[[dict], dict], threads: int, retries: int, pause: float) -> Iterator[dict]:
+    """Each row with the outcome of its last attempt, as requests end: at most ``threads`` are open, and one that ends makes room for the next.
+
+    A host that fails is left alone for ``pause`` seconds, twice as long with each failure that follows, until it
+    answers; its rows wait without holding a thread, while those of other hosts go on.
+    """
+    open_requests: dict = {}
+    waiting: list = []  # (not before, number, attempts so far, row)
+    failures: dict[str, int] = {}
+    free_from: dict[str, float] = {}
+    number = itertools.count()
+    rows = iter(rows)
+    more = True
+    with ThreadPoolExecutor(threads) as pool:
+        while True:
+            while len(open_requests) < threads:
+                if waiting and waiting[0][0] <= time.monotonic():
+                    _, _, tried, row = heapq.heappop(waiting)
+                elif more and len(waiting) < 16 * threads:
+                    tried, row = 0, next(rows, None)
+                    if row is None:
+                        more = False
+                        continue
+                else:
+                    break
+                at = free_from.get(_host(row["url"]), 0.0)
+                if at > time.monotonic():
+                    heapq.heappush(waiting, (at, next(number), tried, row))
+                else:
+                    open_requests[pool.submit(attempt, row)] = (tried + 1, row)
+            if not open_requests:
+                if not waiting:
+                    return
+                time.sleep(max(0.0, waiting[0][0] - time.monotonic()))
+                continue
+            soon = None
+            if waiting and len(open_requests) < threads:
+                soon = max(0.0, waiting[0][0] - time.monotonic())
+            for ended in wait(open_requests, soon, FIRST_COMPLETED)[0]:
+                tried, row = open_requests.pop(ended)
+                outcome, host = ended.result(), _host(row["url"])
+                if outcome["status"] == SUCCESS:
+                    failures.pop(host, None)
+                    free_from.pop(host, None)
+                elif host:
+                    failures[host] = failures.get(host, 0) + 1
+                    free_from[host] = time.monotonic() + min(LONGEST_PAUSE, pause * 2 ** min(failures[host] - 1, 20))
+                if outcome["status"] != SUCCESS and tried <= retries:
+                    heapq.heappush(waiting, (free_from.get(host, 0.0), next(number), tried, row))
+                else:
+                    yield {**row, **outcome, "attempts": tried}
 
 
 def _store(images_dir: str, row: dict) -> None:
@@ -98,8 +168,6 @@ def _store(images_dir: str, row: dict) -> None:
     files.write_bytes(f"{stem}.json", json.dumps(record, default=int).encode())
 
 
-_RESULT = "status attempts error content sha256 width height".split()
-
 FETCHED = T.StructType(
     [f for f in SHARD_META.fields]
     + [
@@ -111,6 +179,9 @@ FETCHED = T.StructType(
 )
 
 
+_WHOLE = {f.name: "Int32" for f in FETCHED.fields if f.dataType == T.IntegerType()}
+
+
 def fetch(
     manifest: DataFrame,
     fetcher: Fetcher,
@@ -119,6 +190,7 @@ def fetch(
     threads: int = 64,
     partitions: int | None = None,
     images_dir: str | None = None,
+    pause: float = PAUSE,
 ) -> DataFrame:
     """Fetch every row of a manifest (key, shard, url, caption and the carried columns).
 
@@ -130,21 +202,17 @@ def fetch(
     with ``write_fetched`` and use what that returns.
     """
 
+    def attempt(row: dict) -> dict:
+        outcome = _attempt(fetcher, row["url"], timeout)
+        if images_dir is not None and outcome["status"] == SUCCESS:
+            _store(images_dir, {**dict.fromkeys(FETCHED.names), **row, **outcome})
+            del outcome["content"]
+        return outcome
+
     def work(frames):
-        with ThreadPoolExecutor(threads) as pool:
-            for frame in frames:
-                for start in range(0, len(frame), threads):
-                    part = frame.iloc[start : start + threads]
-                    got = pool.map(lambda url: _attempt(fetcher, url, retries, timeout), part["url"])
-                    result = pd.DataFrame(list(got), columns=_RESULT, index=part.index)
-                    merged = pd.concat([part, result], axis=1)
-                    sizes = merged[["width", "height"]].astype("Int32")
-                    merged = merged.assign(width=sizes["width"], height=sizes["height"])
-                    merged = merged.assign(original_width=merged["width"], original_height=merged["height"])
-                    if images_dir is not None:
-                        list(pool.map(lambda row: _store(images_dir, row), merged.to_dict("records")))
-                        merged["content"] = None
-                    yield merged[FETCHED.names]
+        rows = (row for frame in frames for row in frame.to_dict("records"))
+        for part in batched(sliding(rows, attempt, threads, retries, pause), threads):
+            yield pd.DataFrame([{**dict.fromkeys(FETCHED.names), **row} for row in part], columns=FETCHED.names).astype(_WHOLE)
 
     rows = manifest.select("key", "shard", "url", "caption", *CARRIED_COLUMNS)
     tasks = partitions or task_count(manifest.sparkSession)
@@ -199,6 +267,17 @@ def export_files(payloads: DataFrame, root: str, extension: str = "jpg") -> Data
     return payloads.select(path.alias("path"), "content").mapInPandas(work, "path string")
 
 
+def payload_sizes(df: DataFrame, content: str = "content") -> DataFrame:
+    """Width and height by the payload's header, null where it has none."""
+    fields = T.StructType([T.StructField(n, T.IntegerType()) for n in ("width", "height")])
+
+    @F.pandas_udf(fields)
+    def sizes(bodies: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([image_size(bytes(b or b"")) for b in bodies], columns=fields.names).astype("Int32")
+
+    return df.withColumn("_sizes", sizes(F.col(content))).select("*", "_sizes.*").drop("_sizes")
+
+
 def payload_hashes(df: DataFrame, content: str = "content") -> DataFrame:
     """Digests and size of a text or binary payload."""
     body = F.col(content).cast("binary")

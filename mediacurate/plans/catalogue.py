@@ -158,6 +158,11 @@ def payload_hash(spark, sf_dir):
     )
 
 
+def payload_sizes(spark, sf_dir):
+    """Sizes of the pictures drawn from the documents, damaged ones too as long as their header is there."""
+    return fetching.payload_sizes(views.payloads(spark, sf_dir)).select("key", "width", "height")
+
+
 # --- manifests -------------------------------------------------------------
 
 
@@ -507,6 +512,7 @@ QUERIES = {
     "fetch_files": fetch_files,
     "fetch_incremental": fetch_incremental,
     "payload_hash": payload_hash,
+    "payload_sizes": payload_sizes,
     "discover_shards": discover_shards,
     "list_assets": list_assets,
     "list_shard_assets": list_shard_assets,

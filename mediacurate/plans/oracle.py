@@ -75,6 +75,7 @@ stored AS (
   SELECT *, gidx // 50 AS batch_id, contains(caption, ' the ') AS failed FROM pending_rows),
 damage AS (
   SELECT printf('%05d%04d', d.doc_id // 100, d.doc_id % 100) AS key, printf('%05d', d.doc_id // 100) AS shard,
+    greatest(1, (strlen(d.text) + 63) // 64) AS lines,
     CASE WHEN l.quality = 0 THEN 'cut' WHEN l.toxic = 1 THEN 'garbled' WHEN d.doc_id % 11 = 3 THEN 'thumbnail'
       WHEN d.doc_id % 11 = 5 THEN 'thumbnail_cut' WHEN d.doc_id % 11 = 7 THEN 'bad_crc' WHEN d.doc_id % 11 = 8 THEN 'webp'
       WHEN d.doc_id % 11 = 9 THEN 'webp_cut' ELSE 'none' END AS kind
@@ -121,6 +122,8 @@ _BODIES = {
     "payload_hash": """
         SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS n_bytes
         FROM documents""",
+    "payload_sizes": """
+        SELECT key, 64 AS width, CAST(CASE WHEN container = 'jpeg' THEN (lines + 7) // 8 * 8 ELSE lines END AS INT) AS height FROM walked""",
     "discover_shards": """
         SELECT DISTINCT split_part(path, '/', -2) AS shard FROM asset_files_dirs
         WHERE regexp_matches(split_part(path, '/', -2), '^[0-9]+$')""",

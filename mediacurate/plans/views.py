@@ -146,7 +146,7 @@ def render_picture(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
         pixels = text.encode("utf-8")
         height = -(-len(pixels) // 64) or 1
         if damage.startswith("webp"):
-            return webp(pixels, 1000 if damage == "webp_cut" else 0)
+            return webp(struct.pack("<HH", 64, height) + pixels, 1000 if damage == "webp_cut" else 0)
         if damage.startswith("thumbnail"):  # within its second segment, with an end marker of its own
             whole = jpeg(-(-height // 8), segment(0xFE, pixels[:1000]) + segment(0xE1, b"Exif\0\0" + jpeg(1)))
             return whole[:-3] if damage == "thumbnail_cut" else whole

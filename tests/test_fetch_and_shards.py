@@ -1,6 +1,7 @@
 import hashlib
 import json
 import sys
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -48,6 +49,49 @@ def test_retries_and_status(spark):
     assert rows["u/a"]["original_key"] == "original_key"
 
 
+def outcomes(urls, behave, threads, retries=3, pause=0.1):
+    """What a sliding window gives, when each attempt began, and when each row came out."""
+    began, out = {}, {}
+    start = time.monotonic()
+
+    def attempt(row):
+        began.setdefault(row["url"], []).append(time.monotonic() - start)
+        return {"status": "success" if behave(row["url"], len(began[row["url"]])) else "failed_to_download"}
+
+    for row in fetch.sliding(({"url": u} for u in urls), attempt, threads, retries, pause):
+        out[row["url"]] = (row["status"], row["attempts"], time.monotonic() - start)
+    return began, out
+
+
+def test_a_slow_request_holds_up_no_other():
+    def behave(url, tried):
+        time.sleep(1.5 if "slow" in url else 0.01)
+        return True
+
+    _, out = outcomes([f"http://{h}/{i}" for i, h in enumerate(["slow", *"abcdefghij" * 6])], behave, threads=3)
+    slow = out.pop("http://slow/0")
+    assert len(out) == 60 and max(t for *_, t in out.values()) < 1.3 < slow[2]
+
+
+def test_attempts_at_a_host_are_spaced_and_others_go_on():
+    began, out = outcomes(["http://bad/x", *(f"http://good/{i}" for i in range(50))], lambda url, _: "good" in url, threads=2)
+    assert out["http://bad/x"][:2] == ("failed_to_download", 4)
+    gaps = [b - a for a, b in zip(began["http://bad/x"], began["http://bad/x"][1:])]
+    assert all(gap >= wanted for gap, wanted in zip(gaps, (0.1, 0.2, 0.4))) and gaps[2] < 2
+    assert all(out[f"http://good/{i}"][:2] == ("success", 1) for i in range(50)) and out["http://good/49"][2] < 0.5
+    began, out = outcomes(["u/late", "u/bad", None], lambda url, tried: url is None or "late" in url and tried == 3, threads=2, pause=60)
+    assert {u: o[:2] for u, o in out.items()} == {"u/late": ("success", 3), "u/bad": ("failed_to_download", 4), None: ("success", 1)}
+
+
+def test_rows_of_a_dead_host_wait_in_bounded_number():
+    taken = []
+    urls = (taken.append(i) or f"http://dead/{i}" for i in range(1000))
+    rows = fetch.sliding(({"url": u} for u in urls), lambda row: {"status": "failed_to_download"}, 2, 0, 0.2)
+    next(rows)
+    assert len(taken) <= 2 + 16 * 2 + 2
+    rows.close()
+
+
 def test_sizes_from_headers(spark):
     assert fetch.image_size(png(12, 7)) == (12, 7)
     assert fetch.image_size(jpeg(spark, 64, 48)) == (64, 48)
@@ -137,7 +181,7 @@ def scanned_rows(spark, root):
         nodes, metrics = store.planGraph(number).allNodes(), store.executionMetrics(number)
         for j in range(nodes.size()):
             node = nodes.apply(j)
-            if node.name().startswith("Scan parquet") and root in node.desc():
+            if node.name().startswith("Scan parquet") and root[:40] in node.desc():  # long locations are cut
                 own = [node.metrics().apply(k) for k in range(node.metrics().size())]
                 given = [metrics.get(m.accumulatorId()) for m in own if m.name() == "number of output rows"]
                 total += sum(int(g.get().replace(",", "")) for g in given if g.isDefined())

@@ -249,6 +249,16 @@ def test_command_line(spark, web, tmp_path):
     assert {r["vlm_caption"].split(", ")[1] for r in spark.read.parquet(f"{run}/all_captions").collect()} == {"5 tokens"}
 
 
+def test_resources_of_captioning_tasks_can_be_named(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs, "caption_dataset", lambda *_, **given: seen.append(given["profile"]))
+    plain = ["caption", "--output", str(tmp_path), "--checkpoint-dir", "x", "--captioner", "test_jobs:BySize"]
+    command.main(plain)
+    command.main([*plain, "--task-gpus", "0.5", "--task-cpus", "2"])
+    asked = seen[1].taskResources
+    assert seen[0] is None and (asked["gpu"].amount, asked["cpus"].amount) == (0.5, 2)
+
+
 def test_failures_as_empty_captions_and_an_earlier_folder(spark, dataset, tmp_path):
     earlier, out = tmp_path / "earlier", str(tmp_path / "run")
     earlier.mkdir()
