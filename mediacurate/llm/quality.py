@@ -179,38 +179,62 @@ class _Round:
 
 _VIEWS = ("text", "meta")
 _PUPIL = {"text": "meta", "meta": "text"}
-_POOL = "doc_id bigint, order double, places binary, counts binary, shape binary, named array<int>"
+_UNSEEN = {"text": ("shape", "named"), "meta": ("words",)}
+_POOL = "doc_id bigint, order double, words binary, shape binary, named array<int>"
 #: Sums over rows are of whole numbers, so that they do not depend on the order.
 _UNIT, _WEIGHT_UNIT = 1 << 16, 1 << 32
 
 
-def _pool_features(free: DataFrame) -> DataFrame:
-    """What the views see of (doc_id, order, text, source, lang), as a table in the checkpoint folder."""
+def _packed(places: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rising places as differences, and their counts, byte by byte: little more than a byte for each place."""
+    gaps = np.diff(places.astype(np.int64), prepend=0).astype("<u2")
+    planes = [gaps.view(np.uint8).reshape(-1, 2).T, counts.astype("<u4").view(np.uint8).reshape(-1, 4).T]
+    return zlib.compress(b"".join(np.ascontiguousarray(p).tobytes() for p in planes), 1)
+
+
+def _unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(body), np.uint8)
+    many = len(planes) // 6
+    gaps = np.ascontiguousarray(planes[: 2 * many].reshape(2, many).T).view("<u2").ravel()
+    counts = np.ascontiguousarray(planes[2 * many :].reshape(4, many).T).view("<u4").ravel()
+    return np.cumsum(gaps, dtype=np.int64), counts
+
+
+def _pool_features(free: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """What the views see of (doc_id, order, text, source, lang), as a table in the checkpoint folder.
+
+    Rows whose id is in ``known`` (_labelled) are left out once they are features, so that no text is shuffled.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         view = TextView()
         for batch in batches:
             made = []
             for body, where, tongue in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                places, counts = view.counts(body)
                 named = [zlib.crc32((x or "").encode()) % NAMES for x in (where, tongue)]
-                made.append((places.astype(np.uint16).tobytes(), counts.astype(np.uint32).tobytes(), shape_of(body).tobytes(), named))
-            columns = list(zip(*made, strict=True)) or [[]] * 4
-            arrays = [*(pa.array(c, pa.binary()) for c in columns[:3]), pa.array(columns[3], pa.list_(pa.int32()))]
-            names = ["doc_id", "order", "places", "counts", "shape", "named"]
+                made.append((_packed(*view.counts(body)), shape_of(body).tobytes(), named))
+            columns = list(zip(*made, strict=True)) or [[]] * 3
+            arrays = [*(pa.array(c, pa.binary()) for c in columns[:2]), pa.array(columns[2], pa.list_(pa.int32()))]
+            names = ["doc_id", "order", "words", "shape", "named"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=names)
 
-    return settle_table(free.mapInArrow(make, _POOL), "unlabelled")
-
-
-def _unpacked(batch) -> Iterator[tuple[int, float, tuple[np.ndarray, np.ndarray], np.ndarray]]:
-    """doc_id, order, words and metadata of the rows of a batch or table of features."""
-    names = ("doc_id", "order", "places", "counts", "shape", "named")
-    for doc_id, order, places, counts, shape, named in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-        row = np.zeros(SHAPES + 2 * NAMES)
-        row[:SHAPES] = np.frombuffer(shape)
-        row[SHAPES + named[0]] = row[SHAPES + NAMES + named[1]] = 1
-        words = np.frombuffer(places, np.uint16).astype(np.int64), _shares(np.frombuffer(counts, np.uint32))
+    made = free.mapInArrow(make, _POOL)
+    if known is not None:
+        made = made.join(known, F.col("doc_id") == F.col("_labelled"), "left_anti")
+    return settle_table(made, "unlabelled")
+
+
+def _unpacked(batch) -> Iterator[tuple[int, float, tuple[np.ndarray, np.ndarray] | None, np.ndarray]]:
+    """doc_id, order, words and metadata of the rows of a batch or table of features; null columns are not looked at."""
+    names = ("doc_id", "order", "words", "shape", "named")
+    for doc_id, order, packed, shape, named in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        row, words = np.zeros(SHAPES + 2 * NAMES), None
+        if shape is not None:
+            row[:SHAPES] = np.frombuffer(shape)
+            row[SHAPES + named[0]] = row[SHAPES + NAMES + named[1]] = 1
+        if packed is not None:
+            places, counts = _unpack(packed)
+            words = places, _shares(counts)
         yield doc_id, order, words, row
 
 
@@ -284,7 +308,9 @@ def _averaged(pool: DataFrame, history: list[_Round], own: tuple, centre, spread
             for v in _VIEWS:
                 said = pa.array([t[v] for t in told], pa.int32())
                 view = pa.array([v] * batch.num_rows, pa.string())
-                whole = pa.RecordBatch.from_arrays([view, said, *batch.columns], names=["view", "said", *batch.schema.names])
+                # a pupil gets what it looks at
+                own = [pa.nulls(batch.num_rows, f.type) if f.name in _UNSEEN[v] else c for f, c in zip(batch.schema, batch.columns, strict=True)]
+                whole = pa.RecordBatch.from_arrays([view, said, *own], names=["view", "said", *batch.schema.names])
                 yield whole.filter(said.is_valid())
 
     def fit(key: tuple, table: pa.Table) -> pa.Table:
@@ -382,12 +408,12 @@ def quality(
     known = labels.select(F.col("doc_id").alias("_labelled"))
     own = docs.select(F.col(doc_id).cast("bigint").alias("_pool"), *(c.alias(f"_c{i}") for i, c in enumerate(columns)))
     free = own.filter(F.col("_pool").isNotNull() & ~held_out(F.col("_pool")))
-    free = free.join(known.distinct(), F.col("_pool") == F.col("_labelled"), "left_anti")
     # Equal scores are told apart by a hash of the id, far below what a score means.
     order = (F.pmod(F.xxhash64("_pool"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.lit(1e-6)).alias("order")
     learned = [tuple(r[:4]) for r in labelled[:sample]]
     both = len({r[3] for r in learned}) == 2
-    pool = _pool_features(free.select(F.col("_pool").alias("doc_id"), order, "_c0", "_c1", "_c2")) if both else None
+    seen = free.select(F.col("_pool").alias("doc_id"), order, "_c0", "_c1", "_c2")
+    pool = _pool_features(seen, known.distinct()) if both else None
     model = train(learned, pool)
 
     # The model travels with the tasks; its size is fixed, whatever the data.

@@ -499,6 +499,18 @@ def test_the_whole_unlabelled_corpus_is_in_the_pool(spark, monkeypatch):
     assert scored.count() == 9000
 
 
+def test_features_are_packed_without_loss():
+    draw = np.random.default_rng(2)
+    for many in (0, 1, 5, 3000):
+        places = np.sort(draw.choice(quality.BUCKETS, many, replace=False))
+        counts = draw.integers(1, 2**32, many)
+        found = quality._unpack(quality._packed(places, counts))
+        assert np.array_equal(found[0], places) and np.array_equal(found[1], counts)
+    text = "some words of a text that come again and again " * 40 + " ".join(f"w{i}" for i in range(500))
+    places, counts = quality.TextView().counts(text)
+    assert len(quality._packed(places, counts)) < 2 * len(places) and np.all(np.diff(places.astype(int)) > 0)
+
+
 def test_chosen_rows_of_all_groups_count(spark):
     rows = [(i, "calm good words" if i % 2 else "bad worse words", "s", "en") for i in range(400)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
