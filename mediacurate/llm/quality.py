@@ -220,7 +220,8 @@ def _pool_features(free: DataFrame, known: DataFrame | None = None) -> DataFrame
 
     made = free.mapInArrow(make, _POOL)
     if known is not None:
-        made = made.join(known, F.col("doc_id") == F.col("_labelled"), "left_anti")
+        # the same plan at every size
+        made = made.join(known.hint("merge"), F.col("doc_id") == F.col("_labelled"), "left_anti")
     return settle_table(made, "unlabelled")
 
 
