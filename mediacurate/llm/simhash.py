@@ -7,6 +7,12 @@ emits at most one link fewer than it has members, never its pairs. A group of mo
 searched but dealt on: its bits not yet shared are again cut into six runs, of which close fingerprints agree on two. So
 groups shrink without a cap on partners: with twelve bits left, a group cannot have more than ``LIMIT`` members.
 
+``near_dedup`` is for copies with a similarity of 0.8 or more, whose fingerprints are up to some 16 of 64 bits apart: no blocks of
+bits are left that such pairs share and others do not. So it cuts the shingles themselves into blocks, by their hashes. Two texts that link
+have the same shingles in at least one of 32 blocks: at a similarity of just 0.8 a block is alike, and of three shingles or more, with a chance of
+0.28, so that all 32 fail for 3 pairs in 100,000. Texts that share blocks are connected by way of the least of them; within what they connect,
+dealt to bounded tiles, fingerprints are compared by Hamming distance and then the shingles exactly. One row per component stays.
+
 Defined results: null and wordless texts have fingerprint zero, which links like any other; a text of fewer words
 than a shingle is one shingle; a null id never becomes a component's id while the component has another; rows that repeat
 an id are kept and judged each by its text; an empty table gives no rows; other columns are ignored.
@@ -20,11 +26,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediacurate.llm.graph import components
-from mediacurate.session import settle_table
+from mediacurate.llm.jaccard_join import TILE_BYTES, TILE_SETS, Bands, clusters, set_of, tiles
+from mediacurate.session import settle_table, task_count
 
 SHINGLE = 4
 DISTANCE = 4
@@ -32,6 +40,22 @@ SEED = 42
 RUNS = 6
 LIMIT = 4096
 _SLICE = 16_384
+#: Of the corpus stage: shingle, similarity in hundredths, and bits that fingerprints of such texts differ in at most.
+NEAR_SHINGLE = 5
+PERCENT = 80
+NEAR_BITS = 24
+#: Blocks per set and band of sizes, and shingles in a block.
+KEYS = 32
+RUN = 4.5
+_ODD = 0x9E3779B97F4A7C15
+_HALF, _SHIFT = np.uint64(32), np.uint64(29)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Each number spread over all 64 bits, one to one."""
+    x = (x ^ (x >> _HALF)) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> _SHIFT)) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> _HALF)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -46,7 +70,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     starts = (ends - lengths)[: len(words) - size + 1].tolist()
     digest = xxhash.xxh64_intdigest
     pieces = zip(starts, ends[size - 1 :].tolist(), strict=True)
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in pieces), np.uint64, len(starts))
+    return majority(np.fromiter((digest(joined[a:b], SEED) for a, b in pieces), np.uint64, len(starts)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of ``hashes`` have set."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _SLICE):
         bits = np.unpackbits(hashes[at : at + _SLICE].view(np.uint8), bitorder="little").reshape(-1, 64)
@@ -203,40 +231,138 @@ def near_groups(
     )
 
 
+def blocks_of(hashes: np.ndarray, bands: Bands) -> np.ndarray:
+    """Keys of the runs of a set's hash space, for the band of its size and the next: what near copies have alike."""
+    made = []
+    for band in bands.of(len(hashes)) if len(hashes) else ():
+        if bands.runs[band] == 1:  # so few shingles that sets must be equal
+            continue
+        runs = max(2, int(bands.starts[band] / RUN))
+        least = 3 if runs > 3 else 2
+        for turn in range(-(-KEYS // runs)):
+            salt = np.uint64((band * 1_000_003 + turn + 1) * _ODD % 2**64)
+            spread = _mixed(hashes ^ salt)
+            run = ((spread >> _HALF) * np.uint64(runs)) >> _HALF
+            if runs > KEYS:
+                chosen = run < KEYS
+                spread, run = spread[chosen], run[chosen]
+            order = np.argsort(run, kind="stable")
+            run, spread = run[order], _mixed(spread[order] + salt)
+            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
+            if len(first):
+                strong = np.diff(np.append(first, len(run))) >= least
+                made.append(_mixed(np.add.reduceat(spread, first)[strong] ^ _mixed(run[first][strong] + salt)))
+    return np.concatenate(made) if made else np.zeros(0, np.uint64)
+
+
+_TAGS = "at bigint, absent boolean, id bigint, content bigint, n int, d1 bigint, d2 bigint, fp bigint, keys array<bigint>"
+
+
+def _tagged(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int) -> DataFrame:
+    """The rows as they are, each with a number, its shingles' size and digest, their fingerprint and blocks."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, at = Bands(percent), TaskContext.get().partitionId() << 33
+        for batch in batches:
+            contents, sizes, digests, prints, keys = [], [], [], [], []
+            for value in batch.column(2):
+                whole = value.as_py() or ""
+                hashes = set_of(whole, shingle)
+                contents.append(xxhash.xxh3_64_intdigest(whole))
+                sizes.append(len(hashes))
+                digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                prints.append(majority(hashes))
+                keys.append(blocks_of(hashes, bands).view(np.int64))
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            ids = batch.column(1)
+            columns = [
+                pa.array(np.arange(at, at + batch.num_rows)), ids.is_null(), ids.fill_null(0),
+                pa.array(np.array(contents, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(halves[:, 0]),
+                pa.array(halves[:, 1]), pa.array(np.array(prints, np.uint64).view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.column(0),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            at += batch.num_rows
+
+    whole = docs.select(F.struct("*").alias("_row"), F.col(doc_id).cast("bigint"), F.col(text).cast("string"))
+    schema = f"{_TAGS}, _row {whole.schema[0].dataType.simpleString()}"
+    names = [*(c.split()[0] for c in _TAGS.split(", ")), "_row"]
+    return settle_table(whole.mapInArrow(make, schema), "tagged")
+
+
+def _spanning(sets: list[np.ndarray], prints: np.ndarray, percent: int, distance: int) -> list[tuple[int, int]]:
+    """Places (a, b) of links that connect all sets which chains of links connect: close fingerprints, then the shingles."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    links, left = [], np.arange(len(sets))
+    while len(left) > 1:
+        waiting, left = [left[0]], left[1:]
+        while waiting and len(left):
+            one = waiting.pop()
+            may = np.bitwise_count(prints[left] ^ prints[one]) <= distance
+            may &= 100 * np.minimum(sizes[left], sizes[one]) >= percent * np.maximum(sizes[left], sizes[one])
+            for place in np.flatnonzero(may).tolist():
+                other, mine = sets[left[place]], sets[one]
+                at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+                both = np.count_nonzero(mine[at] == other)
+                may[place] = 100 * both >= percent * (len(mine) + len(other) - both)
+            found, left = left[may], left[~may]
+            links += [(int(one), int(b)) for b in found]
+            waiting += found.tolist()
+    return links
+
+
+def _verify(batches: Iterator[pa.RecordBatch], shingle: int, percent: int, distance: int) -> Iterator[pa.RecordBatch]:
+    """Rows (tile, at, fp, text) in the order of their tiles, in; links (a, b) out."""
+    tile, nodes, prints, sets = None, [], [], []
+
+    def ended() -> Iterator[pa.RecordBatch]:
+        found = _spanning(sets, np.array(prints, np.int64).view(np.uint64), percent, distance)
+        if found:
+            a, b = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in x], pa.int64()) for x in (a, b)], names=["a", "b"])
+
+    for batch in batches:
+        for mine, at, fp, text in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+            if mine != tile:
+                yield from ended()
+                tile, nodes, prints, sets = mine, [], [], []
+            nodes.append(at)
+            prints.append(fp)
+            sets.append(set_of(text.as_py(), shingle))
+    yield from ended()
+
+
 def near_dedup(
     docs: DataFrame,
     text: str = "text",
     doc_id: str = "doc_id",
-    shingle: int = SHINGLE,
-    distance: int = DISTANCE,
-    limit: int = LIMIT,
+    shingle: int = NEAR_SHINGLE,
+    percent: int = PERCENT,
+    distance: int = NEAR_BITS,
+    tile_bytes: int = TILE_BYTES,
+    tile_sets: int = TILE_SETS,
 ) -> DataFrame:
     """One row of ``docs`` per component, as it is: the one with the smallest id.
 
-    Between rows of one id in a component the least fingerprint decides, then the text that sorts first.
+    Rows link when the distinct shingles they share are ``percent`` hundredths or more of those that either has; rows without
+    words are alike. A null id goes before any other. Between rows of one id in a component their texts' hashes decide, and
+    rows that are the same in both are one.
     """
-
-    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(0)
-            texts = rows.field(rows.type.get_field_index(text))
-            made = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([rows, pa.array(made.view(np.int64))], names=["_row", "fp"])
-
-    whole = docs.select(F.struct("*").alias("_row"))
-    schema = f"_row {whole.schema[0].dataType.simpleString()}, fp bigint"
-    tagged = settle_table(whole.mapInArrow(tag, schema), "tagged")
-    given = F.col("_row")[doc_id]
-    keys = ["fp", "_absent", "_id"]  # none of them null, so that join and window can share one exchange
-    keyed = tagged.withColumns({"_absent": given.isNull(), "_id": F.coalesce(given.cast("bigint"), F.lit(0))})
-    chosen = (
-        keyed.select(*keys)
-        .distinct()
-        .join(_rooted(tagged, distance, limit), "fp")
-        .groupBy("root")
-        .agg(F.min(F.struct("_absent", "_id", "fp")).alias("_best"))
-        .select("_best.*")
-    )
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_row")[text]))
-    kept = keyed.join(chosen, keys, "left_semi").withColumn("_place", place).filter("_place = 1")
-    return kept.select("_row.*")
+    spark = docs.sparkSession
+    tagged = _tagged(docs, text, doc_id, shingle, percent)
+    best = F.min(F.struct("absent", "id", "content", "at")).alias("best")
+    chosen = settle_table(tagged.groupBy("n", "d1", "d2").agg(F.min("at").alias("at"), best), "distinct")
+    keyed = tagged.filter("size(keys) > 0").select("at", "keys").join(chosen.select("at"), "at", "left_semi")
+    roots = clusters(keyed).withColumnRenamed("node", "at")
+    members = settle_table(chosen.select("at", "n").join(roots, "at"), "members")
+    wanted = tagged.select("at", "fp", F.col("_row")[text].cast("string").alias("text"))
+    placed = tiles(members, percent, tile_bytes, tile_sets).join(wanted, "at").select("tile", "at", "fp", "text")
+    tasks = max(task_count(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = placed.repartition(tasks, "tile").sortWithinPartitions("tile")
+    found = dealt.mapInArrow(lambda batches: _verify(batches, shingle, percent, distance), "a bigint, b bigint")
+    joined = components(settle_table(found, "joined")).withColumnRenamed("node", "at")
+    rooted = chosen.join(joined, "at", "left").groupBy(F.coalesce("root", "at").alias("root"))
+    winners = rooted.agg(F.min("best").alias("best")).select("best.at")
+    return tagged.join(winners, "at", "left_semi").select("_row.*")

@@ -16,6 +16,7 @@ from mediacurate.llm import (
     decontaminate,
     exact_dedup,
     graph,
+    jaccard_join,
     line_dedup,
     mixing,
     oracle,
@@ -352,10 +353,84 @@ GROUPS = ("doc_id", "fingerprint", "component_id")
 def test_near_groups(docs, nothing):
     assert got(simhash.near_groups(docs), *GROUPS) == plain_groups(ROWS)
     assert simhash.near_groups(nothing).count() == 0
-    kept = simhash.near_dedup(docs)
-    assert kept.columns == docs.columns and simhash.near_dedup(nothing).count() == 0
-    ids = got(kept, "doc_id")
-    assert sorted(i for (i,) in ids if i is not None) == sorted({c for *_, c in plain_groups(ROWS) if c is not None}) and len(ids) == len(set(ids))
+
+
+def plain_kept(rows, size=5, percent=80):
+    """The smallest id of each group of rows that similar shingles link; a group without an id keeps a null."""
+    sets = []
+    for r in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in r[1] or "")
+        words = [w for w in low.translate(str.maketrans(WHITE, " " * 6)).split(" ") if w]
+        sets.append(frozenset(" ".join(words[at : at + size]) for at in range(max(1, len(words) - size + 1))) if words else frozenset())
+    root = {s: s for s in sets}
+
+    def find(s):
+        while root[s] != s:
+            s = root[s]
+        return s
+
+    ordered = sorted(root, key=len)
+    for place, a in enumerate(ordered):
+        for b in ordered[place + 1 :]:
+            if 100 * len(a) < percent * len(b):
+                break
+            both = len(a & b)
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                root[find(a)] = find(b)
+    groups = {}
+    for r, s in zip(rows, sets, strict=True):
+        groups.setdefault(find(s), []).append(r[0])
+    return sorted((min((i for i in ids if i is not None), default=None) for ids in groups.values()), key=repr)
+
+
+@pytest.mark.parametrize("limits", [{}, {"tile_bytes": 4000, "tile_sets": 3}])
+def test_near_dedup(docs, nothing, limits):
+    kept = simhash.near_dedup(docs, **limits)
+    assert kept.columns == docs.columns and simhash.near_dedup(nothing, **limits).count() == 0
+    assert [i for (i,) in got(kept, "doc_id")] == plain_kept(ROWS)
+    whole = {tuple(r) for r in kept.collect()}
+    assert whole <= set(ROWS)
+
+
+def test_near_dedup_of_edited_copies_and_a_passage_that_a_third_shares(spark):
+    draw = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = []
+    for n in [1, 4, 5, 8, 9, 10, 12, 15, 20, 30, 60, 150, 400, 1500] * 2:
+        base = [draw.choice(vocabulary) for _ in range(n)]
+        for _ in range(10):
+            copy = list(base)
+            for _ in range(draw.randint(0, max(1, n // 25))):
+                at = draw.randrange(len(copy))
+                copy[at : at + draw.randint(0, 1)] = [draw.choice(vocabulary)] * draw.randint(0, 1)
+                copy = copy or ["w"]
+            texts.append(copy)
+    shared = [draw.choice(vocabulary) for _ in range(60)]
+    texts += [shared + [draw.choice(vocabulary) for _ in range(tail)] for tail in (3, 8, 14, 60) for _ in range(35)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    draw.shuffle(rows)
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    assert [i for (i,) in got(kept, "doc_id")] == plain_kept(rows)
+
+
+def test_near_copies_of_every_size_share_a_block():
+    draw, bands = random.Random(3), jaccard_join.Bands(simhash.PERCENT)
+    found = pairs = 0
+    for n in [20, 33, 60, 100, 150, 700] * 80:
+        words, last = [str(draw.random()) for _ in range(n)], None
+        edited = list(words)
+        while True:  # as many replaced words as the similarity allows
+            edited[draw.randrange(n)] = str(draw.random())
+            a, b = (jaccard_join.set_of(" ".join(x), 5) for x in (words, edited))
+            both = np.intersect1d(a, b).size
+            if 100 * both < simhash.PERCENT * (len(a) + len(b) - both):
+                break
+            last = b
+        if last is not None:
+            pairs += 1
+            near = (simhash.majority(a) ^ simhash.majority(last)).bit_count() <= simhash.NEAR_BITS
+            found += near and np.intersect1d(simhash.blocks_of(a, bands), simhash.blocks_of(last, bands)).size > 0
+    assert pairs > 250 and found >= 0.99 * pairs
 
 
 def test_near_query_on_the_given_table(spark, sf_dir):
@@ -481,6 +556,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert sorted(ids) == [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 3 == 1]
 
 
+def test_pipeline_drops_toxic_rows(spark):
+    labels = queries.table(spark, "/root/testdata/sf0.01", "labels").select("doc_id", "toxic")
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.01").select("doc_id").collect()}
+    given = {r.doc_id: r.toxic for r in labels.collect()}
+    toxic, clean = ({i for i, t in given.items() if t == mark} for mark in (1, 0))
+    assert len(toxic - kept) >= 0.6 * len(toxic) and len(clean & kept) >= 0.98 * len(clean)
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     auc, accuracy = judged(spark, queries.op10_quality(spark, sf), "quality", sf)
@@ -673,7 +757,7 @@ def test_pipeline_stage_by_stage(spark, sf_dir, tmp_path):
     limit = toxicity.THRESHOLD if not model.thresholds else min(model.thresholds.values())
     clean = {r[0] for r in rows["toxicity"] if model.score(words.of(r[1]), products) < limit}
     assert clean <= set(after["toxicity"])
-    assert sorted(after["near_dedup"]) == sorted({c for *_, c in plain_groups(rows["near_dedup"])})
+    assert sorted(after["near_dedup"]) == plain_kept(rows["near_dedup"])
     items = [tuple(r) for r in queries.table(spark, sf_dir, "benchmark").select("item_id", "text").collect()]
     assert sorted(after["decontamination"]) == sorted(h[0] for h in plain_hits(rows["decontamination"], items) if not h[-1])
     assert sorted(after["mixing"]) == sorted(after["decontamination"])
