@@ -35,7 +35,7 @@ from mediacurate.worker import worker_table
 
 FILE_BYTES = 128 << 20
 #: Words kept by a task's memory of encodings, and the longest one kept.
-KNOWN_WORDS, KNOWN_LENGTH = 1_000_000, 40
+KNOWN_WORDS, KNOWN_LENGTH = 200_000, 40
 #: Words whose letters have one lower case, in composed form, and marks that no other rule of the tokenizer takes.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,30})([.,;:!?)*$%&]{0,4})")
 #: Fixed value: the rule by which the public vocabulary's tokenizer finds the pieces of a text.
