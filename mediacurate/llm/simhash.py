@@ -7,11 +7,12 @@ emits at most one link fewer than it has members, never its pairs. A group of mo
 searched but dealt on: its bits not yet shared are again cut into six runs, of which close fingerprints agree on two. So
 groups shrink without a cap on partners: with twelve bits left, a group cannot have more than ``LIMIT`` members.
 
-``near_dedup`` is for copies with a similarity of 0.8 or more, whose fingerprints are up to some 16 of 64 bits apart: no blocks of
-bits are left that such pairs share and others do not. So it cuts the shingles themselves into blocks, by their hashes. Two texts that link
-have the same shingles in at least one of 32 blocks: at a similarity of just 0.8 a block is alike, and of three shingles or more, with a chance of
-0.28, so that all 32 fail for 3 pairs in 100,000. Texts that share blocks are connected by way of the least of them; within what they connect,
-dealt to bounded tiles, fingerprints are compared by Hamming distance and then the shingles exactly. One row per component stays.
+``near_dedup`` is for copies with a similarity of 0.8 or more, whose fingerprints differ in some 15 of 100 bits, too many for 64 bits to leave
+blocks that such pairs share and others do not. So its fingerprints are of the same kind but wider, and are cut into blocks of as many bits as
+leave groups of about ``GROUP`` rows, in as many blocks as miss a pair with a chance of ``MISS`` (each bit being alike with a chance of
+``ALIKE``). Rows with equal bits in a block meet in a group, where fingerprints are compared by Hamming distance; what close ones connect is
+dealt to bounded tiles, and there the shingles are compared exactly. A group beyond ``LIMIT`` is dealt to parts, each two of which meet. One
+row per component stays.
 
 Defined results: null and wordless texts have fingerprint zero, which links like any other; a text of fewer words
 than a shingle is one shingle; a null id never becomes a component's id while the component has another; rows that repeat
@@ -20,6 +21,7 @@ an id are kept and judged each by its text; an empty table gives no rows; other
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediacurate.llm.graph import components
-from mediacurate.llm.jaccard_join import TILE_BYTES, TILE_SETS, Bands, clusters, set_of, tiles
+from mediacurate.llm.jaccard_join import TILE_BYTES, TILE_SETS, Bands, set_of, tiles
 from mediacurate.session import settle_table, task_count
 
 SHINGLE = 4
@@ -40,15 +42,18 @@ SEED = 42
 RUNS = 6
 LIMIT = 4096
 _SLICE = 16_384
-#: Of the corpus stage: shingle, similarity in hundredths, and bits that fingerprints of such texts differ in at most.
+#: Of the corpus stage: shingle, similarity in hundredths, and bits of each 64 that fingerprints of such texts differ in at most.
 NEAR_SHINGLE = 5
 PERCENT = 80
-NEAR_BITS = 24
-#: Blocks per set and band of sizes, and shingles in a block.
-KEYS = 32
-RUN = 4.5
+NEAR_BITS = 20
+#: Words of a wide fingerprint that distances are taken from.
+COMPARED = 3
+#: Rows in a group that blocks are to leave, chance that a bit of two near copies is alike, and that all blocks miss a pair.
+GROUP, ALIKE, MISS = 256, 0.84, 1e-5
+_FEWEST_BITS = 4
 _ODD = 0x9E3779B97F4A7C15
 _HALF, _SHIFT = np.uint64(32), np.uint64(29)
+_ROWS = 255  # bits of so many hashes are added up in a byte
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -231,57 +236,72 @@ def near_groups(
     )
 
 
-def blocks_of(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the runs of a set's hash space, for the band of its size and the next: what near copies have alike."""
-    made = []
-    for band in bands.of(len(hashes)) if len(hashes) else ():
-        if bands.runs[band] == 1:  # so few shingles that sets must be equal
-            continue
-        runs = max(2, int(bands.starts[band] / RUN))
-        least = 3 if runs > 3 else 2
-        for turn in range(-(-KEYS // runs)):
-            salt = np.uint64((band * 1_000_003 + turn + 1) * _ODD % 2**64)
-            spread = _mixed(hashes ^ salt)
-            run = ((spread >> _HALF) * np.uint64(runs)) >> _HALF
-            if runs > KEYS:
-                chosen = run < KEYS
-                spread, run = spread[chosen], run[chosen]
-            order = np.argsort(run, kind="stable")
-            run, spread = run[order], _mixed(spread[order] + salt)
-            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
-            if len(first):
-                strong = np.diff(np.append(first, len(run))) >= least
-                made.append(_mixed(np.add.reduceat(spread, first)[strong] ^ _mixed(run[first][strong] + salt)))
-    return np.concatenate(made) if made else np.zeros(0, np.uint64)
-
-
-_TAGS = "at bigint, absent boolean, id bigint, content bigint, n int, d1 bigint, d2 bigint, fp bigint, keys array<bigint>"
-
-
-def _tagged(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int) -> DataFrame:
-    """The rows as they are, each with a number, its shingles' size and digest, their fingerprint and blocks."""
+def block_bits(rows: int) -> int:
+    """Bits of a block that leave groups of about ``GROUP`` of so many rows."""
+    return max(_FEWEST_BITS, math.ceil(math.log2(max(1, rows) / GROUP)))
+
+
+def block_count(bits: int) -> int:
+    """Blocks of so many bits that near copies need."""
+    return math.ceil(math.log(MISS) / math.log1p(-(ALIKE**bits)))
+
+
+def wide_fingerprint(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The SimHash of a set's hashes over as many words as its blocks need, each hash being spread anew for each word."""
+    words = max(COMPARED, -(-block_count(bits) * bits // 64))
+    salts = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(_ODD)
+    counts = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), _ROWS):
+        spread = _mixed(hashes[at : at + _ROWS, None] ^ salts)
+        counts += np.unpackbits(spread.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)
+
+
+def block_keys(prints: np.ndarray, bits: int) -> np.ndarray:
+    """A key for each block of each row of wide fingerprints: its place and its bits."""
+    many = block_count(bits)
+    flat = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, : many * bits].reshape(len(prints), many, bits)
+    return (flat @ (1 << np.arange(bits))) + (np.arange(many) << bits)
+
+
+def has_partners(size: int, bands: Bands) -> bool:
+    """Whether a set of that size can be near one that is not equal to it."""
+    return size > 0 and any(bands.runs[band] > 1 for band in bands.of(size))
+
+
+def blocks_of(hashes: np.ndarray, bands: Bands, bits: int = _FEWEST_BITS) -> np.ndarray:
+    """Keys of the blocks of a set's wide fingerprint, none if only equal sets are near it."""
+    if not has_partners(len(hashes), bands):
+        return np.zeros(0, np.int64)
+    return block_keys(wide_fingerprint(hashes, bits)[None], bits)[0]
+
+
+_TAGS = "at bigint, absent boolean, id bigint, content bigint, n int, d1 bigint, d2 bigint, prints array<bigint>"
+
+
+def _tagged(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int, bits: int) -> DataFrame:
+    """The rows as they are, each with a number, its shingles' size and digest, and their wide fingerprint."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, at = Bands(percent), TaskContext.get().partitionId() << 33
         for batch in batches:
-            contents, sizes, digests, prints, keys = [], [], [], [], []
+            contents, sizes, digests, prints = [], [], [], []
             for value in batch.column(2):
                 whole = value.as_py() or ""
                 hashes = set_of(whole, shingle)
                 contents.append(xxhash.xxh3_64_intdigest(whole))
                 sizes.append(len(hashes))
                 digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                prints.append(majority(hashes))
-                keys.append(blocks_of(hashes, bands).view(np.int64))
+                wanted = has_partners(len(hashes), bands)
+                prints.append(wide_fingerprint(hashes, bits).view(np.int64) if wanted else np.zeros(0, np.int64))
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            ends = np.concatenate([[0], np.cumsum([len(p) for p in prints])]).astype(np.int32)
+            flat = np.concatenate(prints) if prints else np.zeros(0, np.int64)
             ids = batch.column(1)
             columns = [
                 pa.array(np.arange(at, at + batch.num_rows)), ids.is_null(), ids.fill_null(0),
                 pa.array(np.array(contents, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(halves[:, 0]),
-                pa.array(halves[:, 1]), pa.array(np.array(prints, np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.column(0),
+                pa.array(halves[:, 1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.column(0),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
             at += batch.num_rows
@@ -292,6 +312,92 @@ def _tagged(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int)
     return settle_table(whole.mapInArrow(make, schema), "tagged")
 
 
+_PRINTS = [f"p{place}" for place in range(COMPARED)]
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows (at, prints) in; a row (key, at, the words that are compared) for each block out."""
+    step = 1 + (1 << 16) // block_count(bits)
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            some = batch.slice(start, step)
+            prints = some.column(1).flatten().to_numpy().view(np.uint64).reshape(some.num_rows, -1)
+            keys = block_keys(prints, bits)
+            columns = [some.column(0).to_numpy(), *prints.view(np.int64)[:, :COMPARED].T]
+            arrays = [pa.array(keys.ravel()), *(pa.array(np.repeat(c, keys.shape[1])) for c in columns)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "at", *_PRINTS])
+
+
+def _close_pairs(prints: np.ndarray, distance: int, step: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that connect all close rows of ``prints`` which chains of close rows connect."""
+    words, ends_a, ends_b, found = np.ascontiguousarray(prints.T), [], [], 0
+    for at in range(0, len(prints) - 1, step):
+        differ = np.bitwise_count(words[0, at : at + step, None] ^ words[0, at:])  # up to 192, within a byte
+        for word in words[1:]:
+            differ += np.bitwise_count(word[at : at + step, None] ^ word[at:])
+        a, b = np.nonzero(differ <= distance)
+        later = a < b
+        ends_a.append(a[later] + at)
+        ends_b.append(b[later] + at)
+        found += len(ends_a[-1])
+        if found > 4 * len(prints):  # many copies: one link each will do
+            return _grown(prints, distance)
+    return np.concatenate(ends_a), np.concatenate(ends_b)
+
+
+def _grown(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same by growing clusters: one link fewer than rows at most."""
+    ends_a, ends_b, left = [], [], np.arange(len(prints))
+    while len(left) > 1:
+        waiting, left = [left[0]], left[1:]
+        while waiting and len(left):
+            one = waiting.pop()
+            close = np.bitwise_count(prints[left] ^ prints[one]).sum(axis=1, dtype=np.int64) <= distance
+            found, left = left[close], left[~close]
+            ends_a.append(np.full(len(found), one))
+            ends_b.append(found)
+            waiting += found.tolist()
+    return np.concatenate(ends_a), np.concatenate(ends_b)
+
+
+def _meet(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """Rows (key, at, the words that are compared) in the order of their keys, in; links (a, b) of close ones out."""
+    held = np.zeros((2 + COMPARED, 0), np.int64)
+
+    def links_of(block: np.ndarray, bounds: list[int]) -> Iterator[pa.RecordBatch]:
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start, end in zip(bounds, bounds[1:]):
+            if end - start > 1:
+                a, b = _close_pairs(block[2:, start:end].T.view(np.uint64), distance)
+                found_a.append(block[1, start + a])
+                found_b.append(block[1, start + b])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found_a, found_b)], names=["a", "b"])
+
+    for batch in batches:
+        block = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        bounds = [0, *(np.flatnonzero(block[0, 1:] != block[0, :-1]) + 1).tolist()]
+        yield from links_of(block, bounds)  # but for the last group, which may go on
+        held = block[:, bounds[-1] :].copy()
+    yield from links_of(held, [0, held.shape[1]])
+
+
+def near_links(tagged: DataFrame, bits: int, distance: int = NEAR_BITS, limit: int = LIMIT) -> DataFrame:
+    """Links (a, b) of rows (at, prints) that share a block and whose fingerprints are close, enough to connect all such rows."""
+    spark, words = tagged.sparkSession, ", ".join(f"{p} bigint" for p in _PRINTS)
+    rows = tagged.mapInArrow(lambda batches: _dealt(batches, bits), f"key bigint, at bigint, {words}")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
+    large = settle_table(sizes.select("key", F.ceil(F.col("rows") * 2 / limit).cast("int").alias("parts")), "large")
+    if not large.isEmpty():
+        mine = F.pmod(F.xxhash64("at"), F.col("parts")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+        parted = rows.join(large, "key", "left").select("*", mine.alias("mine"), other.alias("other"))
+        of_two = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
+        rows = parted.select(F.when(F.col("mine").isNull(), F.col("key")).otherwise(of_two).alias("key"), "at", *_PRINTS)
+    tasks = max(task_count(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartition(tasks, "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(lambda batches: _meet(batches, distance * COMPARED), "a bigint, b bigint")
+
+
 def _spanning(sets: list[np.ndarray], prints: np.ndarray, percent: int, distance: int) -> list[tuple[int, int]]:
     """Places (a, b) of links that connect all sets which chains of links connect: close fingerprints, then the shingles."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -300,7 +406,7 @@ def _spanning(sets: list[np.ndarray], prints: np.ndarray, percent: int, distance
         waiting, left = [left[0]], left[1:]
         while waiting and len(left):
             one = waiting.pop()
-            may = np.bitwise_count(prints[left] ^ prints[one]) <= distance
+            may = np.bitwise_count(prints[left] ^ prints[one]).sum(axis=1, dtype=np.int64) <= distance
             may &= 100 * np.minimum(sizes[left], sizes[one]) >= percent * np.maximum(sizes[left], sizes[one])
             for place in np.flatnonzero(may).tolist():
                 other, mine = sets[left[place]], sets[one]
@@ -314,22 +420,23 @@ def _spanning(sets: list[np.ndarray], prints: np.ndarray, percent: int, distance
 
 
 def _verify(batches: Iterator[pa.RecordBatch], shingle: int, percent: int, distance: int) -> Iterator[pa.RecordBatch]:
-    """Rows (tile, at, fp, text) in the order of their tiles, in; links (a, b) out."""
+    """Rows (tile, at, the words that are compared, text) in the order of their tiles, in; links (a, b) out."""
     tile, nodes, prints, sets = None, [], [], []
 
     def ended() -> Iterator[pa.RecordBatch]:
-        found = _spanning(sets, np.array(prints, np.int64).view(np.uint64), percent, distance)
+        found = _spanning(sets, np.array(prints, np.int64).reshape(-1, COMPARED).view(np.uint64), percent, distance)
         if found:
             a, b = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in x], pa.int64()) for x in (a, b)], names=["a", "b"])
 
     for batch in batches:
-        for mine, at, fp, text in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+        *plain, texts = batch.columns
+        for mine, at, *words, text in zip(*(c.to_pylist() for c in plain), texts, strict=True):
             if mine != tile:
                 yield from ended()
                 tile, nodes, prints, sets = mine, [], [], []
             nodes.append(at)
-            prints.append(fp)
+            prints.append(words)
             sets.append(set_of(text.as_py(), shingle))
     yield from ended()
 
@@ -351,17 +458,19 @@ def near_dedup(
     rows that are the same in both are one.
     """
     spark = docs.sparkSession
-    tagged = _tagged(docs, text, doc_id, shingle, percent)
+    bits = block_bits(docs.count())
+    tagged = _tagged(docs, text, doc_id, shingle, percent, bits)
     best = F.min(F.struct("absent", "id", "content", "at")).alias("best")
     chosen = settle_table(tagged.groupBy("n", "d1", "d2").agg(F.min("at").alias("at"), best), "distinct")
-    keyed = tagged.filter("size(keys) > 0").select("at", "keys").join(chosen.select("at"), "at", "left_semi")
-    roots = clusters(keyed).withColumnRenamed("node", "at")
+    printed = tagged.filter("size(prints) > 0").select("at", "prints").join(chosen.select("at"), "at", "left_semi")
+    roots = components(near_links(printed, bits, distance)).withColumnRenamed("node", "at")
     members = settle_table(chosen.select("at", "n").join(roots, "at"), "members")
-    wanted = tagged.select("at", "fp", F.col("_row")[text].cast("string").alias("text"))
-    placed = tiles(members, percent, tile_bytes, tile_sets).join(wanted, "at").select("tile", "at", "fp", "text")
+    words = [F.get("prints", F.lit(place)).alias(name) for place, name in enumerate(_PRINTS)]
+    wanted = tagged.select("at", *words, F.col("_row")[text].cast("string").alias("text"))
+    placed = tiles(members, percent, tile_bytes, tile_sets).join(wanted, "at").select("tile", "at", *_PRINTS, "text")
     tasks = max(task_count(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = placed.repartition(tasks, "tile").sortWithinPartitions("tile")
-    found = dealt.mapInArrow(lambda batches: _verify(batches, shingle, percent, distance), "a bigint, b bigint")
+    found = dealt.mapInArrow(lambda batches: _verify(batches, shingle, percent, distance * COMPARED), "a bigint, b bigint")
     joined = components(settle_table(found, "joined")).withColumnRenamed("node", "at")
     rooted = chosen.join(joined, "at", "left").groupBy(F.coalesce("root", "at").alias("root"))
     winners = rooted.agg(F.min("best").alias("best")).select("best.at")

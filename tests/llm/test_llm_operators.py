@@ -433,6 +433,45 @@ def test_near_copies_of_every_size_share_a_block():
     assert pairs > 250 and found >= 0.99 * pairs
 
 
+def test_blocks_of_near_copies_are_cut_from_their_fingerprints():
+    hashes = np.unique(np.random.default_rng(4).integers(0, 2**64, 21, dtype=np.uint64))
+    bands = jaccard_join.Bands(simhash.PERCENT)
+    whole = simhash.wide_fingerprint(hashes, 8)
+    keys = simhash.blocks_of(hashes, bands, 8)
+    assert np.array_equal(keys, simhash.block_keys(whole[None], 8)[0]) and len(np.unique(keys)) == simhash.block_count(8)
+    assert np.array_equal(simhash.blocks_of(np.repeat(hashes, 3), bands), simhash.blocks_of(hashes, bands))  # one fingerprint
+    changed = whole.copy()
+    changed[0] ^= np.uint64(1)
+    assert (simhash.block_keys(changed[None], 8)[0] != keys).tolist() == [True] + [False] * (len(keys) - 1)
+    assert not simhash.blocks_of(hashes[:3], bands).size
+
+
+@pytest.mark.parametrize("limit", [4, 40, 4096])
+def test_close_wide_fingerprints_are_linked_however_large_their_groups(spark, limit):
+    draw, bits = np.random.default_rng(limit), 4
+    rows = []
+    for centre in draw.integers(0, 2**64, (6, 3), dtype=np.uint64):
+        for _ in range(40):
+            change = np.packbits(draw.random(192) < draw.random() * 0.3).view(np.uint64)
+            rows.append(centre ^ change)
+    table = spark.createDataFrame([(i, r.view(np.int64).tolist()) for i, r in enumerate(rows)], "at bigint, prints array<bigint>")
+    root = list(range(len(rows)))
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    keys = simhash.block_keys(np.stack(rows), bits)
+    for a in range(len(rows)):
+        for b in range(a):
+            if np.bitwise_count(rows[a] ^ rows[b]).sum() <= 3 * simhash.NEAR_BITS and (keys[a] == keys[b]).any():
+                root[find(a)] = find(b)
+    roots = {r.node: r.root for r in graph.components(simhash.near_links(table.repartition(3), bits, limit=limit)).collect()}
+    pairs = {(find(v), roots.get(v, v)) for v in range(len(rows))}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
 def test_near_query_on_the_given_table(spark, sf_dir):
     rows = [tuple(r) for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     assert got(queries.op5_simhash(spark, sf_dir), *GROUPS) == plain_groups(rows)
