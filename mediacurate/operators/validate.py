@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
@@ -26,10 +26,13 @@ def _verdict(df: DataFrame, error: Column, found: Column, level: Column) -> Data
     )
 
 
-@F.pandas_udf(_WALKED)
-def _inspected(content: pd.Series) -> pd.DataFrame:
-    found = [containers.inspect(containers.Held(bytes(body or b""))) for body in content]
-    return pd.DataFrame(found, columns=["format", "error"], dtype=object)
+@F.arrow_udf(_WALKED)
+def _inspected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Payloads are taken out of their batch one by one, so a task holds one batch and one payload."""
+    for content in batches:
+        found = [containers.inspect(containers.Held(body.as_py() or b"")) for body in content]
+        columns = [pa.array([told[place] for told in found], pa.string()) for place in (0, 1)]
+        yield pa.StructArray.from_arrays(columns, names=["format", "error"])
 
 
 def check_content(df: DataFrame, content: str = "content") -> DataFrame:

@@ -1,11 +1,13 @@
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from conftest import bad_checksum, in_riff, jpeg, png, put, tuples, webp, with_thumbnail
 from pyspark.sql import functions as F
 
 from mediacurate.functions import signatures
 from mediacurate.operators import validate as validation
+from mediacurate.plans import views
 from mediacurate.sources import assets as listing
 from mediacurate.sources import containers
 
@@ -256,3 +258,12 @@ def test_html(spark):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
     errors = [r["error"] for r in validation.check_html(df).orderBy("i").collect()]
     assert errors == [None, None, "bad_head", "bad_tail", "missing_or_empty", "missing_or_empty"]
+
+
+def test_pictures_are_drawn_and_walked_some_at_a_time():
+    texts, damages = [f"text {i}" for i in range(200)], ["none", "cut"] * 100
+    drawn = list(views.render_picture.func(iter([(pa.array(texts), pa.array(damages))])))
+    assert len(drawn) > 1 and max(map(len, drawn)) <= views.PICTURES
+    walked = pa.concat_arrays(list(validation._inspected.func(iter(drawn)))).to_pylist()
+    assert [w["format"] for w in walked] == ["png"] * 200
+    assert [w["error"] is None for w in walked] == [True, False] * 100
