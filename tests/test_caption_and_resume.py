@@ -250,3 +250,26 @@ def test_stream_first_sight_and_rows_without_a_key(spark, tmp_path):
     assert tuples(taken, "key", "caption") == [("a", "second"), ("b", "z")]
     noted = spark.read.parquet(target + "_audit").filter("error IS NOT NULL").collect()
     assert [(r["path"].rsplit("/", 1)[1], r["error"]) for r in noted] == [("00000.parquet", "2 rows without a key")]
+
+
+class CountingCaptioner:
+    """Tells how many of its captions are still held when one is asked for."""
+
+    def setup(self, options):
+        self._made = []
+
+    def caption(self, batch):
+        import weakref
+
+        held = sum(one() is not None for one in self._made)
+        made = [type("Told", (str,), {})(held) for _ in batch]
+        self._made += [weakref.ref(one) for one in made]
+        return made
+
+
+def test_captions_leave_the_worker_while_their_batch_goes_on(spark):
+    rows = spark.range(0, 2000, 1, 1).select(F.col("id").cast("string").alias("text"))
+    told = caption(rows, CountingCaptioner(), "text", options=CaptionOptions(batch_size=7)).select("text", "vlm_caption")
+    found = told.collect()
+    assert [r.text for r in found] == [str(i) for i in range(2000)]
+    assert max(int(r.vlm_caption) for r in found) < 1000
