@@ -225,3 +225,24 @@ def test_no_shards_at_all(spark, tmp_path):
     rows, audit = unify_shards(spark, str(tmp_path))
     assert rows.count() == 0 and audit.count() == 0
     assert set(SHARD_META.names) <= set(rows.columns)
+
+
+def test_rows_are_not_shuffled_for_the_numbers_of_their_files(spark, tmp_path, monkeypatch):
+    from mediacurate.sources import shards
+
+    for shard in ("00000", "00001"):
+        spark.createDataFrame([(f"{shard}0001", "a caption")], "key string, caption string").write.parquet(f"{tmp_path}/shard={shard}")
+    plans, settle = {}, shards.settle_table
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, label)
+
+    monkeypatch.setattr(shards, "settle_table", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, _ = unify_shards(spark, str(tmp_path))
+        assert sorted(r.key for r in rows.select("key").collect()) == ["000000001", "000010001"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plans["shard-rows"]
