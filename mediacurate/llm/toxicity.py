@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mediacurate.worker import forget_tables
+
 SAMPLE = 6000
 #: Texts longer than this many words are not learned from in one go but in pieces of it, the whole text counting.
 PIECE = 4096
@@ -336,6 +338,7 @@ def toxicity(
 
     # The model travels with the tasks; its size is fixed, whatever the data.
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tables()  # the words of an earlier run's token records
         words, products = model.words(), model.products()
         for batch in batches:
             made = pa.array([model.score(words.of(t.as_py()), products) for t in batch.column(1)], pa.float64())
@@ -370,6 +373,7 @@ def without_toxic(
     model = fitted(docs, labels, text, doc_id, lang, label, sample)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tables()  # the words of an earlier run's token records
         words, products = model.words(), model.products()
         for batch in batches:
             limits = [model.thresholds.get(tongue, threshold) for tongue in batch.column(lang).to_pylist()]

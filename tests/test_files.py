@@ -45,3 +45,11 @@ def test_clients_do_not_travel():
     sent = cloudpickle.loads(cloudpickle.dumps(files.locate))
     assert sent("mock:///x/y")[1].endswith("x/y")
     assert cloudpickle.loads(cloudpickle.dumps(files._SYSTEMS)) == {}
+
+
+def test_a_stage_that_needs_the_room_drops_what_others_left():
+    from mediacurate import worker
+
+    worker.worker_table("words")["a"] = 1
+    worker.forget_tables()
+    assert worker.worker_table("words") == {}
