@@ -360,8 +360,25 @@ def _grown(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ends_a), np.concatenate(ends_b)
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from the least member of each component of (a, b) to its others: they connect the same, by one link fewer than members."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = places[: len(a)], places[len(a) :]
+    least = np.arange(len(nodes))
+    while len(a):
+        low = np.minimum(least[a], least[b])
+        np.minimum.at(least, least[a], low)
+        np.minimum.at(least, least[b], low)
+        while (least != (up := least[least])).any():
+            least = up
+        apart = least[a] != least[b]
+        a, b = a[apart], b[apart]
+    others = np.flatnonzero(least != np.arange(len(nodes)))
+    return nodes[least[others]], nodes[others]
+
+
 def _meet(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, at, the words that are compared) in the order of their keys, in; links (a, b) of close ones out."""
+    """Rows (key, at, the words that are compared) in the order of their keys, in; links (a, b) out that connect close ones."""
     held = np.zeros((2 + COMPARED, 0), np.int64)
 
     def links_of(block: np.ndarray, bounds: list[int]) -> Iterator[pa.RecordBatch]:
@@ -371,7 +388,9 @@ def _meet(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Recor
                 a, b = _close_pairs(block[2:, start:end].T.view(np.uint64), distance)
                 found_a.append(block[1, start + a])
                 found_b.append(block[1, start + b])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found_a, found_b)], names=["a", "b"])
+        # Near copies meet in many blocks: were each to give a tree of its own, there would be as many links of a row as it has blocks.
+        ends = _stars(np.concatenate(found_a), np.concatenate(found_b))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
 
     for batch in batches:
         block = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)

@@ -472,6 +472,30 @@ def test_close_wide_fingerprints_are_linked_however_large_their_groups(spark, li
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def test_links_of_many_near_copies_are_few(spark):
+    draw, bits, many = np.random.default_rng(6), 6, 600
+    centre = draw.integers(0, 2**64, 3, dtype=np.uint64)
+    rows = [centre ^ np.packbits(draw.random(192) < 0.06).view(np.uint64) for _ in range(many)]
+    table = spark.createDataFrame([(i, r.view(np.int64).tolist()) for i, r in enumerate(rows)], "at bigint, prints array<bigint>")
+    found = {(r.a, r.b) for r in simhash.near_links(table.repartition(3), bits).collect()}
+    assert len(found) < 6 * many  # trees of blocks that know nothing of each other have some nine for each row
+    assert len({at for pair in found for at in pair}) == many
+    joined = graph.components(spark.createDataFrame(sorted(found), "a bigint, b bigint"))
+    assert joined.select("root").distinct().count() == 1
+
+
+def test_stars_connect_what_links_do():
+    draw = np.random.default_rng(9)
+    for many in (0, 1, 30, 400):
+        a, b = draw.integers(0, 300, (2, many)) * 7
+        hubs, others = simhash._stars(a, b)
+        root = {int(v): int(v) for v in np.concatenate([a, b])}
+        for _ in range(len(root)):
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root[x] = root[y] = min(root[x], root[y])
+        assert dict(zip(others.tolist(), hubs.tolist(), strict=True)) == {v: r for v, r in root.items() if v != r}
+
+
 def test_near_query_on_the_given_table(spark, sf_dir):
     rows = [tuple(r) for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     assert got(queries.op5_simhash(spark, sf_dir), *GROUPS) == plain_groups(rows)
