@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mediacurate.functions import signatures
 from mediacurate.operators import validate as validation
 from mediacurate.plans import views
+from mediacurate.session import task_count
 from mediacurate.sources import assets as listing
 from mediacurate.sources import containers
 
@@ -194,6 +195,37 @@ def test_decode_in_several_rounds(spark, tree, monkeypatch):
     assert not any(got[name] for name in ["half.png", "short.jpg", "flip.png", "page.jpg", "ok.webp"])
 
 
+def test_files_at_the_root_are_scanned_some_at_a_time_whatever_their_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(validation, "FILES_PER_SCAN", 3)
+    names = ["a[1].png", "b{x,y}.png", "c*.png", "c1.png", "d?.png", "e f+%25.png", "g\\h.png", "[ab].png", "é#.png", "_part=1.png"]
+    put(tmp_path, {**{f"good {n}": png() for n in names}, **{n: png(damage="flip") for n in names}, "_hidden.png": png(), "x.PNG": png(), "d/y.png": png()})
+    decoded = validation.decode_with_image_source(spark, [], str(tmp_path))
+    assert {Path(r["path"]).name: r["decoded"] for r in decoded.collect()} == {n: False for n in names} | {f"good {n}": True for n in names}
+
+
+def test_many_files_are_few_tasks(spark, tmp_path):
+    files = {f"{place}{i}.png": png(4, 4, "flip" if i % 3 else None) for place in ("", "00000/", "00001/") for i in range(150)}
+    put(tmp_path, files)
+    names = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in names]
+    spark.sparkContext.setJobGroup("few", "few")
+    try:
+        decoded = validation.decode_with_image_source(spark, [f"{tmp_path}/00000", f"{tmp_path}/00001"], str(tmp_path))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    seen = spark.sparkContext.statusTracker()
+    stages = [seen.getStageInfo(k) for job in seen.getJobIdsForGroup("few") for k in seen.getJobInfo(job).stageIds]
+    assert stages and max(stage.numTasks for stage in stages if stage) <= 2 * task_count(spark)
+    assert sorted(r["decoded"] for r in decoded.collect()) == [False] * 300 + [True] * 150
+    assert [spark.conf.get(name) for name in names] == before
+
+
+def test_files_of_one_directory_are_walked_by_many_tasks(spark, tmp_path):
+    put(tmp_path, {f"{i}.png": png(4, 4) for i in range(64)})
+    validity = validation.validate(listing.list_assets(spark, str(tmp_path)), "structural")
+    assert len(validity.inputFiles()) > 1 and validity.filter("is_valid").count() == 64
+
+
 def test_own_decoder(spark, tree):
     def decoder(content):
         if not content.startswith(b"\x89PNG"):
